@@ -168,7 +168,7 @@ def _shard(shards: int):
     return run
 
 
-def _update(key, held: pa.Table, change: pa.Table) -> pa.Table:
+def _update(key: tuple, held: pa.Table, change: pa.Table) -> pa.Table:
     """One shard's filter after keys came (+1) and went (-1)."""
     signs = np.array(change.column("_sign").to_pylist(), np.int64)
     h = key_hash(change.column("_key").to_pylist())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_format, decontaminate, exact_dedup, line_dedup, poisson_mix
+from citeloom.llm import chat_format, decontaminate, exact_dedup, line_dedup, near_dedup, poisson_mix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ FROM t GROUP BY conv_id
 """
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -111,6 +115,7 @@ FROM marked GROUP BY doc_id
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op4_near_dedup": op4_near_dedup,
         "op7_decontaminate": op7_decontaminate,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_poisson_mix": op9_poisson_mix,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_format, decontaminate, exact_dedup, line_dedup, near_dedup, poisson_mix
+from citeloom.llm import chat_format, decontaminate, exact_dedup, line_dedup, nbsvm, near_dedup, poisson_mix, toxic_gru
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,16 @@ FROM t GROUP BY conv_id
 """
 
 
+def op2_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return nbsvm.score(docs, nbsvm.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_toxic_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxic_gru.score(docs, toxic_gru.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
 
@@ -115,6 +125,8 @@ FROM marked GROUP BY doc_id
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_nbsvm_quality": op2_nbsvm_quality,
+        "op3_toxic_gru": op3_toxic_gru,
         "op4_near_dedup": op4_near_dedup,
         "op7_decontaminate": op7_decontaminate,
         "op8_exact_dedup": op8_exact_dedup,

@@ -42,14 +42,21 @@ def platt(margin: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float,
         return 1.0, 0.0
     t = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     x = np.stack([margin, np.ones_like(margin)], 1)
-    w = np.array([1.0, 0.0])
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - t * z).sum()) + 5e-4 * float(w @ w)
+
+    w = np.array([0.0, np.log((pos + 1) / (neg + 1))])
     for _ in range(rounds):
         p = sigmoid(x @ w)
         g = x.T @ (p - t) + 1e-3 * w
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        w = w - np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), g)
+        size, before = 1.0, loss(w)
+        while size > 1e-6 and loss(w - size * step) > before:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     if w[0] < 1e-3:  # the margins do not tell the classes apart
         return 1e-3, float(np.log((pos + 1) / (neg + 1)) - 1e-3 * margin.mean())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_format, decontaminate, exact_dedup, line_dedup, nbsvm, near_dedup, poisson_mix, toxic_gru
+from citeloom.llm import chat_format, decontaminate, exact_dedup, html_text, line_dedup, nbsvm, near_dedup, poisson_mix, secrets, toxic_gru
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,15 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.visible_text(table(spark, sf_dir, "pages"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit(docs))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -128,6 +137,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_nbsvm_quality": op2_nbsvm_quality,
         "op3_toxic_gru": op3_toxic_gru,
         "op4_near_dedup": op4_near_dedup,
+        "op5_html_text": op5_html_text,
+        "op6_secret_scan": op6_secret_scan,
         "op7_decontaminate": op7_decontaminate,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_poisson_mix": op9_poisson_mix,

@@ -51,8 +51,10 @@ WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
 BLOCK_BYTES = 8_000_000
 #: Shingles of a range of the hash space, about.
-RANGE_SHINGLES = 2_000_000
+RANGE_SHINGLES = 1_000_000
 BLOCK_DOCS = 2_000
+#: Shingles whose samples are drawn at once, about.
+CHUNK_SHINGLES = 200_000
 #: Documents that meet one copy of their leader's vector.
 FOLLOWERS = 500
 BROADCAST_IDS = 4_000_000
@@ -179,7 +181,14 @@ def _sign(bands: int, rows: int):
         codes = np.frombuffer(b"".join(got[i] for i in order), np.uint8)
         h, tf, offs = doc_shingles(_text(table, "_text"))
         codes = codes[np.searchsorted(np.unique(h), h)] if len(h) else codes
-        keys = signatures(h, weights(codes, tf), offs, bands, rows).view(np.int64)
+        w, keys = weights(codes, tf), np.zeros((table.num_rows, bands), np.uint64)
+        lo = 0
+        while lo < table.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + CHUNK_SHINGLES, "right")) - 1)
+            a, b = offs[lo], offs[hi]
+            keys[lo:hi] = signatures(h[a:b], w[a:b], offs[lo : hi + 1] - a, bands, rows)
+            lo = hi
+        keys = keys.view(np.int64)
         has = np.diff(offs) > 0
         # equal sets of shingles and counts are equal texts for this operator
         v = mix(h * _MUL[250] + tf.astype(np.uint64) * _MUL[251])

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; one longer document is handled alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 WORD_TABLE = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)

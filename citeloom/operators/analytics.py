@@ -40,7 +40,7 @@ def families(rows: DataFrame, table: DataFrame, family: str = "family", source:
 def ranked(df: DataFrame, order: list[Column], top: int, rank: str = "rank") -> DataFrame:
     """The first rows of a total order with their rank: a top-k that each partition prunes first."""
     best = df.orderBy(*order).limit(top)
-    return best.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
+    return best.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 def relation_summary(relations: DataFrame) -> DataFrame:
@@ -300,11 +300,11 @@ def bm25(docs: DataFrame, query: str, k: int, id_col: str, text_col: str, k1: fl
     terms = [r for r in spark.range(1).select(F.explode(query_terms(F.lit(query))).alias("t")).toPandas()["t"]]
     words = F.split(F.lower(blank(text_col)), r"(?U)[^\p{L}\p{N}]+")
     d = docs.select(F.col(id_col).alias("id"), F.filter(words, lambda w: w != "").alias("_w")).withColumn("n", F.size("_w"))
-    stats = d.agg(F.count(F.lit(1)).alias("N"), F.avg("n").alias("avg"))
+    stats = d.agg(F.count(F.lit(1)).alias("total"), F.avg("n").alias("avg"))
     hits = d.select("id", "n", F.explode(F.filter("_w", lambda w: w.isin(*terms or [""]))).alias("term")).groupBy("id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
     df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     s = hits.join(F.broadcast(df), "term").crossJoin(F.broadcast(stats))  # a row per term, and one row
-    idf = F.log(1 + (F.col("N") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.log(1 + (F.col("total") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     s = s.withColumn("_s", idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("n") / F.col("avg"))))
     return ranked(s.groupBy("id").agg(F.round(F.sum("_s"), 6).alias("score")), [F.desc("score"), F.asc("id")], k)
 

@@ -35,3 +35,18 @@ def staged(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{shared_dir(spark)}/citeloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have in any case."""
+    have = {c.lower() for c in df.columns}
+    while base.lower() in have:
+        base += "_"
+    return base
+
+
+def without_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id is not among the first column of ``ids``; null ids match null."""
+    name = fresh(df, "_gone")
+    gone = ids.select(ids[ids.columns[0]].alias(name)).distinct()
+    return df.join(gone, df[id_col].eqNullSafe(gone[name]), "left_anti")

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.textvec import WORD_TABLE, text_slices
+from citeloom.staging import without_ids
 
 WINDOW = 13
 #: Bytes of benchmark text whose windows are broadcast at once.
@@ -203,5 +204,4 @@ def search(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, all columns, without the rows of contaminated ids."""
-    gone = search(docs, benchmark, id_col, text_col, **options).where("contaminated").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return without_ids(docs, id_col, search(docs, benchmark, id_col, text_col, **options).where("contaminated").select(id_col))

@@ -21,7 +21,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.staging import staged
+from citeloom.staging import staged, without_ids
 
 
 def ascii_lower(text: Column) -> Column:
@@ -61,5 +61,4 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Rows that agree in id and text both stay: nothing tells them apart.
     """
-    gone = exact_groups(docs, id_col, text_col, keep).where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return without_ids(docs, id_col, exact_groups(docs, id_col, text_col, keep).where(~F.col("kept")).select(id_col))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.textvec import LOWER_TABLE, mix, text_slices
-from citeloom.staging import staged
+from citeloom.staging import fresh, staged
 
 STRIP = " \t\n\x0b\x0c\r"
 BROADCAST_BYTES = 32_000_000
@@ -238,19 +238,19 @@ def delete(index: LineIndex, docs: DataFrame, id_col: str = "doc_id", text_col:
     return _changed(index, refs, index.min_docs, index.min_chars, None)
 
 
-def _cut(text_at: int, min_chars: int, digest: bool):
+def _cut(text_at: int, keys_col: str, min_chars: int, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in text_slices(whole, text_at):
                 texts, lines, gone = [], [], []
-                for text, keys in zip(b.column(text_at).to_pylist(), b.column("_keys").to_pylist(), strict=True):
+                for text, keys in zip(b.column(text_at).to_pylist(), b.column(keys_col).to_pylist(), strict=True):
                     own = (text or "").split("\n")
                     keys = set(keys or ())
                     left = [x for x in own if line_key(x, min_chars) not in keys] if keys else own
                     texts.append("\n".join(left) if len(left) < len(own) else text)
                     lines.append(len(own))
                     gone.append(len(own) - len(left))
-                names = [n for n in b.schema.names if n != "_keys"]
+                names = [n for n in b.schema.names if n != keys_col]
                 out = {n: b.column(n) for n in names} | {names[text_at]: pa.array(texts, pa.string())}
                 if digest:
                     sums = [hashlib.sha256((t or "").encode("utf-8", "surrogatepass")).hexdigest() for t in texts]
@@ -267,12 +267,13 @@ def _resolved(docs: DataFrame, index: LineIndex, id_col: str, text_col: str, dig
     if size <= BROADCAST_BYTES:
         filters = spark.sparkContext.broadcast({r._shard: bytes(r.filter) for r in index.filters.select("_shard", "filter").toLocalIterator()})
     held = line_refs(docs, id_col, text_col, index.min_chars, filters, index.shards)
-    drops = held.join(index.repeated, "_key").where(~F.col("_id").eqNullSafe(F.col("_last"))).groupBy(F.col("_id").alias("_of")).agg(F.collect_set("_key").alias("_keys"))
+    drops = held.join(index.repeated, "_key").where(~F.col("_id").eqNullSafe(F.col("_last"))).groupBy(F.col("_id").alias(fresh(docs, "_of"))).agg(F.collect_set("_key").alias(fresh(docs, "_keys")))
+    of, keys = drops.columns
     names = docs.columns
-    joined = docs.join(drops, F.col(id_col).eqNullSafe(F.col("_of")), "left").select(*[F.col(f"`{c}`") for c in names if c != text_col], F.col(text_col).cast("string").alias(text_col), "_keys")
+    joined = docs.join(drops, docs[id_col].eqNullSafe(drops[of]), "left").select(*[docs[f"`{c}`"] for c in names if c != text_col], docs[text_col].cast("string").alias(text_col), keys)
     at = len(names) - 1
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
-    return joined.mapInArrow(_cut(at, index.min_chars, digest), schema + ", n_lines long, n_dropped long, kept_sha256 string" * digest)
+    return joined.mapInArrow(_cut(at, keys, index.min_chars, digest), schema + ", n_lines long, n_dropped long, kept_sha256 string" * digest)
 
 
 def dedup_report(docs: DataFrame, index: LineIndex | None = None, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

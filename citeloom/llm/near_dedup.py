@@ -29,7 +29,8 @@ staged tables. Ids of candidates are broadcast only while there are at most
 
 Defined results: null, empty and wordless texts have no shingles and are each a
 class of their own; a null id takes part like any other and cannot be told from
-other null ids; repeated rows fall into one class; an empty table gives an
+other null ids; ids should name one text, rows of one id with different texts are
+compared by one of them; repeated rows fall into one class; an empty table gives an
 empty result; other columns are not read (``near_classes``) or are kept
 (``keep_one``). A class is named by its smallest id.
 """
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.textvec import SLICE_BYTES, mix, shingles, slices, word_hashes
 from citeloom.operators.components import connected_components
-from citeloom.staging import staged
+from citeloom.staging import staged, without_ids
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
@@ -226,7 +227,11 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, tf, offs = doc_shingles(b.column(1))
             codes = b.column(2).to_pylist()
             hs, ws = [], []
+            fits = np.array([len(c) for c in codes], np.int64) == np.diff(offs)  # else of another text with this id
+            b = b.filter(pa.array(fits))
             for i, (x, y) in enumerate(zip(offs[:-1], offs[1:], strict=True)):
+                if not fits[i]:
+                    continue
                 hs.append(h[x:y].tobytes())
                 ws.append(weights(np.frombuffer(codes[i], np.uint8), tf[x:y]).tobytes())
             yield pa.RecordBatch.from_pydict({"_id": b.column(0), "_h": pa.array(hs, pa.binary()), "_w": pa.array(ws, pa.binary())})
@@ -341,5 +346,4 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, all columns, of the smallest id of each class."""
-    gone = near_classes(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return without_ids(docs, id_col, near_classes(docs, id_col, text_col, **options).where(~F.col("kept")).select(id_col))

@@ -26,6 +26,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.staging import fresh
+
 MAX_BROADCAST_SOURCES = 10_000
 #: 48 bits of MD5 make the uniform number.
 _HEX, _RANGE = 12, float(2**48)
@@ -78,14 +80,15 @@ def poisson_mix(
     """
     rates = source_rates(docs, source_col, targets, rows_out, temperature).cache()
     small = rates.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES
-    rates = rates.select("_src", "_cdf")
+    kept = docs.drop("copy", "n_copies", "shuffle_key")
+    src, cdf = fresh(kept, "_src"), fresh(kept, "_cdf")
+    rates = rates.select(F.col("_src").alias(src), F.col("_cdf").alias(cdf))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     u = hash_int(F.lit(str(seed)), name) / F.lit(_RANGE)
-    kept = docs.drop("copy", "n_copies", "shuffle_key")
     drawn = (
-        kept.join(F.broadcast(rates) if small else rates, F.col(source_col).eqNullSafe(F.col("_src")))
-        .withColumn("n_copies", F.size(F.filter("_cdf", lambda c: c <= u)).cast("long"))
-        .drop("_src", "_cdf")
+        kept.join(F.broadcast(rates) if small else rates, F.col(source_col).eqNullSafe(F.col(src)))
+        .withColumn("n_copies", F.size(F.filter(cdf, lambda c: c <= u)).cast("long"))
+        .drop(src, cdf)
         .where(F.col("n_copies") > 0)
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
         .withColumn("shuffle_key", hash_int(F.lit(str(seed)), name, F.col("copy").cast("string")))

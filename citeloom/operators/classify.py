@@ -227,7 +227,7 @@ def trim_left(name: str) -> str:
 
 def admit(name: str) -> tuple[str, str]:
     """CLS19, CLS21: the cleaned name, or why it is none."""
-    s = LEAD_IN.sub("", name.strip()).strip()
+    s = LEAD_IN.sub("", re.sub(r"^\s*\[\d{1,5}\]\s*", "", name)).strip()  # a paragraph number is no party
     shorter = CITE_TAIL.sub("", s).strip()
     if re.search(r"[^\W\d_]", shorter) and len(V.findall(shorter)) == len(V.findall(s)):
         s = shorter

@@ -298,7 +298,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # one document stands for all of equal content; none for those without shingles
     stands = staged(signed.where("_same is not null").groupBy("_same").agg(F.min("_id").alias("_rep"), F.min_by("_keys", "_id").alias("_keys")), "near-texts")
     member = stands.select(F.col("_rep").alias("_id"), F.explode("_keys").alias("_key"))
-    shared = member.groupBy("_key").agg(F.min("_id").alias("_lead"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key", "_lead")
+    # staged, so that the joins below read plain exchanges on both sides and AQE can split a hot key
+    shared = staged(member.groupBy("_key").agg(F.min("_id").alias("_lead"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key", "_lead"), "near-keys")
     member = staged(member.join(shared, "_key"), "near-members")
 
     pairs = member.where("_id <> _lead").select("_id", "_lead").distinct()
@@ -326,7 +327,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         few = named.join(open_, ["_id", "_lead"], "left_semi").join(mixed_keys, "_key")
         counted = few.groupBy("_key").agg((F.floor(F.count(F.lit(1)) / BLOCK_DOCS) + 1).alias("_fb"))
         deal = lambda n, seed: F.pmod(F.xxhash64("_id", F.lit(seed)), n)
-        split = mixed_keys.join(counted, "_key").withColumn("_mb", (F.floor(F.col("_m") / BLOCK_DOCS) + 1)).select("_key", "_fb", "_mb")
+        split = staged(mixed_keys.join(counted, "_key").withColumn("_mb", (F.floor(F.col("_m") / BLOCK_DOCS) + 1)).select("_key", "_fb", "_mb"), "near-split")
         each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
         few = few.drop("_m").join(split, "_key").withColumn("_i", deal(F.col("_fb"), 1)).withColumn("_j", each("_mb")).select("_key", "_i", "_j", "_id", "_c").join(vectors, "_id")
         many = named.join(split, "_key").withColumn("_j", deal(F.col("_mb"), 2)).withColumn("_i", each("_fb")).select("_key", "_i", "_j", "_id", "_c").join(vectors, "_id")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.textvec import LOWER_TABLE, mix, text_slices
+from citeloom.llm.textvec import LOWER_TABLE, mix, small_batches, text_slices
 from citeloom.staging import fresh, staged
 
 STRIP = " \t\n\x0b\x0c\r"
@@ -216,6 +216,7 @@ def _changed(index: LineIndex | None, refs: DataFrame, min_docs: int, min_chars:
 
 
 def line_refs(docs: DataFrame, id_col: str, text_col: str, min_chars: int, filters=None, shards: int = 1) -> DataFrame:
+    small_batches(docs)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     return rows.mapInArrow(_lines_of(min_chars, filters, shards), f"_id {rows.schema['_id'].dataType.simpleString()}, _key binary, _n long")
 

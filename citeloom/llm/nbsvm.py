@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.labels import fold, label_sample, platt, sigmoid
-from citeloom.llm.textvec import hash_spans, raw, slices, word_spans
+from citeloom.llm.textvec import hash_spans, raw, slices, small_batches, word_spans
 
 FEATURES = 1 << 16
 #: Labelled rows of each class that are learned from, at most.
@@ -161,6 +161,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` labelled rows of each class."""
+    small_batches(docs)
     ids = label_sample(labels, label, {0: sample, 1: sample}, id_col)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where(F.octet_length("_text") <= TRAIN_BYTES)
     rows = rows.join(F.broadcast(ids), "_id").select("_id", "_text", "_y")

@@ -44,15 +44,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.textvec import SLICE_BYTES, mix, shingles, slices, word_hashes
+from citeloom.llm.textvec import SLICE_BYTES, mix, shingles, slices, small_batches, word_hashes
 from citeloom.operators.components import connected_components
 from citeloom.staging import staged, without_ids
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 #: Shingles of a range of the hash space, about.
-RANGE_SHINGLES = 1_000_000
+RANGE_SHINGLES = 500_000
 BLOCK_DOCS = 2_000
 #: Shingles whose samples are drawn at once, about.
 CHUNK_SHINGLES = 200_000
@@ -209,6 +209,7 @@ def _sign(bands: int, rows: int):
 
 def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """Staged table of (_id, _same, _keys, _codes) for all rows of docs (_id, _text)."""
+    small_batches(docs)
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("b")).first()
     blocks, ranges = max(1, -(-size.b // BLOCK_BYTES)), max(1, -(-size.b // (6 * RANGE_SHINGLES)))
     kind = docs.schema["_id"].dataType.simpleString()

@@ -136,3 +136,12 @@ def text_slices(batch: pa.RecordBatch, text_at: int, max_bytes: int = SLICE_BYTE
     """The batch in parts of bounded text size."""
     for lo, hi in slices(batch.column(text_at), max_bytes, max_docs):
         yield batch.slice(lo, hi - lo)
+
+
+#: Rows of an Arrow batch between Spark and Python, at most; texts are long, and batches are held on both sides.
+BATCH_ROWS = "1000"
+
+
+def small_batches(df) -> None:
+    """Bound this session's Arrow batches for tables of texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)

@@ -128,11 +128,13 @@ class Patterns:
         return offs, (np.cumsum(cover[:-1]) > 0).astype(np.uint8), np.concatenate([_EMPTY, *docs]), np.concatenate([_EMPTY, *items])
 
 
-def pattern_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> list[Patterns]:
+def pattern_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> Iterator[Patterns]:
+    """The blocks of the benchmark one after the other; the driver holds one at a time."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("k"), F.col(text_col).cast("string").alias("t"))
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
-    return [Patterns([(r.k, r.t) for r in rows.where(F.pmod(F.xxhash64("k", "t"), F.lit(n)) == i).toLocalIterator()], window) for i in range(n)]
+    for i in range(n):
+        yield Patterns([(r.k, r.t) for r in rows.where(F.pmod(F.xxhash64("k", "t"), F.lit(n)) == i).toLocalIterator()], window)
 
 
 _STATE = "_cover binary, _items array<string>"

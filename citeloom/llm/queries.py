@@ -65,6 +65,30 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[j:j + m - 1], ' ') AS k
+  FROM (SELECT item_id, w, least(13, len(w)) AS m, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS j FROM b WHERE len(w) > 0)
+), places AS (
+  SELECT doc_id, m, j, array_to_string(w[j:j + m - 1], ' ') AS k
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS j FROM d, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m)
+), found AS (
+  SELECT doc_id, j, m, item_id FROM places JOIN windows USING (m, k)
+), hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + m)) AS p FROM (SELECT DISTINCT doc_id, j, m FROM found)) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS said FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -147,4 +171,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op8_exact_dedup": OP8_SQL, "op9_poisson_mix": OP9_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op1_chat_format": OP1_SQL, "op7_decontaminate": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op9_poisson_mix": OP9_SQL, "op10_line_dedup": OP10_SQL}

@@ -138,10 +138,13 @@ def text_slices(batch: pa.RecordBatch, text_at: int, max_bytes: int = SLICE_BYTE
         yield batch.slice(lo, hi - lo)
 
 
-#: Rows of an Arrow batch between Spark and Python, at most; texts are long, and batches are held on both sides.
+#: Rows and bytes of an Arrow batch between Spark and Python, at most; texts are long, and batches are held on both sides.
 BATCH_ROWS = "1000"
+BATCH_BYTES = "8m"
 
 
 def small_batches(df) -> None:
     """Bound this session's Arrow batches for tables of texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)

@@ -21,8 +21,9 @@ texts one stands for all from here on. Inside each band key every document is
 compared with the key's smallest document, not with every other one; these
 star-shaped links are verified exactly, with leaders salted where many follow
 one. Documents that the leader does not confirm are then compared with all
-others of their key that are not already in their class, in blocks of
-``BLOCK_DOCS``, so no link inside a key is lost and no task holds a whole key.
+others of their key that are not already in their class, in blocks of about
+``BLOCK_DOCS`` documents or ``BLOCK_HASH_BYTES`` of hashes, whichever is less, so no
+link inside a key is lost and no task holds a whole key.
 (4) Components come from alternating large-star and small-star rounds over
 staged tables. Ids of candidates are broadcast only while there are at most
 ``BROADCAST_IDS`` of them.
@@ -53,7 +54,9 @@ BANDS, ROWS = 10, 3
 BLOCK_BYTES = 4_000_000
 #: Shingles of a range of the hash space, about.
 RANGE_SHINGLES = 500_000
+#: Documents of a block of a key, and bytes of their shingle hashes, about.
 BLOCK_DOCS = 2_000
+BLOCK_HASH_BYTES = 8_000_000
 #: Shingles whose samples are drawn at once, about.
 CHUNK_SHINGLES = 200_000
 #: Documents that meet one copy of their leader's vector.
@@ -324,13 +327,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     open_ = checked.where("not _ok").select("_id", "_lead")
     if not open_.isEmpty():
         named = member.join(first.select(F.col("node").alias("_id"), F.col("component").alias("_got")), "_id", "left").withColumn("_c", F.coalesce("_got", "_id")).drop("_got")
-        mixed_keys = named.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"), F.count(F.lit(1)).alias("_m")).where("_lo <> _hi and _m > 2").select("_key", "_m")
+        named = named.join(vectors.select("_id", F.octet_length("_h").alias("_len")), "_id")
+        parts = F.floor(F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum("_len") / BLOCK_HASH_BYTES)) + 1
+        mixed_keys = named.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"), F.count(F.lit(1)).alias("_m"), parts.alias("_mb")).where("_lo <> _hi and _m > 2").select("_key", "_mb")
         few = named.join(open_, ["_id", "_lead"], "left_semi").join(mixed_keys, "_key")
-        counted = few.groupBy("_key").agg((F.floor(F.count(F.lit(1)) / BLOCK_DOCS) + 1).alias("_fb"))
+        counted = few.groupBy("_key").agg(parts.alias("_fb"))
         deal = lambda n, seed: F.pmod(F.xxhash64("_id", F.lit(seed)), n)
-        split = staged(mixed_keys.join(counted, "_key").withColumn("_mb", (F.floor(F.col("_m") / BLOCK_DOCS) + 1)).select("_key", "_fb", "_mb"), "near-split")
+        split = staged(mixed_keys.join(counted, "_key").select("_key", "_fb", "_mb"), "near-split")
         each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        few = few.drop("_m").join(split, "_key").withColumn("_i", deal(F.col("_fb"), 1)).withColumn("_j", each("_mb")).select("_key", "_i", "_j", "_id", "_c").join(vectors, "_id")
+        few = few.drop("_mb").join(split, "_key").withColumn("_i", deal(F.col("_fb"), 1)).withColumn("_j", each("_mb")).select("_key", "_i", "_j", "_id", "_c").join(vectors, "_id")
         many = named.join(split, "_key").withColumn("_j", deal(F.col("_mb"), 2)).withColumn("_i", each("_fb")).select("_key", "_i", "_j", "_id", "_c").join(vectors, "_id")
         few = few.select(*[F.col(c).alias(c) for c in few.columns])  # new column ids: both sides come from the same tables
         many = many.select(*[F.col(c).alias(c) for c in many.columns])

@@ -250,13 +250,17 @@ def _(v):
 # --- extraction and arbitration
 
 
+def _texts(v):
+    """Every document, whole, and citations of its own after it (none where it has no id)."""
+    n = F.col("doc_id").cast("string")
+    tail = F.concat(F.lit("\nMeridian v. Horizon, 2019 ONCA "), n, F.lit(". Beacon v. Dune, [1999] 2 S.C.R. "), n, F.lit(" (S.C.C.); 47 D.L.R. (2d) "), n, F.lit("."))
+    text = F.concat(F.col("text"), F.coalesce(tail, F.lit("")))
+    return v.t("documents").select(F.lit("SCC").alias("court"), F.col("doc_id").alias("corpus_row_index"), F.concat(F.lit("doc "), n).alias("citation"), F.lit(2020).alias("year"), text.alias("text"))
+
+
 @query("shape_extraction")
 def _(v):
-    d = v.t("documents").join(v.t("labels").select("doc_id").distinct(), "doc_id", "left_semi")
-    n = F.col("doc_id").cast("string")
-    text = F.concat(F.col("text"), F.lit("\nMeridian v. Horizon, 2019 ONCA "), n, F.lit(". Beacon v. Dune, [1999] 2 S.C.R. "), n, F.lit(" (S.C.C.); 47 D.L.R. (2d) "), n, F.lit("."))
-    rows = d.select(F.lit("SCC").alias("court"), F.col("doc_id").alias("corpus_row_index"), F.concat(F.lit("doc "), n).alias("citation"), F.lit(2020).alias("year"), text.alias("text"))
-    return extract.extract(rows, ShapeSet()).select("candidate_id", "raw_string", "shape_name", "match_start_offset", "match_end_offset", "abbr", "token", "vol", "page", "year_start", "court_designation_raw", "structural_conflict")
+    return extract.extract(_texts(v), ShapeSet()).select("candidate_id", "raw_string", "shape_name", "match_start_offset", "match_end_offset", "abbr", "token", "vol", "page", "year_start", "court_designation_raw", "structural_conflict")
 
 
 @query("fallback_anti_overlap", f"WITH {I} SELECT event_id FROM i a WHERE event_type = 'view' AND NOT EXISTS (SELECT 1 FROM i b WHERE b.doc = a.doc AND b.event_type <> 'view' AND a.\"start\" < b.\"end\" AND b.\"start\" < a.\"end\")")

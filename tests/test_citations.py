@@ -210,3 +210,36 @@ def test_merge_runs(spark):
     df = spark.createDataFrame([("d", i, k, g) for i, (k, g) in enumerate([("a", False), ("b", True), ("a", False), ("a", True), ("c", False)])], "doc string, i int, merge_key string, joined boolean")
     got = [(r.merge_key, r.run) for r in merge.islands(df, "doc", ["i"], F.col("joined")).orderBy("i").collect()]
     assert got == [("a", 1), ("b", 1)]
+
+
+def documents_of(spark, folder, texts):
+    """A folder of tables: documents with these texts, and labels of the first only."""
+    rows = [(i, t) for i, t in enumerate(texts, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality long, toxic long").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_every_document_is_extracted(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    prose = "x " * 4000
+    texts = ["see 2018 BCCA 801, here", f"{prose}[1999] 2 S.C.R. 100 {prose}2019 ONCA 701", "", None, "no citation; 123 A.C. 4"]
+    got = {(int(r.candidate_id.split(":")[1]), r.shape_name, r.match_start_offset, r.match_end_offset) for r in entry.queries()["shape_extraction"](spark, documents_of(spark, tmp_path, texts)).collect()}
+    want = set()
+    for i, t in enumerate(texts, 1):
+        if t is None:
+            continue
+        t += f"\nMeridian v. Horizon, 2019 ONCA {i}. Beacon v. Dune, [1999] 2 S.C.R. {i} (S.C.C.); 47 D.L.R. (2d) {i}."
+        for name, rx in ShapeSet().shapes:
+            seen = set()
+            for at in range(len(t)):
+                m = rx.match(t, at)
+                run = at
+                while run and t[run - 1].isalnum():
+                    run -= 1
+                if m and (run == at or not any(run <= x < at for x in seen)):
+                    seen.add(at)
+                    want.add((i, name, at, m.end()))
+    assert {i for i, *_ in got} == {1, 2, 3, 5}
+    assert {g for g in got if g[1] != extract.FALLBACK[0]} == {w for w in want if w[1] != extract.FALLBACK[0]}

@@ -237,7 +237,8 @@ def _(v):
 
 @query("case_names")
 def _(v):
-    return classify.case_names(v.t("documents").select("doc_id", F.concat(F.col("source"), F.lit(": Smith v. "), F.initcap(F.substring("text", 1, 12)), F.lit(", ")).alias("preceding_text"))).select("doc_id", "candidate_case_name", "name_rejected_reason")
+    found = extract.extract(_texts(v), ShapeSet()).withColumnRenamed("corpus_row_index", "doc_id")
+    return classify.case_names(found).select("candidate_id", "doc_id", "raw_string", "candidate_case_name", "name_rejected_reason")
 
 
 @query("parse_and_row_status", f"WITH {M} SELECT source_id, position, CASE WHEN flag = 'R' THEN 'structurally_conflicted' WHEN flag = 'N' THEN 'ambiguous_year_vol' ELSE 'valid' END AS parse_status, CASE WHEN qty > 40 THEN 'not_citation' WHEN qty > 30 THEN 'citation_uncounted' ELSE 'citation_counted' END AS row_status FROM m")

@@ -243,3 +243,17 @@ def test_every_document_is_extracted(spark, tmp_path):
                     want.add((i, name, at, m.end()))
     assert {i for i, *_ in got} == {1, 2, 3, 5}
     assert {g for g in got if g[1] != extract.FALLBACK[0]} == {w for w in want if w[1] != extract.FALLBACK[0]}
+
+
+def test_case_names_of_whole_documents(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    prose = "long prose without any names in it " * 300
+    texts = [f"{prose}\nWe follow Rizzo v. Shoes, [1998] 1 S.C.R. 27; Bell v. Bell, 2001 SCC 5. {prose}", f"{prose}: citant Renvoi sur la sécession, [1998] 2 R.C.S. 217 {prose}", f"{prose}: X v. Y; Then other, 2003 SCC 7"]
+    rows = entry.queries()["case_names"](spark, documents_of(spark, tmp_path, texts)).collect()
+    got = {(r.doc_id, r.raw_string): (r.candidate_case_name, r.name_rejected_reason) for r in rows}
+    assert got[1, "[1998] 1 S.C.R. 27"] == ("Rizzo v. Shoes", "") and got[1, "2001 SCC 5"] == ("Bell v. Bell", "")
+    assert got[2, "[1998] 2 R.C.S. 217"] == ("Renvoi sur la sécession", "")
+    assert got[3, "2003 SCC 7"] == ("", "name_belongs_to_later_segment")
+    for i in (1, 2, 3):
+        assert got[i, f"2019 ONCA {i}"] == ("Meridian v. Horizon", "")

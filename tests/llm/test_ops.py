@@ -288,6 +288,38 @@ def test_secret_gradients():
         assert g[k][at] == pytest.approx((up - down) / 2e-3, abs=5e-3)
 
 
+def test_secret_windows_read_every_character():
+    rng = random.Random(5)
+    token = "".join(chr(i) for i in np.flatnonzero(secrets.TOKEN))
+    for _ in range(60):
+        t = "".join(rng.choice(["".join(rng.choice(token) for _ in range(rng.choice([1, 5, 15, 47, 48, 49, 130]))), " ", "é", ": "]) for _ in range(12))
+        codes, base = secrets.codes_of(t), secrets.base_spans(t)
+        a, b, known = secrets.candidates(codes, base)
+        assert list(zip(a, b)) == [m.span() for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", t)]
+        assert list(known) == [any(x < q and p < y for _, x, y in base) for p, q in zip(a, b)]
+        run, start, end = secrets.windows(a, b)
+        for i, (p, q) in enumerate(zip(a, b)):
+            own = sorted((s, e) for r, s, e in zip(run, start, end) if r == i)
+            assert own[0][0] == p and own[-1][1] == q and all(e - s <= secrets.SPAN for s, e in own) and all(y[0] - x[0] <= secrets.STEP for x, y in zip(own, own[1:]))
+        x = secrets.encoded(codes, start, end)
+        assert [r.tobytes() for r in x] == [secrets.encode(t, s, e) for s, e in zip(start, end)]
+        net = secrets.Network(rng.randint(0, 99))
+        if len(x):
+            assert np.allclose(net.probability(x), secrets.sigmoid(net.forward(x.astype(np.int64)).astype(np.float64)), atol=1e-5)
+
+
+def test_secret_inside_a_long_run_and_without_digits():
+    class Sees:  # a model that knows one key
+        threshold = 0.5
+
+        def probability(self, x):
+            return np.array([float(b"QwErTyUiOpAsDf" in r.tobytes()[secrets.SIDE : -secrets.SIDE]) for r in x])
+
+    long_run = "path/" * 30 + "QwErTyUiOpAsDf" + "/more" * 30
+    assert secrets.scan_text(f"see {long_run} there", Sees())[1] == [("model", 4, 4 + len(long_run))]
+    assert secrets.scan_text("key QwErTyUiOpAsDf end", Sees())[1] == [("model", 4, 18)]
+
+
 # --- decontamination
 
 

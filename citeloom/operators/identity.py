@@ -178,16 +178,17 @@ def solve_block(rows: list[dict], links: list[dict]) -> tuple[dict, list[tuple]]
 
 
 ROW = "row_key string, merge_key string, name string, year int, kind string, root string, decision_id string, holdout_id string, registered_id string, court string, scope string"
+SIDES = "array<struct<instance:string,side:string>>"
 
 
 def solve(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """IDN01: (row_key, group_id), and the trace of proposals (REG14's ledger) with hashed ids.
 
-    ``rows`` has the columns of ``ROW`` (absent ones are null), ``links`` row keys a and b with a rule.
+    ``rows`` has the columns of ``ROW`` and ``history_sides`` (``SIDES``; absent ones are null), ``links`` row keys a and b with a rule.
     """
     spark = rows.sparkSession
     fields = [f.split()[0] for f in ROW.split(", ")]
-    r = rows.select(*[(F.col(f) if f in rows.columns else F.lit(None)).cast("int" if f == "year" else "string").alias(f) for f in fields])
+    r = rows.select(*[(F.col(f) if f in rows.columns else F.lit(None)).cast("int" if f == "year" else "string").alias(f) for f in fields], (F.col("history_sides") if "history_sides" in rows.columns else F.lit(None)).cast(SIDES).alias("history_sides"))
     comp = connected_components(links, "a", "b")
     r = r.join(comp.select(F.col("node").alias("row_key"), F.col("component").alias("_block")), "row_key", "left")
     alone = r.where("_block is null").select("row_key", F.col("row_key").alias("group_id"))
@@ -196,11 +197,13 @@ def solve(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         clean = left.astype(object).where(left.notna(), None).to_dict("records")
+        for x in clean:
+            x["history_sides"] = [(h["instance"], h["side"]) for h in x["history_sides"]] if x["history_sides"] is not None else []
         of, trace = solve_block(clean, right.rename(columns={"row_key": "a"}).to_dict("records"))
         out = [("group", k, v, "", "") for k, v in of.items()] + [("trace", *t) for t in trace]
         return pd.DataFrame(out, columns=["what", "x", "y", "rule", "outcome"])
 
-    member = r.where("_block is not null").select("_block", *fields)
+    member = r.where("_block is not null").select("_block", *fields, "history_sides")
     from citeloom.staging import staged
 
     done = staged(member.groupBy("_block").cogroup(lk.groupBy("_block")).applyInPandas(run, "what string, x string, y string, rule string, outcome string"), "identity")

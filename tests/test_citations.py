@@ -257,3 +257,12 @@ def test_case_names_of_whole_documents(spark, tmp_path):
     assert got[3, "2003 SCC 7"] == ("", "name_belongs_to_later_segment")
     for i in (1, 2, 3):
         assert got[i, f"2019 ONCA {i}"] == ("Meridian v. Horizon", "")
+
+
+def test_opposite_history_sides_stay_apart(spark):
+    rows = [("a", [("i1", "before")]), ("b", [("i1", "after")]), ("c", [("i1", "before"), ("i2", "after")]), ("d", None)]
+    df = spark.createDataFrame(rows, f"row_key string, history_sides {identity.SIDES}")
+    links = spark.createDataFrame([("a", "b", "name_year"), ("a", "c", "name_year"), ("b", "d", "name_year")], "a string, b string, rule string")
+    groups, trace = identity.solve(df, links)
+    assert {r.row_key: r.group_id for r in groups.collect()} == {"a": "a", "b": "b", "c": "a", "d": "b"}
+    assert sorted(r.outcome for r in trace.collect()) == ["accepted", "accepted", "opposite_history_sides"]

@@ -42,7 +42,10 @@ _words = lambda s: frozenset(s.split())
 # Groups of elements of the HTML standard.
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
 RAW = _words("script style xmp iframe noembed noframes textarea title")
-UNSEEN = _words("head script style template noscript select datalist option title meta link iframe noembed noframes object audio video canvas svg math textarea area base param source track")
+UNSEEN = _words("head script style template noscript select datalist option title meta link iframe noembed noframes object audio video canvas textarea area base param source track")
+FOREIGN = _words("svg math")
+#: What these hold without showing it.
+FOREIGN_UNSEEN = _words("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml")
 BLOCK = _words(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul tr td th thead tbody tfoot caption"
 )
@@ -71,6 +74,7 @@ _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
+_BRACE = re.compile(r"[{}]")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SIMPLE = re.compile(r"[.#]?[A-Za-z_][\w-]*\Z")
 
@@ -129,6 +133,9 @@ class Tree:
         if m[1]:
             self.end(tag)
             return m.end()
+        if m[0].endswith("/>") and any(x.tag in FOREIGN for x in self.open):
+            self.open[-1].kids.append(Node(tag, attributes(m[3])))
+            return m.end()
         self.start(tag, attributes(m[3]))
         if tag not in RAW:
             return m.end()
@@ -181,11 +188,33 @@ class Tree:
             self.open[-1].kids.append(Node("p", {}))
 
 
+def on_screen(css: str) -> str:
+    """The rules outside at-rules, and those inside @layer and inside @media of every screen."""
+    out, at = [], 0
+    while (i := css.find("@", at)) >= 0:
+        out.append(css[at:i])
+        head = re.compile(r"[^;{]*").match(css, i)
+        at = head.end() + 1
+        if css[head.end() : at] != "{":
+            continue
+        depth = 1
+        start = at
+        while depth and (m := _BRACE.search(css, at)):
+            at = m.end()
+            depth += 1 if m[0] == "{" else -1
+        if depth:
+            at = len(css)
+        kind, _, query = head[0].lower().partition(" ")
+        if kind == "@layer" or (kind == "@media" and {q.strip() for q in query.split(",")} & {"", "all", "screen", "only screen"}):
+            out.append(on_screen(css[start : at if depth else at - 1]))
+    return "".join([*out, css[at:]])
+
+
 def hiding_rules(styles: list[str]) -> dict[str, str]:
     """Simple selectors whose rule hides: selector to "display" or "visibility"."""
     found: dict[str, str] = {}
     for css in styles:
-        for m in _RULE.finditer(re.sub(r"/\*.*?\*/", "", css, flags=re.DOTALL)):
+        for m in _RULE.finditer(on_screen(re.sub(r"/\*.*?\*/", "", css, flags=re.DOTALL))):
             if how := hides(m[2]):
                 found |= {s: how for x in m[1].split(",") if _SIMPLE.match(s := x.strip())}
     return found
@@ -248,6 +277,7 @@ class Writer:
 class Renderer:
     def __init__(self, rules: dict[str, str]):
         self.rules = rules
+        self.foreign = 0
 
     def how(self, node: Node) -> str:
         a = node.attrs
@@ -294,7 +324,17 @@ class Renderer:
             return
         seen = False if how == "visibility" else True if how == "shown" else seen
         tag = node.tag
-        if tag == "br":
+        if self.foreign and tag in FOREIGN_UNSEEN:
+            return
+        if tag in FOREIGN:
+            self.foreign += 1
+            self.kids(node, w, seen, pre, depth)
+            self.foreign -= 1
+        elif self.foreign and tag == "text":
+            w.inline(" ")
+            self.kids(node, w, seen, pre, depth)
+            w.inline(" ")
+        elif tag == "br":
             if seen:
                 w.line("".join(w.parts))
                 w.parts, w.space = [], False
@@ -344,31 +384,54 @@ class Renderer:
             else:
                 self.node(kid, w, seen, pre, depth)
 
-    def rows_of(self, table: Node, seen: bool) -> Iterator[tuple[Node, bool]]:
+    def rows_of(self, table: Node, seen: bool, around: set[int]) -> Iterator[tuple[Node, bool]]:
         for kid in table.kids:
             if isinstance(kid, str) or (how := self.how(kid)) == "display":
                 continue
             own = False if how == "visibility" else True if how == "shown" else seen
             if kid.tag == "tr":
                 yield kid, own
-            elif kid.tag in ("thead", "tbody", "tfoot"):
-                yield from self.rows_of(kid, own)
+            elif id(kid) in around:
+                yield from self.rows_of(kid, own, around)
 
-    def table(self, table: Node, w: Writer, seen: bool, depth: int) -> None:
-        w.block(True)
-        stray = [k for k in table.kids if (isinstance(k, str) and not k.isspace()) or (not isinstance(k, str) and k.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup", "col"))]
-        for k in stray:  # captions, and what does not belong into a table
+    def strays(self, node: Node, w: Writer, seen: bool, depth: int, around: set[int]) -> None:
+        """Captions, and what does not belong into a table, its sections and rows."""
+        for k in node.kids:
             if isinstance(k, str):
-                if seen:
+                if seen and not k.isspace():
                     w.inline(k)
-            else:
+            elif k.tag == "tr" or id(k) in around:
+                if (how := self.how(k)) != "display":
+                    inner = Node(k.tag, k.attrs)
+                    inner.kids = [x for x in k.kids if isinstance(x, str)] if k.tag == "tr" else k.kids
+                    self.strays(inner, w, False if how == "visibility" else True if how == "shown" else seen, depth, around)
+            elif k.tag not in ("colgroup", "col"):
                 self.node(k, w, seen, False, depth)
+
+    def table(self, table: Node, w: Writer, seen: bool, depth: int) -> None:
+        w.block(True)
+        around, todo = set(), [(table, ())]  # sections, and what else has rows of this table in it
+        while todo:
+            node, above = todo.pop()
+            for k in node.kids:
+                if isinstance(k, str) or k.tag == "table":
+                    continue
+                if k.tag == "tr":
+                    up = above
+                    while up and id(up[0]) not in around:
+                        around.add(id(up[0]))
+                        up = up[1]
+                else:
+                    if k.tag in ("thead", "tbody", "tfoot"):
+                        around.add(id(k))
+                    todo.append((k, (k, above)))
+        self.strays(table, w, seen, depth, around)
         w.flush()
         grid: list[dict[int, list[str]]] = []
         below: dict[int, int] = {}
         spans: list[tuple[int, int, int]] = []
         span = lambda c, k: min(max(int(c.attrs[k]), 1), 1000) if c.attrs.get(k, "").isdecimal() else 1
-        for row, shown in self.rows_of(table, seen):
+        for row, shown in self.rows_of(table, seen, around):
             cells: dict[int, list[str]] = {}
             below = {c: n - 1 for c, n in below.items() if n > 1}
             at = 0

@@ -226,6 +226,16 @@ def test_html_cases():
     assert html_text.render("<details><summary>S</summary>no</details>") == "S"
 
 
+def test_html_shows_strays_screen_rules_and_foreign_text():
+    r = html_text.render
+    assert r("<table><tbody><form><tr><td>a<td>b</tr><tr><td>c<td>d</tr></form></tbody></table>").split() == ["a", "b", "c", "d"]
+    assert r("<table><tbody>one<tr>two<td>x</td></tr><div>three</div></tbody></table>").split() == ["onetwo", "three", "x"]
+    assert r("<table><tbody><form hidden><tr><td>a</tr></form><tr><td>b</table>") == "b"
+    assert r("<style>@import 'x'; @media print {.nav {display:none} .b {display:none}} .a {display:none}</style><p class=nav>n<p class=a>a<p class=b>b").split() == ["n", "b"]
+    assert r("<style>@media screen {.nav {display:none}}</style><p class=nav>n<p>b") == "b"
+    assert r("<p>see <svg><title>t</title><defs/><text>up</text><text>down</text><desc>no</desc></svg> and <math><mi>x</mi><mo>=</mo><mn>1</mn></math> end") == "see up down and x=1 end"
+
+
 def test_html_frame(spark):
     df = spark.createDataFrame([(1, "<p>a<p>b"), (1, "<p>a<p>b"), (None, None), (2, "")], "page_id long, html string")
     got = html_text.visible_text(df.withColumn("text", F.lit(1))).collect()

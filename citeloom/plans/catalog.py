@@ -411,6 +411,11 @@ def _(v):
     return identity.year_windows(v.mentions().where("year % 4 <> 2"))
 
 
+@query("year_windows_all", ORACLES["year_windows"].replace(" WHERE year % 4 <> 2", ""))
+def _(v):
+    return identity.year_windows(v.mentions())
+
+
 @query("variant_rule", "SELECT a.p_partkey AS a, b.p_partkey AS b, CASE WHEN levenshtein(CAST(a.p_size AS VARCHAR), CAST(b.p_size AS VARCHAR)) = 1 AND a.p_partkey % 9 = b.p_partkey % 9 THEN 'typo_number' WHEN a.p_size = b.p_size AND abs(a.p_partkey % 9 - b.p_partkey % 9) = 1 THEN 'typo_year' END AS kind FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_name = b.p_name AND a.p_partkey < b.p_partkey WHERE kind IS NOT NULL")
 def _(v):
     key = F.concat_ws("|", (F.col("p_partkey") % 9 + 1990).cast("string"), F.lit(""), fn.nk("p_brand"), F.lit(""), F.col("p_size").cast("string"))

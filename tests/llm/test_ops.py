@@ -347,7 +347,7 @@ def brute_contamination(text, items):
     return len(doc), len(hit), sorted(names)
 
 
-@pytest.mark.parametrize("block_bytes", [16_000_000, 300])
+@pytest.mark.parametrize("block_bytes", [1_000_000, 300])
 def test_contamination_matches_brute_force(spark, block_bytes):
     rng = random.Random(4)
     items = [(i, prose(rng, n)) for i, n in enumerate([40, 14, 13, 12, 5, 2, 1, 30, 30, 0])] + [(10, None), (11, "É" + prose(rng, 20))]
@@ -376,8 +376,39 @@ def test_contamination_odd(spark, odd_docs, no_docs):
     assert decontaminate.search(odd_docs, b).count() == odd_docs.count()
     assert decontaminate.search(odd_docs, b.limit(0)).where("contaminated").count() == 0
     assert decontaminate.search(no_docs, b).count() == 0
-    kept = decontaminate.drop_contaminated(odd_docs, b)
-    assert kept.columns == odd_docs.columns and {1, 2, 6}.isdisjoint({r.doc_id for r in kept.collect()})
+    for size in (1_000_000, 4):
+        kept = decontaminate.drop_contaminated(odd_docs, b, block_bytes=size)
+        assert kept.schema == odd_docs.schema and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 4, 5, 7, 8]
+    none = spark.createDataFrame([(None, "lazy dog"), (None, "owls"), (3, "owls")], "item_id long, text string")
+    assert {tuple(r.items) for r in decontaminate.search(odd_docs, none).where("n_hit > 0").collect()} == {("", "3")}
+
+
+def test_no_window_is_left_whatever_its_share(spark):
+    rng = random.Random(21)
+    items = [(i, prose(rng, 40)) for i in range(20)]
+    docs = [(i, " ".join([prose(rng, 600), items[i % 20][1] if i % 3 == 0 else "", prose(rng, 600)])) for i in range(60)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    assert decontaminate.search(d, b).where("contaminated").count() == 0 < decontaminate.search(d, b).where("n_hit > 0").count()
+    for size in (1_000_000, 2_000):
+        kept = decontaminate.drop_contaminated(d, b, block_bytes=size)
+        assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(60) if i % 3]
+        assert decontaminate.search(kept, b).where("n_hit > 0").count() == 0
+
+
+def test_long_items_are_cut_without_losing_windows(monkeypatch):
+    monkeypatch.setattr(decontaminate, "SEGMENT_WORDS", 7)
+    text = " ".join(f"w{i}" for i in range(100))
+    batch = pa.RecordBatch.from_pydict({"k": ["a", "b", "c"], "t": [text, "one two", None]})
+    cut = [r for b in decontaminate._segments(13)(iter([batch])) for r in b.to_pylist()]
+    for k, t in (("a", text), ("b", "one two")):
+        w = t.split()
+        want = {tuple(w[i : i + 13]) for i in range(max(1, len(w) - 12))}
+        got = set()
+        for r in cut:
+            v = r["t"].split()
+            got |= {tuple(v[i : i + 13]) for i in range(max(1, len(v) - 12))} if r["k"] == k else set()
+        assert got == want
 
 
 # --- mixing

@@ -41,7 +41,7 @@ from citeloom.staging import fresh, staged
 
 WINDOW = 13
 #: Bytes of benchmark text whose windows are searched for in one pass, about.
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 2_000_000
 SEGMENT_WORDS = 20_000
 _EMPTY = np.zeros(0, np.int64)
 

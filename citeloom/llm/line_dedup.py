@@ -13,17 +13,21 @@ Resolving documents asks the filters first, so that the exact table is only met
 by lines that may be repeated (all that are, and few others). Lines of a
 repeated key go, except in the largest document id that holds it.
 
-Plan: lines are cut, hashed and counted per document while scanning; counts per
-key are pre-aggregated before their exchange, so a line that a third of all
-documents hold costs one row per map task. Filters are broadcast only while all
-together have at most ``BROADCAST_BYTES``; beyond that every line key meets the
-exact table, with the same result. The join with the counts has one row per key
-on their side and small rows on the other, so AQE may split a hot key.
+Plan: lines are cut, hashed and counted per document while scanning, and staged;
+counts per key are pre-aggregated before their exchange, so a line that a third
+of all documents hold costs one row per map task. Line keys and filters meet by
+shard: a shard of many lines is dealt over several groups of about ``GROUP_LINES``,
+each with a copy of the shard's filter, so neither a hot line nor a large corpus
+makes a large group, and no filter is broadcast. The join of what passes with the
+exact table has one row per key on that side and small rows on the other, so AQE
+may split a hot key.
 
 Defined results: a null or empty text is one empty line; keys shorter than
 ``min_chars`` code points never count; rows of equal id are one document for
 counting; null ids are no documents and lose repeated lines; an empty table
-gives an empty index; other columns are kept by ``drop_repeated``.
+gives an empty index; other columns are kept by ``drop_repeated``. ``delete`` fails
+when a document holds lines that the index does not have of it (it was never
+inserted, or its text has changed); one without any counted line leaves no trace.
 """
 
 from __future__ import annotations
@@ -41,9 +45,9 @@ from citeloom.llm.textvec import LOWER_TABLE, mix, small_batches, text_slices
 from citeloom.staging import fresh, staged
 
 STRIP = " \t\n\x0b\x0c\r"
-BROADCAST_BYTES = 32_000_000
-#: Keys of a shard, about.
-SHARD_KEYS = 200_000
+#: Keys of a shard, and lines that ask one copy of its filter, about.
+SHARD_KEYS = 20_000
+GROUP_LINES = 50_000
 _SLOTS = 4
 
 
@@ -123,11 +127,10 @@ def key_hash(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), np.uint64)[::2].copy() if keys else np.zeros(0, np.uint64)
 
 
-def _lines_of(min_chars: int, filters=None, shards: int = 1):
-    """Rows (id, key, number of lines) of documents; with filters only of keys that they have."""
+def _lines_of(min_chars: int):
+    """Rows (id, key, place of the key among the shards, number of lines) of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {k: CuckooFilter.from_bytes(v) for k, v in filters.value.items()} if filters is not None else None
         for whole in batches:
             for batch in text_slices(whole, 1):
                 rows, keys, counts = [], [], []
@@ -139,33 +142,20 @@ def _lines_of(min_chars: int, filters=None, shards: int = 1):
                     rows += [i] * len(own)
                     keys += own
                     counts += own.values()
-                rows, counts = np.array(rows, np.int64), np.array(counts, np.int64)
-                if known is not None and keys:
-                    h = key_hash(keys)
-                    shard = (h >> np.uint64(24)) % np.uint64(shards)
-                    keep = np.zeros(len(h), bool)
-                    for s in np.unique(shard).tolist():
-                        if s in known:
-                            here = np.flatnonzero(shard == s)
-                            keep[here] = known[s].contains(h[here])
-                    keep = np.flatnonzero(keep)
-                    rows, counts, keys = rows[keep], counts[keep], [keys[i] for i in keep.tolist()]
-                if len(rows):
-                    yield pa.RecordBatch.from_pydict({"_id": batch.column(0).take(pa.array(rows)), "_key": pa.array(keys, pa.binary()), "_n": pa.array(counts)})
+                if rows:
+                    place = (key_hash(keys) >> np.uint64(24)).astype(np.int64)
+                    yield pa.RecordBatch.from_pydict({"_id": batch.column(0).take(pa.array(rows, pa.int64())), "_key": pa.array(keys, pa.binary()), "_place": pa.array(place), "_n": pa.array(counts, pa.int64())})
 
     return run
 
 
-def _shard(shards: int):
-    """The shard of a key as the filters count it: bits of its first eight bytes, read little-endian."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = b.column("_key").to_pylist()
-            out = {n: b.column(n) for n in b.schema.names}
-            yield pa.RecordBatch.from_pydict({"_shard": pa.array(((key_hash(keys) >> np.uint64(24)) % np.uint64(shards)).astype(np.int64))} | out)
-
-    return run
+def _ask(key: tuple, lines: pa.Table, held: pa.Table) -> pa.Table:
+    """The lines of a group that their shard's filter has."""
+    lines = lines.select(["_id", "_key"])
+    if not held.num_rows or not lines.num_rows:
+        return lines.slice(0, 0)
+    known = CuckooFilter.from_bytes(held.column("filter")[0].as_py())
+    return lines.filter(pa.array(known.contains(key_hash(lines.column("_key").to_pylist()))))
 
 
 def _update(key: tuple, held: pa.Table, change: pa.Table) -> pa.Table:
@@ -182,7 +172,7 @@ def _update(key: tuple, held: pa.Table, change: pa.Table) -> pa.Table:
 
 @dataclass
 class LineIndex:
-    """refs (_id, _key, _n), repeated (_key, _docs, _last) and filters (_shard, n, filter)."""
+    """refs (_id, _key, _place, _n), repeated (_key, _place, _docs, _last) and filters (_shard, n, filter), all staged."""
 
     refs: DataFrame
     repeated: DataFrame
@@ -193,32 +183,33 @@ class LineIndex:
 
 
 def _repeated(refs: DataFrame, min_docs: int) -> DataFrame:
-    return refs.groupBy("_key").agg(F.count_distinct("_id").alias("_docs"), F.max("_id").alias("_last")).where(F.col("_docs") >= min_docs)
+    return refs.groupBy("_key", "_place").agg(F.count_distinct("_id").alias("_docs"), F.max("_id").alias("_last")).where(F.col("_docs") >= min_docs)
 
 
 def _changed(index: LineIndex | None, refs: DataFrame, min_docs: int, min_chars: int, shards: int | None) -> LineIndex:
+    refs = staged(refs, "line-refs")
     repeated = staged(_repeated(refs, min_docs), "line-keys")
     n = repeated.count()
     if index is not None and n > 1.8 * (index.filters.agg(F.sum("n")).first()[0] or 0):
         index = None  # the filters are outgrown: build them anew
     if shards is None:
         shards = index.shards if index else max(1, -(-n // SHARD_KEYS))
-    now = repeated.select("_key", F.lit(1).alias("_sign"))
+    now = repeated.select("_key", "_place", F.lit(1).alias("_sign"))
     if index is None:
         held = refs.sparkSession.createDataFrame([], "_shard long, n long, filter binary")
     else:
         held = index.filters
-        before = index.repeated.select("_key", F.lit(-1).alias("_sign"))
-        now = now.unionByName(before).groupBy("_key").agg(F.sum("_sign").cast("int").alias("_sign")).where("_sign <> 0")
-    change = now.mapInArrow(_shard(shards), "_shard long, _key binary, _sign int")
+        before = index.repeated.select("_key", "_place", F.lit(-1).alias("_sign"))
+        now = now.unionByName(before).groupBy("_key", "_place").agg(F.sum("_sign").cast("int").alias("_sign")).where("_sign <> 0")
+    change = now.select((F.col("_place") % shards).alias("_shard"), "_key", "_sign")
     touched = held.groupBy("_shard").cogroup(change.groupBy("_shard")).applyInArrow(_update, "_shard long, n long, filter binary")
     return LineIndex(refs, repeated, staged(touched, "line-filters"), shards, min_docs, min_chars)
 
 
-def line_refs(docs: DataFrame, id_col: str, text_col: str, min_chars: int, filters=None, shards: int = 1) -> DataFrame:
+def line_refs(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     small_batches(docs)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(_lines_of(min_chars, filters, shards), f"_id {rows.schema['_id'].dataType.simpleString()}, _key binary, _n long")
+    return rows.mapInArrow(_lines_of(min_chars), f"_id {rows.schema['_id'].dataType.simpleString()}, _key binary, _place long, _n long")
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 3, min_chars: int = 20, shards: int | None = None) -> LineIndex:
@@ -226,17 +217,31 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _changed(None, line_refs(docs, id_col, text_col, min_chars), min_docs, min_chars, shards)
 
 
+def _summed(index: LineIndex, change: DataFrame) -> DataFrame:
+    return index.refs.unionByName(change).groupBy("_id", "_key", "_place").agg(F.sum("_n").alias("_n"))
+
+
 def insert(index: LineIndex, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
-    new = line_refs(docs, id_col, text_col, index.min_chars)
-    refs = staged(index.refs.unionByName(new).groupBy("_id", "_key").agg(F.sum("_n").alias("_n")), "line-refs")
-    return _changed(index, refs, index.min_docs, index.min_chars, None)
+    return _changed(index, _summed(index, line_refs(docs, id_col, text_col, index.min_chars)), index.min_docs, index.min_chars, None)
 
 
 def delete(index: LineIndex, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
     """Undo the insertion of exactly these documents."""
     old = line_refs(docs, id_col, text_col, index.min_chars).withColumn("_n", -F.col("_n"))
-    refs = staged(index.refs.unionByName(old).groupBy("_id", "_key").agg(F.sum("_n").alias("_n")).where("_n > 0"), "line-refs")
-    return _changed(index, refs, index.min_docs, index.min_chars, None)
+    refs = staged(_summed(index, old), "line-refs")
+    if not refs.where("_n < 0").isEmpty():
+        raise ValueError("some of these documents are not in the index as they are now")
+    return _changed(index, refs.where("_n > 0"), index.min_docs, index.min_chars, None)
+
+
+def maybe_repeated(lines: DataFrame, index: LineIndex) -> DataFrame:
+    """Of lines (_id, _key, _place) those whose key is in the filters: all repeated ones and few others."""
+    dealt = lines.select((F.col("_place") % index.shards).alias("_shard"), "_id", "_key")
+    groups = staged(dealt.groupBy("_shard").agg(F.ceil(F.count(F.lit(1)) / GROUP_LINES).alias("_groups")), "line-groups")
+    asked = dealt.join(groups, "_shard").select("_shard", F.pmod(F.xxhash64("_id", "_key"), "_groups").alias("_group"), "_id", "_key")
+    copies = index.filters.join(groups, "_shard").select("_shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_groups") - 1)).alias("_group"), "filter")
+    kind = lines.schema["_id"].dataType.simpleString()
+    return asked.groupBy("_shard", "_group").cogroup(copies.groupBy("_shard", "_group")).applyInArrow(_ask, f"_id {kind}, _key binary")
 
 
 def _cut(text_at: int, keys_col: str, min_chars: int, digest: bool):
@@ -261,14 +266,9 @@ def _cut(text_at: int, keys_col: str, min_chars: int, digest: bool):
     return run
 
 
-def _resolved(docs: DataFrame, index: LineIndex, id_col: str, text_col: str, digest: bool) -> DataFrame:
-    spark = docs.sparkSession
-    size = index.filters.agg(F.sum(F.octet_length("filter"))).first()[0] or 0
-    filters = None
-    if size <= BROADCAST_BYTES:
-        filters = spark.sparkContext.broadcast({r._shard: bytes(r.filter) for r in index.filters.select("_shard", "filter").toLocalIterator()})
-    held = line_refs(docs, id_col, text_col, index.min_chars, filters, index.shards)
-    drops = held.join(index.repeated, "_key").where(~F.col("_id").eqNullSafe(F.col("_last"))).groupBy(F.col("_id").alias(fresh(docs, "_of"))).agg(F.collect_set("_key").alias(fresh(docs, "_keys")))
+def _resolved(docs: DataFrame, index: LineIndex, lines: DataFrame, id_col: str, text_col: str, digest: bool) -> DataFrame:
+    held = maybe_repeated(lines, index)
+    drops = held.join(index.repeated.select("_key", "_last"), "_key").where(~F.col("_id").eqNullSafe(F.col("_last"))).groupBy(F.col("_id").alias(fresh(docs, "_of"))).agg(F.collect_set("_key").alias(fresh(docs, "_keys")))
     of, keys = drops.columns
     names = docs.columns
     joined = docs.join(drops, docs[id_col].eqNullSafe(drops[of]), "left").select(*[docs[f"`{c}`"] for c in names if c != text_col], docs[text_col].cast("string").alias(text_col), keys)
@@ -277,13 +277,21 @@ def _resolved(docs: DataFrame, index: LineIndex, id_col: str, text_col: str, dig
     return joined.mapInArrow(_cut(at, keys, index.min_chars, digest), schema + ", n_lines long, n_dropped long, kept_sha256 string" * digest)
 
 
+def _indexed(docs: DataFrame, index: LineIndex | None, id_col: str, text_col: str, options: dict) -> tuple[LineIndex, DataFrame]:
+    """The index to ask (one of these documents where none is given), and their lines."""
+    if index is not None:
+        return index, line_refs(docs, id_col, text_col, index.min_chars)
+    index = build_index(docs, id_col, text_col, **options)
+    return index, index.refs
+
+
 def dedup_report(docs: DataFrame, index: LineIndex | None = None, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per document: id, kept text, number of lines, dropped lines and SHA-256 of what stays."""
-    index = index or build_index(docs, id_col, text_col, **options)
-    return _resolved(docs.select(id_col, text_col), index, id_col, text_col, True)
+    index, lines = _indexed(docs, index, id_col, text_col, options)
+    return _resolved(docs.select(id_col, text_col), index, lines, id_col, text_col, True)
 
 
 def drop_repeated(docs: DataFrame, index: LineIndex | None = None, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents with repeated lines taken out of their texts, all columns kept."""
-    index = index or build_index(docs, id_col, text_col, **options)
-    return _resolved(docs, index, id_col, text_col, False).select(*docs.columns)
+    index, lines = _indexed(docs, index, id_col, text_col, options)
+    return _resolved(docs, index, lines, id_col, text_col, False).select(*docs.columns)

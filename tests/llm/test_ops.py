@@ -473,6 +473,19 @@ def test_line_index_is_reversible(spark):
     assert held == len(table(first))
     got = {r.doc_id: r.kept_sha256 for r in line_dedup.dedup_report(a, back).collect()}
     assert got == {r.doc_id: r.kept_sha256 for r in line_dedup.dedup_report(a, first).collect()}
+    with pytest.raises(ValueError):
+        line_dedup.delete(back, b)
+
+
+def test_filters_let_through_all_repeated_lines_and_few_others(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "GROUP_LINES", 50)
+    lines = [(i, f"the one line that every document has\nonly document number {i} has this line\npair {i // 4} of lines in four documents") for i in range(400)]
+    df = spark.createDataFrame(lines, "doc_id long, text string")
+    for shards in (1, 3):
+        index = line_dedup.build_index(df, shards=shards)
+        got = line_dedup.maybe_repeated(index.refs, index)
+        assert got.join(index.repeated, "_key", "left_semi").count() == 800 and got.count() < 810
+    assert {r.n_dropped for r in line_dedup.dedup_report(df).where("doc_id % 4 <> 3").collect()} == {2}
 
 
 def test_cuckoo_filter():

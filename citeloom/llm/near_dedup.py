@@ -14,16 +14,22 @@ of what is confirmed.
 Plan. Documents are dealt into blocks of about ``BLOCK_BYTES`` of text. (1) Each
 block sends its distinct shingle hashes, sorted and in delta-coded binary
 columns, to ranges of the hash space; a range adds up df and sends back one
-answer to each block: no row is made per shingle, and a shingle of every
-document costs one entry per block. (2) Blocks meet their answers and give each
+answer to each block: a shingle of every document costs one entry per block, and
+a row holds the shingles that a block and a range have in common. Blocks and ranges
+grow with the root of the input up to eightfold, which keeps rows long up to some
+terabytes; beyond, a row tends to one shingle, as in any exchange of shingles. (2) Blocks meet their answers and give each
 document's band keys and its idf codes, a byte for each shingle. (3) Of equal
 texts one stands for all from here on. Inside each band key every document is
 compared with the key's smallest document, not with every other one; these
 star-shaped links are verified exactly, with leaders salted where many follow
-one. Documents that the leader does not confirm are then compared with all
-others of their key that are not already in their class, in blocks of about
-``BLOCK_DOCS`` documents or ``BLOCK_HASH_BYTES`` of hashes, whichever is less, so no
-link inside a key is lost and no task holds a whole key.
+one. In keys that still hold documents of several classes, ``LEADERS`` more documents
+from outside the key's largest class are compared in the same way with all of its
+documents of other classes. What is left, the pairs of different classes with a member
+outside the key's largest class, is compared in full: similar documents have similar
+total weights, so only documents of neighbouring weight bands meet, in blocks of about
+``BLOCK_DOCS`` documents or ``BLOCK_HASH_BYTES`` of hashes, whichever is less, and a pair
+of blocks returns only links that join two classes which it has not joined yet. So no
+link inside a key is lost, no task holds a whole key, and no group writes all its pairs.
 (4) Components come from alternating large-star and small-star rounds over
 staged tables. Ids of candidates are broadcast only while there are at most
 ``BROADCAST_IDS`` of them.
@@ -42,7 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm.textvec import SLICE_BYTES, mix, shingles, slices, small_batches, word_hashes
@@ -54,9 +60,11 @@ BANDS, ROWS = 10, 3
 BLOCK_BYTES = 4_000_000
 #: Shingles of a range of the hash space, about.
 RANGE_SHINGLES = 500_000
+#: More documents of a key that all its documents of other classes are compared with.
+LEADERS = 8
 #: Documents of a block of a key, and bytes of their shingle hashes, about.
-BLOCK_DOCS = 2_000
-BLOCK_HASH_BYTES = 8_000_000
+BLOCK_DOCS = 400
+BLOCK_HASH_BYTES = 4_000_000
 #: Shingles whose samples are drawn at once, about.
 CHUNK_SHINGLES = 200_000
 #: Documents that meet one copy of their leader's vector.
@@ -214,7 +222,8 @@ def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """Staged table of (_id, _same, _keys, _codes) for all rows of docs (_id, _text)."""
     small_batches(docs)
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("b")).first()
-    blocks, ranges = max(1, -(-size.b // BLOCK_BYTES)), max(1, -(-size.b // (6 * RANGE_SHINGLES)))
+    grow = min(8.0, max(1.0, (size.b / 30e9) ** 0.5))
+    blocks, ranges = max(1, int(-(-size.b // (grow * BLOCK_BYTES)))), max(1, int(-(-size.b // (6 * grow * RANGE_SHINGLES))))
     kind = docs.schema["_id"].dataType.simpleString()
     dealt = docs.select(F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(blocks)).alias("_block"), "_id", "_text")
     sent = dealt.groupBy("_block").applyInArrow(_send(ranges), "_block long, _range long, hashes binary, df binary")
@@ -230,15 +239,17 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b = batch.slice(lo, hi - lo)
             h, tf, offs = doc_shingles(b.column(1))
             codes = b.column(2).to_pylist()
-            hs, ws = [], []
+            hs, ws, tops = [], [], []
             fits = np.array([len(c) for c in codes], np.int64) == np.diff(offs)  # else of another text with this id
             b = b.filter(pa.array(fits))
             for i, (x, y) in enumerate(zip(offs[:-1], offs[1:], strict=True)):
                 if not fits[i]:
                     continue
                 hs.append(h[x:y].tobytes())
-                ws.append(weights(np.frombuffer(codes[i], np.uint8), tf[x:y]).tobytes())
-            yield pa.RecordBatch.from_pydict({"_id": b.column(0), "_h": pa.array(hs, pa.binary()), "_w": pa.array(ws, pa.binary())})
+                w = weights(np.frombuffer(codes[i], np.uint8), tf[x:y])
+                ws.append(w.tobytes())
+                tops.append(float(w.sum(dtype=np.float64)))
+            yield pa.RecordBatch.from_pydict({"_id": b.column(0), "_h": pa.array(hs, pa.binary()), "_w": pa.array(ws, pa.binary()), "_top": pa.array(tops, pa.float64())})
 
 
 def similarity(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndarray) -> float:
@@ -264,7 +275,7 @@ def _verify(threshold: float):
 
 
 def _rest(threshold: float):
-    """Links between a block of unconfirmed documents of a key and a block of the key's documents."""
+    """Links between a block of documents outside a key's largest class and a block of the key's documents: a forest over their classes."""
 
     def run(key: tuple, few: pa.Table, many: pa.Table) -> pa.Table:
         a = [(i, c, *_vec(h, w)) for i, c, h, w in zip(*(few.column(x).to_pylist() for x in ("_id", "_c", "_h", "_w")), strict=True)]
@@ -278,7 +289,13 @@ def _rest(threshold: float):
             order = np.argsort(held, kind="stable")
             held, whose, value = held[order], whose[order], value[order]
             start = np.searchsorted(held, np.arange(len(names) + 1))
-            comp = {i: c for i, c, *_ in a}
+            joined: dict = {}
+
+            def root(c):
+                while c in joined:
+                    c = joined[c]
+                return c
+
             for i, c, h, w in zip(*(many.column(x).to_pylist() for x in ("_id", "_c", "_h", "_w")), strict=True):
                 h, w = _vec(h, w)
                 at = np.minimum(np.searchsorted(names, h), len(names) - 1)
@@ -287,12 +304,56 @@ def _rest(threshold: float):
                 pos = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
                 low = np.bincount(whose[pos], np.minimum(value[pos], np.repeat(w[hit], n)), len(a))
                 found = np.flatnonzero(low >= threshold * (tops + w.sum(dtype=np.float64) - low))
-                out += [(a[k][0], i) for k in found.tolist() if a[k][0] != i and comp[a[k][0]] != c]
+                for k in found.tolist():
+                    x, y = root(a[k][1]), root(c)
+                    if x != y:
+                        joined[x] = y
+                        out.append((a[k][0], i))
         return pa.table({"_a": pa.array([x for x, _ in out], kind), "_b": pa.array([x for _, x in out], kind)})
 
     return run
 
 
+def _confirmed(pairs: DataFrame, vectors: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """Those of the pairs (_id, _lead) that are similar enough; a leader's vector is copied for every ``FOLLOWERS`` of its pairs."""
+    salts = pairs.groupBy("_lead").agg((F.floor(F.count(F.lit(1)) / FOLLOWERS) + 1).alias("_salts"))
+    led = vectors.join(salts, F.col("_id") == F.col("_lead")).select("_lead", F.col("_h").alias("_lh"), F.col("_w").alias("_lw"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"))
+    salted = pairs.join(salts, "_lead").select("_id", "_lead", F.pmod(F.xxhash64("_id"), F.col("_salts")).alias("_salt"))
+    both = salted.join(vectors, "_id").join(led, ["_lead", "_salt"]).select("_id", "_lead", "_h", "_w", "_lh", "_lw")
+    checked = staged(both.mapInArrow(_verify(threshold), f"_id {kind}, _lead {kind}, _ok boolean").where("_ok"), "near-checked")
+    return checked.select(F.col("_id").alias("_a"), F.col("_lead").alias("_b"))
+
+
+def _more_stars(named: DataFrame, few: DataFrame, vectors: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """Links of a few more leaders of each key with the key's documents of other classes."""
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("_id", F.lit(9)), "_id"))
+    lead = few.where("_id <> _lead").withColumn("_nth", nth).where(F.col("_nth") <= LEADERS).select("_key", F.col("_id").alias("_new"), F.col("_c").alias("_nc"))
+    pairs = named.join(lead, "_key").where("_c <> _nc").select("_id", F.col("_new").alias("_lead")).distinct()
+    return _confirmed(staged(pairs, "near-stars"), vectors, threshold, kind)
+
+
+def _compared(named: DataFrame, few: DataFrame, vectors: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """Links of all pairs of different classes inside a key, each class pair of a pair of blocks once."""
+    band = F.floor(F.log("_top") / (-1.001 * np.log(threshold))).alias("_band")
+    light = vectors.select("_id", band, F.octet_length("_h").alias("_len"))
+    parts = (F.floor(F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum("_len") / BLOCK_HASH_BYTES)) + 1).alias("_parts")
+    many = named.join(light, "_id").select("_key", "_band", "_id", "_c", "_len")
+    near = F.explode(F.array(*[F.col("_band") + i for i in (-1, 0, 1)])).alias("_band")
+    few = few.join(light, "_id").select("_key", near, "_id", "_c", "_len")
+    split = few.groupBy("_key", "_band").agg(parts).withColumnRenamed("_parts", "_fb").join(many.groupBy("_key", "_band").agg(parts).withColumnRenamed("_parts", "_mb"), ["_key", "_band"])
+    split = staged(split, "near-split")
+    deal = lambda n, seed: F.pmod(F.xxhash64("_id", F.lit(seed)), n)
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    on = ["_key", "_band"]
+    vec = vectors.select("_id", "_h", "_w")
+    few = few.join(split, on).withColumn("_i", deal(F.col("_fb"), 1)).withColumn("_j", each("_mb")).select(*on, "_i", "_j", "_id", "_c").join(vec, "_id")
+    many = many.join(split, on).withColumn("_j", deal(F.col("_mb"), 2)).withColumn("_i", each("_fb")).select(*on, "_i", "_j", "_id", "_c").join(vec, "_id")
+    few = few.select(*[F.col(c).alias(c) for c in few.columns])  # new column ids: both sides come from the same tables
+    many = many.select(*[F.col(c).alias(c) for c in many.columns])
+    at = [*on, "_i", "_j"]
+    return staged(few.groupBy(*at).cogroup(many.groupBy(*at)).applyInArrow(_rest(threshold), f"_a {kind}, _b {kind}").distinct(), "near-more")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: id, class_id, class_size and kept (the class's smallest id)."""
     rows_in = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
@@ -311,38 +372,23 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     some = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
     codes = signed.join(some, "_id", "left_semi").groupBy("_id").agg(F.first("_codes").alias("_codes"))
     texts = rows_in.join(some, "_id", "left_semi")
-    vectors = staged(texts.join(codes, "_id").select("_id", "_text", "_codes").mapInArrow(_vectors, f"_id {kind}, _h binary, _w binary").dropDuplicates(["_id"]), "near-vectors")
+    vectors = staged(texts.join(codes, "_id").select("_id", "_text", "_codes").mapInArrow(_vectors, f"_id {kind}, _h binary, _w binary, _top double").dropDuplicates(["_id"]), "near-vectors")
 
-    salts = pairs.groupBy("_lead").agg((F.floor(F.count(F.lit(1)) / FOLLOWERS) + 1).alias("_salts"))
-    led = vectors.join(salts, F.col("_id") == F.col("_lead")).select("_lead", F.col("_h").alias("_lh"), F.col("_w").alias("_lw"), "_salts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"))
-    salted = pairs.join(salts, "_lead").select("_id", "_lead", F.pmod(F.xxhash64("_id"), F.col("_salts")).alias("_salt"))
-    checked = staged(
-        salted.join(vectors, "_id").join(led.drop("_salts"), ["_lead", "_salt"]).select("_id", "_lead", "_h", "_w", "_lh", "_lw").mapInArrow(_verify(threshold), f"_id {kind}, _lead {kind}, _ok boolean"),
-        "near-checked",
-    )
-    links = checked.where("_ok").select(F.col("_id").alias("_a"), F.col("_lead").alias("_b"))
+    links = _confirmed(pairs, vectors, threshold, kind)
     first = connected_components(links, "_a", "_b")
-
-    # what the leaders did not confirm, against the rest of its keys
-    open_ = checked.where("not _ok").select("_id", "_lead")
-    if not open_.isEmpty():
-        named = member.join(first.select(F.col("node").alias("_id"), F.col("component").alias("_got")), "_id", "left").withColumn("_c", F.coalesce("_got", "_id")).drop("_got")
-        named = named.join(vectors.select("_id", F.octet_length("_h").alias("_len")), "_id")
-        parts = F.floor(F.greatest(F.count(F.lit(1)) / BLOCK_DOCS, F.sum("_len") / BLOCK_HASH_BYTES)) + 1
-        mixed_keys = named.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"), F.count(F.lit(1)).alias("_m"), parts.alias("_mb")).where("_lo <> _hi and _m > 2").select("_key", "_mb")
-        few = named.join(open_, ["_id", "_lead"], "left_semi").join(mixed_keys, "_key")
-        counted = few.groupBy("_key").agg(parts.alias("_fb"))
-        deal = lambda n, seed: F.pmod(F.xxhash64("_id", F.lit(seed)), n)
-        split = staged(mixed_keys.join(counted, "_key").select("_key", "_fb", "_mb"), "near-split")
-        each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        few = few.drop("_mb").join(split, "_key").withColumn("_i", deal(F.col("_fb"), 1)).withColumn("_j", each("_mb")).select("_key", "_i", "_j", "_id", "_c").join(vectors, "_id")
-        many = named.join(split, "_key").withColumn("_j", deal(F.col("_mb"), 2)).withColumn("_i", each("_fb")).select("_key", "_i", "_j", "_id", "_c").join(vectors, "_id")
-        few = few.select(*[F.col(c).alias(c) for c in few.columns])  # new column ids: both sides come from the same tables
-        many = many.select(*[F.col(c).alias(c) for c in many.columns])
-        more = few.groupBy("_key", "_i", "_j").cogroup(many.groupBy("_key", "_i", "_j")).applyInArrow(_rest(threshold), f"_a {kind}, _b {kind}").distinct()
-        more = staged(more, "near-more")
-        if not more.isEmpty():
-            first = connected_components(links.unionByName(more), "_a", "_b")
+    for step in ("stars", "blocks"):
+        # keys with documents of several classes: what is outside their largest one
+        named = member.join(first.select(F.col("node").alias("_id"), F.col("component").alias("_got")), "_id", "left").select("_key", "_lead", "_id", F.coalesce("_got", "_id").alias("_c"))
+        held = named.groupBy("_key", "_c").agg(F.count(F.lit(1)).alias("_n")).groupBy("_key").agg(F.count(F.lit(1)).alias("_k"), F.max_by("_c", "_n").alias("_most")).where("_k > 1").select("_key", "_most")
+        named = staged(named.join(held, "_key"), "near-mixed")
+        few = named.where("_c <> _most")
+        more = _more_stars(named, few, vectors, threshold, kind) if step == "stars" else _compared(named, few, vectors, threshold, kind)
+        if more.isEmpty():
+            if step == "stars" and not few.isEmpty():
+                continue
+            break
+        links = links.unionByName(more)
+        first = connected_components(links, "_a", "_b")
 
     classes = stands.select("_same", "_rep").join(first.select(F.col("node").alias("_rep"), "component"), "_rep", "left").select("_same", F.coalesce("component", "_rep").alias("_class"))
     classed = staged(signed.select("_id", "_same").join(classes, "_same", "left").select("_id", F.coalesce("_class", "_id").alias("_class"), F.col("_same").isNotNull().alias("_has")), "near-classes")

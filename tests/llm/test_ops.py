@@ -184,6 +184,64 @@ def test_near_classes_match_brute_force(spark):
     assert all(got[i].class_size == want.count(want[i]) for i in got)
 
 
+def test_near_recall_at_the_shipped_bands(spark):
+    """Hundreds of pairs of similarity 0.8 to 0.9, and a large group of copies, by the operator as it is registered."""
+    rng = random.Random(31)
+    texts = []
+    for _ in range(400):
+        base = prose(rng, 100).split()
+        t = list(base)
+        for at in rng.sample(range(4, 96, 8), rng.choice([1, 2])):
+            t[at] = "edit" + str(rng.random())
+        texts += [" ".join(base), " ".join(t)]
+    base = prose(rng, 150).split()
+    for _ in range(120):
+        t = list(base)
+        for at in rng.sample(range(150), rng.choice([1, 2, 3])):
+            t[at] = "edit" + str(rng.random())
+        texts.append(" ".join(t))
+    sh = [Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split() for t in texts)]
+    df = Counter(k for c in sh for k in c)
+    names = list(df)
+    code = dict(zip(names, near_dedup.idf_codes(np.array([df[k] for k in names], float), len(sh)), strict=True))
+    wt = [{k: n * (1 + float(code[k]) / 255) for k, n in c.items()} for c in sh]
+    holds = defaultdict(list)
+    for i, c in enumerate(sh):
+        for k in c:
+            holds[k].append(i)
+    pairs = {p for v in holds.values() for p in itertools.combinations(v, 2)}
+    similar = []
+    for a, b in pairs:
+        low = sum(min(x, wt[b].get(k, 0)) for k, x in wt[a].items())
+        if (s := low / (sum(wt[a].values()) + sum(wt[b].values()) - low)) >= 0.8:
+            similar.append((a, b, s))
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cls = {r.doc_id: r.class_id for r in near_dedup.near_classes(d).collect()}
+    low = [(a, b) for a, b, s in similar if s < 0.9 and b < 800]
+    assert len(low) > 150
+    for some in (low, [(a, b) for a, b, _ in similar if a >= 800]):
+        assert np.mean([cls[a] == cls[b] for a, b in some]) >= 0.9
+    assert all(cls[2 * i] // 2 == i for i in range(400)) and min(cls[i] for i in range(800, 920)) == 800
+
+
+def test_near_blocks_lose_no_link(spark, monkeypatch):
+    """A key of many documents in chains and clusters: small blocks and no second leaders must still give all classes."""
+    monkeypatch.setattr(near_dedup, "BLOCK_DOCS", 3)
+    monkeypatch.setattr(near_dedup, "LEADERS", 1)
+    rng = random.Random(12)
+    texts = []
+    for _ in range(6):
+        t = prose(rng, 60).split()
+        for _ in range(7):  # each differs from the one before
+            t = list(t)
+            t[rng.randrange(len(t))] = "edit" + str(rng.random())
+            texts.append(" ".join(t))
+    rng.shuffle(texts)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(d, bands=60, rows=1).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_classes(texts, 0.8)
+
+
 def test_near_odd(odd_docs, no_docs):
     got = near_dedup.near_classes(odd_docs).collect()
     assert len(got) == odd_docs.count()

@@ -316,7 +316,8 @@ def _rest(threshold: float):
 
 def _confirmed(pairs: DataFrame, vectors: DataFrame, threshold: float, kind: str) -> DataFrame:
     """Those of the pairs (_id, _lead) that are similar enough; a leader's vector is copied for every ``FOLLOWERS`` of its pairs."""
-    salts = pairs.groupBy("_lead").agg((F.floor(F.count(F.lit(1)) / FOLLOWERS) + 1).alias("_salts"))
+    pairs = staged(pairs, "near-pairs")
+    salts = staged(pairs.groupBy("_lead").agg((F.floor(F.count(F.lit(1)) / FOLLOWERS) + 1).alias("_salts")), "near-salts")
     led = vectors.join(salts, F.col("_id") == F.col("_lead")).select("_lead", F.col("_h").alias("_lh"), F.col("_w").alias("_lw"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"))
     salted = pairs.join(salts, "_lead").select("_id", "_lead", F.pmod(F.xxhash64("_id"), F.col("_salts")).alias("_salt"))
     both = salted.join(vectors, "_id").join(led, ["_lead", "_salt"]).select("_id", "_lead", "_h", "_w", "_lh", "_lw")
@@ -324,12 +325,24 @@ def _confirmed(pairs: DataFrame, vectors: DataFrame, threshold: float, kind: str
     return checked.select(F.col("_id").alias("_a"), F.col("_lead").alias("_b"))
 
 
-def _more_stars(named: DataFrame, few: DataFrame, vectors: DataFrame, threshold: float, kind: str) -> DataFrame:
-    """Links of a few more leaders of each key with the key's documents of other classes."""
+def _mixed(member: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of keys with documents of several classes all documents with their class, and those outside the key's largest class."""
+    named = member.join(classes.select(F.col("node").alias("_id"), F.col("component").alias("_got")), "_id", "left").select("_key", "_lead", "_id", F.coalesce("_got", "_id").alias("_c"))
+    held = named.groupBy("_key", "_c").agg(F.count(F.lit(1)).alias("_n")).groupBy("_key").agg(F.count(F.lit(1)).alias("_k"), F.max_by("_c", "_n").alias("_most")).where("_k > 1").select("_key", "_most")
+    mixed = staged(named.join(staged(held, "near-most"), "_key"), "near-mixed")
+    return mixed, mixed.where("_c <> _most")
+
+
+def _more_stars(mixed: DataFrame, few: DataFrame, vectors: DataFrame, threshold: float, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Links of more leaders of each key with the key's documents of other classes; and the members of keys that have more than these."""
+    few = few.where("_id <> _lead")  # every document has met the first leader
     nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("_id", F.lit(9)), "_id"))
-    lead = few.where("_id <> _lead").withColumn("_nth", nth).where(F.col("_nth") <= LEADERS).select("_key", F.col("_id").alias("_new"), F.col("_c").alias("_nc"))
-    pairs = named.join(lead, "_key").where("_c <> _nc").select("_id", F.col("_new").alias("_lead")).distinct()
-    return _confirmed(staged(pairs, "near-stars"), vectors, threshold, kind)
+    lead = staged(few.withColumn("_nth", nth).where(F.col("_nth") <= LEADERS).select("_key", F.col("_id").alias("_new"), F.col("_c").alias("_nc")), "near-leaders")
+    also = lead.select("_key", F.col("_new").alias("_id"), F.lit(True).alias("_led"))
+    met = mixed.where("_id <> _lead").join(also, ["_key", "_id"], "left")
+    pairs = met.join(lead, "_key").where("_c <> _nc and (_led is null or _id < _new)").select("_id", F.col("_new").alias("_lead")).distinct()
+    large = staged(few.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LEADERS).select("_key"), "near-large")
+    return _confirmed(pairs, vectors, threshold, kind), mixed.select("_key", "_lead", "_id").join(large, "_key")
 
 
 def _compared(named: DataFrame, few: DataFrame, vectors: DataFrame, threshold: float, kind: str) -> DataFrame:
@@ -376,19 +389,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     links = _confirmed(pairs, vectors, threshold, kind)
     first = connected_components(links, "_a", "_b")
-    for step in ("stars", "blocks"):
-        # keys with documents of several classes: what is outside their largest one
-        named = member.join(first.select(F.col("node").alias("_id"), F.col("component").alias("_got")), "_id", "left").select("_key", "_lead", "_id", F.coalesce("_got", "_id").alias("_c"))
-        held = named.groupBy("_key", "_c").agg(F.count(F.lit(1)).alias("_n")).groupBy("_key").agg(F.count(F.lit(1)).alias("_k"), F.max_by("_c", "_n").alias("_most")).where("_k > 1").select("_key", "_most")
-        named = staged(named.join(held, "_key"), "near-mixed")
-        few = named.where("_c <> _most")
-        more = _more_stars(named, few, vectors, threshold, kind) if step == "stars" else _compared(named, few, vectors, threshold, kind)
-        if more.isEmpty():
-            if step == "stars" and not few.isEmpty():
-                continue
-            break
-        links = links.unionByName(more)
+    mixed, few = _mixed(member, first)
+    if not few.isEmpty():
+        more, member = _more_stars(mixed, few, vectors, threshold, kind)
+        links = staged(links.unionByName(more), "near-links")
         first = connected_components(links, "_a", "_b")
+        mixed, few = _mixed(member, first)
+        if not few.isEmpty():
+            more = _compared(mixed, few, vectors, threshold, kind)
+            if not more.isEmpty():
+                first = connected_components(links.unionByName(more), "_a", "_b")
 
     classes = stands.select("_same", "_rep").join(first.select(F.col("node").alias("_rep"), "component"), "_rep", "left").select("_same", F.coalesce("component", "_rep").alias("_class"))
     classed = staged(signed.select("_id", "_same").join(classes, "_same", "left").select("_id", F.coalesce("_class", "_id").alias("_class"), F.col("_same").isNotNull().alias("_has")), "near-classes")

@@ -192,13 +192,13 @@ def test_near_recall_at_the_shipped_bands(spark):
         base = prose(rng, 100).split()
         t = list(base)
         for at in rng.sample(range(4, 96, 8), rng.choice([1, 2])):
-            t[at] = "edit" + str(rng.random())
+            t[at] = "edit" + str(rng.randrange(10**12))
         texts += [" ".join(base), " ".join(t)]
     base = prose(rng, 150).split()
     for _ in range(120):
         t = list(base)
         for at in rng.sample(range(150), rng.choice([1, 2, 3])):
-            t[at] = "edit" + str(rng.random())
+            t[at] = "edit" + str(rng.randrange(10**12))
         texts.append(" ".join(t))
     sh = [Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split() for t in texts)]
     df = Counter(k for c in sh for k in c)
@@ -234,7 +234,7 @@ def test_near_blocks_lose_no_link(spark, monkeypatch):
         t = prose(rng, 60).split()
         for _ in range(7):  # each differs from the one before
             t = list(t)
-            t[rng.randrange(len(t))] = "edit" + str(rng.random())
+            t[rng.randrange(len(t))] = "edit" + str(rng.randrange(10**12))
             texts.append(" ".join(t))
     rng.shuffle(texts)
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

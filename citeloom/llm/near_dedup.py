@@ -61,21 +61,35 @@ BLOCK_BYTES = 4_000_000
 #: Shingles of a range of the hash space, about.
 RANGE_SHINGLES = 500_000
 #: More documents of a key that all its documents of other classes are compared with.
-LEADERS = 8
+LEADERS = 4
 #: Documents of a block of a key, and bytes of their shingle hashes, about.
 BLOCK_DOCS = 400
 BLOCK_HASH_BYTES = 4_000_000
 #: Shingles whose samples are drawn at once, about.
-CHUNK_SHINGLES = 200_000
+CHUNK_SHINGLES = 20_000
 #: Documents that meet one copy of their leader's vector.
 FOLLOWERS = 500
 BROADCAST_IDS = 4_000_000
 _HASH_BITS = 56
 
+_STEPS = 4096
+
+
+def _gamma_steps() -> np.ndarray:
+    """Quantiles of the gamma distribution of shape 2: where 1 - (1 + x) exp(-x) is (i + 1/2) / _STEPS, by bisection."""
+    want, lo, hi = (np.arange(_STEPS) + 0.5) / _STEPS, np.zeros(_STEPS), np.full(_STEPS, 60.0)
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        low = 1 - (1 + mid) * np.exp(-mid) < want
+        lo, hi = np.where(low, mid, lo), np.where(low, hi, mid)
+    return lo
+
+
 _RNG = np.random.default_rng(77)
-_R = _RNG.gamma(2.0, 1.0, 65536).astype(np.float32)
-_LOG_C = np.log(_RNG.gamma(2.0, 1.0, 65536)).astype(np.float32)
-_BETA = _RNG.random(65536, dtype=np.float32)
+# tables small enough to stay in a core's cache; a hash picks an entry of each
+_R = _gamma_steps().astype(np.float32)
+_LOG_C = np.log(_gamma_steps()).astype(np.float32)
+_BETA = ((np.arange(_STEPS) + 0.5) / _STEPS).astype(np.float32)
 _INV_R = (1 / _R).astype(np.float32)
 _MUL = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -169,8 +183,8 @@ def signatures(h: np.ndarray, w: np.ndarray, offs: np.ndarray, bands: int, rows:
     for band in range(bands):
         key = np.full(len(full), band + 1, np.uint64)
         for row in range(rows):
-            bits = mix(mixed * _MUL[band * rows + row]).view(np.uint16).reshape(-1, 4)
-            i, j, k = bits[:, 0], bits[:, 1], bits[:, 2]
+            bits = mix(mixed * _MUL[band * rows + row]).view(np.int64)
+            i, j, k = bits & (_STEPS - 1), (bits >> 16) & (_STEPS - 1), (bits >> 32) & (_STEPS - 1)
             r = _R[i]
             t = np.floor(log_w * _INV_R[i] + _BETA[k])
             a = _LOG_C[j] - r * (t - _BETA[k] + 1)

@@ -340,7 +340,8 @@ def test_secret_network(spark, odd_docs, no_docs):
 
 def test_secret_gradients():
     net = secrets.Network()
-    x = secrets.matrix([secrets.encode("abc token=12345678901234567890 d", 10, 30), secrets.encode("see 9876543210123456 or", 4, 20)])
+    rows = lambda t, a, b: secrets.encoded(secrets.codes_of(t), np.array([a]), np.array([b]))[0].tobytes()
+    x = secrets.matrix([rows("abc token=12345678901234567890 d", 10, 30), rows("see 9876543210123456 or", 4, 20)])
     y, w = np.array([1.0, 0.0]), np.ones(2)
     for k in net.p:
         net.p[k] = net.p[k].astype(np.float64)
@@ -356,10 +357,11 @@ def test_secret_gradients():
         assert g[k][at] == pytest.approx((up - down) / 2e-3, abs=5e-3)
 
 
-def test_secret_windows_read_every_character():
+def test_secret_windows_read_every_character(monkeypatch):
     rng = random.Random(5)
     token = "".join(chr(i) for i in np.flatnonzero(secrets.TOKEN))
-    for _ in range(60):
+    for turn in range(60):
+        monkeypatch.setattr(secrets, "STRETCH", rng.choice([1, 60, 12_000]))
         t = "".join(rng.choice(["".join(rng.choice(token) for _ in range(rng.choice([1, 5, 15, 47, 48, 49, 130]))), " ", "é", ": "]) for _ in range(12))
         codes, base = secrets.codes_of(t), secrets.base_spans(t)
         a, b, known = secrets.candidates(codes, base)
@@ -370,18 +372,22 @@ def test_secret_windows_read_every_character():
             own = sorted((s, e) for r, s, e in zip(run, start, end) if r == i)
             assert own[0][0] == p and own[-1][1] == q and all(e - s <= secrets.SPAN for s, e in own) and all(y[0] - x[0] <= secrets.STEP for x, y in zip(own, own[1:]))
         x = secrets.encoded(codes, start, end)
-        assert [r.tobytes() for r in x] == [secrets.encode(t, s, e) for s, e in zip(start, end)]
-        net = secrets.Network(rng.randint(0, 99))
+        plain = "".join(c if c < "\x80" else "\x01" for c in t)
+        for r, s, e in zip(x, start, end):
+            edge = secrets.SIDE + 2
+            around = plain[max(0, s - edge) : s].rjust(edge, "\0") + plain[s:e] + plain[e : e + edge].ljust(edge, "\0")
+            assert r.tobytes()[:-1] == around.encode("latin-1").ljust(secrets._LEN, b"\0") and r[-1] == e - s
+        net = secrets.Network(turn)
         if len(x):
-            assert np.allclose(net.probability(x), secrets.sigmoid(net.forward(x.astype(np.int64)).astype(np.float64)), atol=1e-5)
+            assert np.allclose(net.probability(codes, start, end), secrets.sigmoid(net.forward(x.astype(np.int64)).astype(np.float64)), atol=1e-5)
 
 
 def test_secret_inside_a_long_run_and_without_digits():
     class Sees:  # a model that knows one key
         threshold = 0.5
 
-        def probability(self, x):
-            return np.array([float(b"QwErTyUiOpAsDf" in r.tobytes()[secrets.SIDE : -secrets.SIDE]) for r in x])
+        def probability(self, codes, start, end):
+            return np.array([float(b"QwErTyUiOpAsDf" in codes[a:b].tobytes()) for a, b in zip(start, end)])
 
     long_run = "path/" * 30 + "QwErTyUiOpAsDf" + "/more" * 30
     assert secrets.scan_text(f"see {long_run} there", Sees())[1] == [("model", 4, 4 + len(long_run))]

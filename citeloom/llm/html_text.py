@@ -4,19 +4,23 @@ Tree: tags are read with their attributes; scripts and the like are raw text up
 their end tag; missing end tags are implied as browsers do (a block closes an open
 p, li closes li, dt and dd close each other, cells close cells, rows rows, option
 option), end tags close what is open inside them and are ignored where nothing
-matches. Elements nested deeper than ``MAX_DEPTH`` become siblings.
+matches. Nesting may have any depth; the tree keeps where each tag is open, so no
+tag searches what is open.
 
 Visibility: nothing is emitted of elements that browsers do not show (head, script,
-style, template, noscript, select and such), of elements with the hidden attribute,
-``display:none`` inline or by a simple rule (tag, .class, #id) of the page's own
-style elements, of closed dialogs, or of closed details but for the summary.
-``visibility:hidden`` hides text until a descendant is visible again.
+style, template, noscript, select and such), or of closed details but for the summary.
+Of others ``display`` and ``visibility`` are what the page's own rules say: the hidden
+attribute and closed dialogs hide; simple selectors (tag, .class, #id) of its style
+elements come next, by specificity, then order; inline styles last; ``!important``
+before all. ``visibility:hidden`` hides text until a descendant is visible again. The
+text of a textarea is shown, values of other form controls are not.
 
 Layout: white space collapses as in browsers except in pre; br breaks the line;
 blocks start on a line of their own and paragraphs, headings, lists, tables and
 quotations are set off by one empty line; list items get "- " or their number and
-are indented by depth; table cells are padded to the width of their column, with
-colspan and rowspan, and separated by two spaces.
+are indented by depth, by ``MAX_INDENT`` characters at most; table cells are padded to
+the width of their column, with colspan and rowspan, and separated by two spaces; a cell
+over several columns widens the last of them where it needs more room than they have.
 
 Defined results: null and empty pages give an empty text; text outside any tag is
 text; an unclosed comment, raw element or tag runs to the end of the page; repeated
@@ -28,6 +32,8 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import sys
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,28 +42,30 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.textvec import text_slices
 
-MAX_DEPTH = 200
+MAX_INDENT = 200
 _words = lambda s: frozenset(s.split())
 
 # Groups of elements of the HTML standard.
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
 RAW = _words("script style xmp iframe noembed noframes textarea title")
-UNSEEN = _words("head script style template noscript select datalist option title meta link iframe noembed noframes object audio video canvas textarea area base param source track")
+UNSEEN = _words("head script style template noscript select datalist option title meta link iframe noembed noframes object audio video canvas area base param source track")
 FOREIGN = _words("svg math")
 #: What these hold without showing it.
 FOREIGN_UNSEEN = _words("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml")
 BLOCK = _words(
-    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul tr td th thead tbody tfoot caption"
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul tr td th thead tbody tfoot caption xmp"
 )
 SET_OFF = _words("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir table blockquote pre figure hr fieldset")
 CLOSES_P = _words(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul li dd dt"
 )
+SCOPE = _words("table td th caption button object html body template")
+_BARRIER = (BLOCK | SCOPE) - _words("address div p")
 #: A start tag on the left closes open elements of the middle, unless one of the right comes first.
 IMPLIED = {
-    "li": (_words("li"), _words("ul ol menu dir")),
-    "dt": (_words("dt dd"), _words("dl")),
-    "dd": (_words("dt dd"), _words("dl")),
+    "li": (_words("li"), _BARRIER - _words("li")),
+    "dt": (_words("dt dd"), _BARRIER - _words("dt dd")),
+    "dd": (_words("dt dd"), _BARRIER - _words("dt dd")),
     "option": (_words("option"), _words("select datalist")),
     "optgroup": (_words("option optgroup"), _words("select datalist")),
     "td": (_words("td th"), _words("tr table")),
@@ -68,7 +76,6 @@ IMPLIED = {
     "tfoot": (_words("thead tbody tfoot tr td th caption colgroup"), _words("table")),
     "body": (_words("head"), _words("html")),
 }
-SCOPE = _words("table td th caption button object html body template")
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
@@ -101,6 +108,8 @@ class Tree:
     def __init__(self, page: str):
         self.root = Node("#root", {})
         self.open = [self.root]
+        self.where: dict[str, list[int]] = {}  # the places of each open tag in ``open``
+        self.depth = 1
         self.styles: list[str] = []
         i, n = 0, len(page)
         while i < n:
@@ -133,7 +142,7 @@ class Tree:
         if m[1]:
             self.end(tag)
             return m.end()
-        if m[0].endswith("/>") and any(x.tag in FOREIGN for x in self.open):
+        if m[0].endswith("/>") and any(self.where.get(x) for x in FOREIGN):
             self.open[-1].kids.append(Node(tag, attributes(m[3])))
             return m.end()
         self.start(tag, attributes(m[3]))
@@ -143,11 +152,13 @@ class Tree:
         inside = page[m.end() : stop.start() if stop else len(page)]
         if tag == "style":
             self.styles.append(inside)
+        elif tag in ("textarea", "xmp"):
+            self.text(inside.removeprefix("\n") if tag == "textarea" else inside)
         self.end(tag)
         return stop.end() if stop else len(page)
 
     def start(self, tag: str, attrs: dict[str, str]) -> None:
-        if tag in ("html", "body") and any(x.tag == tag for x in self.open):
+        if tag in ("html", "body") and self.where.get(tag):
             return
         if tag in CLOSES_P:
             self.close(_words("p"), SCOPE)
@@ -163,28 +174,31 @@ class Tree:
 
     def push(self, node: Node) -> None:
         self.open[-1].kids.append(node)
-        if len(self.open) < MAX_DEPTH:
-            self.open.append(node)
+        self.where.setdefault(node.tag, []).append(len(self.open))
+        self.open.append(node)
+        self.depth = max(self.depth, len(self.open))
+
+    def cut(self, at: int) -> None:
+        while len(self.open) > at:
+            self.where[self.open.pop().tag].pop()
+
+    def innermost(self, tags: frozenset[str]) -> int:
+        return max((x[-1] for t in tags if (x := self.where.get(t))), default=0)
 
     def close(self, tags: frozenset[str], until: frozenset[str]) -> None:
         """Closes the outermost open element of ``tags`` above the innermost of ``until``."""
-        cut = 0
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in until:
-                break
-            if self.open[k].tag in tags:
-                cut = k
-        if cut:
-            del self.open[cut:]
+        places = [x for t in tags if (x := self.where.get(t))]
+        if places:
+            floor = self.innermost(until)
+            above = [x[k] for x in places if (k := bisect_right(x, floor)) < len(x)]
+            if above:
+                self.cut(min(above))
 
     def end(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                del self.open[k:]
-                return
-            if tag not in BLOCK and self.open[k].tag in SCOPE:
-                return
-        if tag == "p":
+        at = self.where.get(tag)
+        if at and (tag in BLOCK or at[-1] >= self.innermost(SCOPE)):
+            self.cut(at[-1])
+        elif tag == "p":
             self.open[-1].kids.append(Node("p", {}))
 
 
@@ -210,21 +224,32 @@ def on_screen(css: str) -> str:
     return "".join([*out, css[at:]])
 
 
-def hiding_rules(styles: list[str]) -> dict[str, str]:
-    """Simple selectors whose rule hides: selector to "display" or "visibility"."""
-    found: dict[str, str] = {}
-    for css in styles:
-        for m in _RULE.finditer(on_screen(re.sub(r"/\*.*?\*/", "", css, flags=re.DOTALL))):
-            if how := hides(m[2]):
-                found |= {s: how for x in m[1].split(",") if _SIMPLE.match(s := x.strip())}
+def declared(style: str) -> dict[str, tuple[bool, str]]:
+    """Of display and visibility the last value declared, and whether it is important; an important one stays."""
+    found: dict[str, tuple[bool, str]] = {}
+    if "isplay" not in style and "isibility" not in style and style.islower():
+        return found
+    for part in style.lower().split(";"):
+        name, _, value = part.partition(":")
+        if (name := name.strip()) in ("display", "visibility"):
+            value, mark, _ = value.partition("!")
+            if mark or not found.get(name, (False, ""))[0]:
+                found[name] = (bool(mark), value.strip())
     return found
 
 
-def hides(style: str) -> str:
-    plain = style.lower().replace(" ", "")
-    if "display:none" in plain:
-        return "display"
-    return "visibility" if "visibility:hidden" in plain or "visibility:collapse" in plain else "shown" if "visibility:visible" in plain else ""
+def page_rules(styles: list[str]) -> dict[str, list[tuple[int, dict[str, tuple[bool, str]]]]]:
+    """Simple selectors with their declarations of display and visibility, in the order of the page."""
+    rules: dict[str, list] = {}
+    order = 0
+    for css in styles:
+        for m in _RULE.finditer(on_screen(re.sub(r"/\*.*?\*/", "", css, flags=re.DOTALL))):
+            if said := declared(m[2]):
+                order += 1
+                for x in m[1].split(","):
+                    if _SIMPLE.match(key := x.strip()):
+                        rules.setdefault(key if key[0] in ".#" else key.lower(), []).append((order, said))
+    return rules
 
 
 class Writer:
@@ -260,7 +285,7 @@ class Writer:
         if self.margin and self.lines:
             self.lines.append("")
         self.margin = False
-        pad = "".join(self.indent)
+        pad = "".join(self.indent[: MAX_INDENT // 2])[:MAX_INDENT]
         if self.mark:
             pad, self.mark = pad[: len(pad) - len(self.mark)] + self.mark, ""
         self.lines.append((pad + s).rstrip(" "))
@@ -275,22 +300,32 @@ class Writer:
 
 
 class Renderer:
-    def __init__(self, rules: dict[str, str]):
+    def __init__(self, rules: dict[str, list]):
         self.rules = rules
         self.foreign = 0
 
     def how(self, node: Node) -> str:
-        a = node.attrs
-        if node.tag in UNSEEN or "hidden" in a or (node.tag == "dialog" and "open" not in a) or (node.tag == "input"):
+        """ "display" where the element is not shown, "visibility" or "shown" where its text is hidden or shown, else ""."""
+        a, tag = node.attrs, node.tag
+        if tag in UNSEEN or tag == "input":
             return "display"
-        found = ""
+        gone = "hidden" in a or (tag == "dialog" and "open" not in a)
+        if not a and tag not in self.rules:
+            return "display" if gone else ""
+        said = []
         if self.rules:
-            for key in (node.tag, *("." + c for c in a.get("class", "").split()), "#" + a.get("id", "")):
-                if key in self.rules:
-                    found = self.rules[key]
-                    if found == "display":
-                        return found
-        return (hides(a["style"]) if "style" in a else "") or found
+            for weight, key in ((0, tag), *((1, "." + c) for c in a.get("class", "").split()), (2, "#" + a.get("id", ""))):
+                said += [(weight, order, d) for order, d in self.rules.get(key, ())]
+            said.sort(key=lambda x: x[:2])
+        if "style" in a and (d := declared(a["style"])):
+            said.append((3, 0, d))
+        now: dict[str, tuple[bool, str]] = {}
+        for _, _, d in said:
+            now |= {k: v for k, v in d.items() if v[0] or not now.get(k, (False, ""))[0]}
+        if (now["display"][1] == "none") if "display" in now else gone:
+            return "display"
+        seen = now.get("visibility", (False, ""))[1]
+        return "visibility" if seen in ("hidden", "collapse") else "shown" if seen == "visible" else ""
 
     def kids(self, node: Node, w: Writer, seen: bool, pre: bool, depth: int) -> None:
         number = int(node.attrs["start"]) if re.fullmatch(r"-?\d{1,9}", node.attrs.get("start", "")) else 1
@@ -312,6 +347,9 @@ class Renderer:
         if not pre:
             w.inline(s)
             return
+        if w.space and w.parts:
+            w.parts.append(" ")
+        w.space = False
         first, *rest = s.replace("\r\n", "\n").split("\n")
         w.parts.append(first)
         for line in rest:
@@ -338,6 +376,8 @@ class Renderer:
             if seen:
                 w.line("".join(w.parts))
                 w.parts, w.space = [], False
+        elif tag == "textarea":
+            self.kids(node, w, seen, True, depth)
         elif tag == "table":
             self.table(node, w, seen, depth)
         elif tag in BLOCK:
@@ -346,7 +386,7 @@ class Renderer:
             inner = tag in ("blockquote", "dd") or (depth and tag in ("ul", "ol", "menu", "dir"))
             if inner:
                 w.indent.append("  ")
-            self.kids(node, w, seen, pre or tag == "pre", depth + (tag in ("ul", "ol", "menu", "dir")))
+            self.kids(node, w, seen, pre or tag in ("pre", "xmp"), depth + (tag in ("ul", "ol", "menu", "dir")))
             w.block(off)
             if inner:
                 w.indent.pop()
@@ -385,14 +425,16 @@ class Renderer:
                 self.node(kid, w, seen, pre, depth)
 
     def rows_of(self, table: Node, seen: bool, around: set[int]) -> Iterator[tuple[Node, bool]]:
-        for kid in table.kids:
+        todo = [(kid, seen) for kid in reversed(table.kids)]
+        while todo:
+            kid, own = todo.pop()
             if isinstance(kid, str) or (how := self.how(kid)) == "display":
                 continue
-            own = False if how == "visibility" else True if how == "shown" else seen
+            own = False if how == "visibility" else True if how == "shown" else own
             if kid.tag == "tr":
                 yield kid, own
             elif id(kid) in around:
-                yield from self.rows_of(kid, own, around)
+                todo += [(x, own) for x in reversed(kid.kids)]
 
     def strays(self, node: Node, w: Writer, seen: bool, depth: int, around: set[int]) -> None:
         """Captions, and what does not belong into a table, its sections and rows."""
@@ -450,28 +492,27 @@ class Renderer:
                     below |= {c: tall for c in range(at, at + wide)}
                 at += wide
             grid.append(cells)
-        wide_cells = {(r, c) for r, c, _ in spans}
-        width: dict[int, int] = {}
+        wide_cells = {(r, c): n for r, c, n in spans}
+        used = sorted({c for cells in grid for c in cells})  # a column in which no cell begins takes no room
+        width = dict.fromkeys(used, 0)
         for r, cells in enumerate(grid):
             for c, lines in cells.items():
                 if (r, c) not in wide_cells:
-                    width[c] = max(width.get(c, 0), *map(len, lines))
+                    width[c] = max(width[c], *map(len, lines))
+        for r, c, n in sorted(spans, key=lambda x: x[2]):
+            over = used[bisect_left(used, c) : bisect_left(used, c + n)]
+            width[over[-1]] += max(0, max(map(len, grid[r][c])) - sum(width[x] + 2 for x in over) + 2)
+        start, at = {}, 0
+        for c in used:
+            start[c], at = at, at + width[c] + 2
         for cells in grid:
             if not any(any(x) for x in cells.values()):
                 continue
             for k in range(max(map(len, cells.values()))):
                 out = ""
-                col = 0
-                last = max(cells)
-                start = 0
-                while col <= last:
-                    if col in cells:
-                        out = out.ljust(start)
-                        out += cells[col][k] if k < len(cells[col]) else ""
-                    start = max(start + width.get(col, 0) + 2, 0)
-                    if col in cells and len(out) + 2 > start and col + 1 in cells:
-                        start = len(out) + 2
-                    col += 1
+                for c in sorted(cells):
+                    if k < len(cells[c]):
+                        out = out.ljust(start[c]) + cells[c][k]
                 w.line(out)
         w.block(True)
 
@@ -481,8 +522,13 @@ def render(page: str | None) -> str:
     if not page:
         return ""
     tree = Tree(page)
-    w = Writer()
-    Renderer(hiding_rules(tree.styles)).kids(tree.root, w, True, False, 0)
+    w, had = Writer(), sys.getrecursionlimit()
+    # frames of Python code are on the heap; the renderer has up to four for each level of the tree
+    sys.setrecursionlimit(had + 5 * tree.depth)
+    try:
+        Renderer(page_rules(tree.styles)).kids(tree.root, w, True, False, 0)
+    finally:
+        sys.setrecursionlimit(had)
     return w.done()
 
 

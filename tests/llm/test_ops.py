@@ -294,6 +294,54 @@ def test_html_shows_strays_screen_rules_and_foreign_text():
     assert r("<p>see <svg><title>t</title><defs/><text>up</text><text>down</text><desc>no</desc></svg> and <math><mi>x</mi><mo>=</mo><mn>1</mn></math> end") == "see up down and x=1 end"
 
 
+def test_html_depth_and_cascade():
+    r = html_text.render
+    assert r("<div>" * 205 + "<p hidden>SECRET</p>" + "</div>" * 205 + "end") == "end"
+    assert r("<div>" * 20000 + "<p hidden>no</p>deep" + "</div>" * 20000 + "<p>out") == "deep\n\nout"
+    assert r("<p><table><td>" + "<div>" * 20000 + "x").strip() == "x" and r("<ul><li>" * 3000 + "x").strip(" -") == "x"
+    assert r("<table><tr><td>" * 300 + "x").strip() == "x"
+    assert r("<style>.a{display:none}.a{display:block}#b{display:none}p{display:none}.s{display:block}</style><p class=a>yes<p class='a s'>yes<div class=a>yes<div id=b class=s>no</div><p>no").split() == ["yes"] * 3
+    assert r("<style>.a{display:none !important}.a{display:block}</style><i class=a style='display:inline'>no</i><i class=a style='display:inline!important'>yes</i>") == "yes"
+    assert r("<p hidden style='display:block'>a<p style='display:none;display:block'>b<p style='DISPLAY : NONE'>c").split() == ["a", "b"]
+    assert r("say <textarea>\ntwo\n <b>lines</textarea> end") == "say two\n <b>lines end"
+
+
+def test_html_wide_cells():
+    r = lambda t: html_text.render(f"<table>{t}</table>").split("\n")
+    assert r("<tr><td colspan=2>wide header text here<td>end<tr><td>a<td>b<td>c") == ["wide header text here  end", "a  b                   c"]
+    assert r("<tr><td colspan=1000>all<td>x<tr><td>y") == ["all  x", "y"]
+    assert r("<tr><td rowspan=2>one<br>two<td>a<tr><td colspan=2>long long long<td>z<tr><td>1<td>2<td>3<td>4") == ["one  a", "two", "     long long long  z", "1    2  3            4"]
+
+
+def marked_page(rng):
+    """A random page whose words are marked by whether a browser shows them."""
+    shown, out = [], ["<style>.off{display:none} .ghost{visibility:hidden} .on{visibility:visible} @media print{.p{display:none}}</style>"]
+
+    def grow(depth, display, visible):
+        for _ in range(rng.randint(1, 4)):
+            if depth > 5 or rng.random() < 0.4:
+                w = f"w{len(out)}x{rng.randrange(10**6)}"
+                out.append(f" {w} ")
+                if display and visible:
+                    shown.append(w)
+                continue
+            tag = rng.choice(["div", "span", "section", "b", "li", "blockquote", "article"])
+            attr, d, v = rng.choice([("", True, None), (" class=off", False, None), (" hidden", False, None), (" class=ghost", True, False), (" class='p on'", True, True), (" style='display:none'", False, None), (" style='visibility:visible'", True, True)])
+            out.append("<ul>" * (tag == "li") + f"<{tag}{attr}>")
+            grow(depth + 1, display and d, visible if v is None else v)
+            out.append(f"</{tag}>" + "</ul>" * (tag == "li"))
+
+    grow(0, True, True)
+    return "".join(out), shown
+
+
+def test_html_visibility_on_random_pages():
+    rng = random.Random(77)
+    for _ in range(300):
+        page, shown = marked_page(rng)
+        assert re.findall(r"w\d+x\d+", html_text.render(page)) == shown
+
+
 def test_html_frame(spark):
     df = spark.createDataFrame([(1, "<p>a<p>b"), (1, "<p>a<p>b"), (None, None), (2, "")], "page_id long, html string")
     got = html_text.visible_text(df.withColumn("text", F.lit(1))).collect()

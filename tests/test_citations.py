@@ -82,13 +82,15 @@ def test_shapes():
 
 
 def test_overlapping_scan_and_fallback():
-    rx = dict(ShapeSet().shapes)["shape_vol_abbr_page"]
-    kept, refused = extract.scan_overlapping(rx, "123 A.C. 4")
-    assert [m[0] for m in kept] == ["123 A.C. 4"] and refused == 2
+    form = next(f for f in ShapeSet().forms if f.name == "shape_vol_abbr_page")
+    kept, refused = form.overlapping("123 A.C. 4")
+    assert [(h.start, h.end) for h in kept] == [(0, 10)] and refused == 2
     assert extract.fallback_ok("SCC", "1", "1999") and extract.fallback_ok("A.C.", "1", "1999") and not extract.fallback_ok("Sup. Ct. Rev.", "1", "1999") and not extract.fallback_ok("S.M.", "1978", "1978")
     flags = {c["raw_string"]: c["structural_conflict"] for c in extract.candidates("2001 SCC 2005 TCC 640", "X", 0, None, None, ShapeSet()) if c["shape_name"] == "shape_neutral_bare"}
     assert flags["2001 SCC 2005"] == "cross_boundary_year_page"
     assert len(extract.capture_suffix("x (H.L.), (CanLII) (2d) (P.C.)", 1)) == 2
+    for text, want in {"x at para. 3-5 (a (b) c)": ["a (b) c"], "x (a (b (c)))": [], "x ()": [], "x (a)(b)(c)(d)": ["a", "b", "c"], "x (a()b)": [], "x (open": [], "x" + " " * 238 + "(a)": [], f"x ({'a' * 81})": [], f"x ({'a' * 80})": ["a" * 80]}.items():
+        assert [s["raw"] for s in extract.capture_suffix(text, 1)] == want
 
 
 def test_greedy_dedup_matches_brute_force(spark):
@@ -231,7 +233,7 @@ def test_every_document_is_extracted(spark, tmp_path):
         if t is None:
             continue
         t += f"\nMeridian v. Horizon, 2019 ONCA {i}. Beacon v. Dune, [1999] 2 S.C.R. {i} (S.C.C.); 47 D.L.R. (2d) {i}."
-        for name, rx in ShapeSet().shapes:
+        for name, rx in ((f.name, f.rows[0][0]) for f in ShapeSet().forms):
             seen = set()
             for at in range(len(t)):
                 m = rx.match(t, at)
@@ -242,7 +244,7 @@ def test_every_document_is_extracted(spark, tmp_path):
                     seen.add(at)
                     want.add((i, name, at, m.end()))
     assert {i for i, *_ in got} == {1, 2, 3, 5}
-    assert {g for g in got if g[1] != extract.FALLBACK[0]} == {w for w in want if w[1] != extract.FALLBACK[0]}
+    assert {g for g in got if g[1] != extract.FALLBACK} == {w for w in want if w[1] != extract.FALLBACK}
 
 
 def test_case_names_of_whole_documents(spark, tmp_path):

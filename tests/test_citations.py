@@ -268,3 +268,47 @@ def test_opposite_history_sides_stay_apart(spark):
     groups, trace = identity.solve(df, links)
     assert {r.row_key: r.group_id for r in groups.collect()} == {"a": "a", "b": "b", "c": "a", "d": "b"}
     assert sorted(r.outcome for r in trace.collect()) == ["accepted", "accepted", "opposite_history_sides"]
+
+
+def test_settled_readings_are_the_least_fixed_point():
+    """``settle`` against rounds over all readings until nothing changes."""
+    import random
+
+    rng = random.Random(17)
+    for _ in range(300):
+        n = rng.randint(1, 9)
+        rs = [arbitrate.Reading(i, i + 1, str(i), [reading(str(i), i, i + 1, str(i))]) for i in range(n)]
+        for r in rs:
+            r.attackers = [("contained", x) for x in rs if x is not r and rng.random() < 0.25]
+            r.parts = rng.sample([x for x in rs if x is not r], min(n - 1, rng.choice([0, 0, 2, 3])))
+            r.struck = ("x", "") if rng.random() < 0.1 else None
+        state = {r: False if r.struck else None for r in rs}
+        while True:
+            new = dict(state)
+            for r in rs:
+                foes, parts = [state[x] for _, x in r.attackers], [state[x] for x in r.parts]
+                if state[r] is None and (True in foes or parts.count(True) >= 2):
+                    new[r] = False
+                elif state[r] is None and None not in foes + parts:
+                    new[r] = True
+            if new == state:
+                break
+            state = new
+        arbitrate.settle(rs)
+        assert [r.stands for r in rs] == [state[r] for r in rs]
+
+
+def test_arbitration_of_repeated_rows_and_ids(spark):
+    rows = [("d1", "a", 0, 20, "k1"), ("d1", "a", 0, 20, "k1"), ("d1", "b", 4, 18, "k1"), ("d2", "a", 0, 5, "k9"), (None, "a", 0, 5, "k9")]
+    df = spark.createDataFrame(rows, "doc string, candidate_id string, match_start_offset int, match_end_offset int, merge_key string").withColumns({"shape_name": F.lit("shape_bracket"), "grade": F.lit(1)})
+    got = sorted((str(r.doc), r.candidate_id, r.arbitration_status, r.superseded_by_candidate) for r in arbitrate.arbitrate(df, ["doc"]).collect())
+    assert got == [("None", "a", "counted", ""), ("d1", "a", "counted", ""), ("d1", "a", "counted", ""), ("d1", "b", "alternative_same_key", "a"), ("d2", "a", "counted", "")]
+
+
+def test_transposed_series_completes_only_with_proof():
+    text = "70 O.R. 2(d) 717"
+    short = reading("s", 0, 9, "k1", 1, shape_name="shape_vol_abbr_page", raw_string=text[:9], vol="70", abbr="O.R.", page="2", citation_kind="reporter")
+    long_ = reading("l", 0, 16, "k2", 1, shape_name="shape_vol_abbr_page_transposed_series", raw_string=text, vol="70", abbr="O.R.", page="717", series="2d", citation_kind="reporter", lookup_mode="exact", vol_span={"start": 0, "end": 2})
+    assert arbitrate.completes(short, long_)
+    for change in ({"citation_kind": "neutral"}, {"lookup_mode": ""}, {"series": "4d"}, {"year_start": "1999"}, {"vol": "71"}, {"grade": 0}, {"raw_string": "70 O.R. 2(d) 718"}):
+        assert not arbitrate.completes(short | ({"year_start": "1998"} if "year_start" in change else {}), long_ | change)

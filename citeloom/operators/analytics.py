@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeloom.functions.scalar import blank, dd_bucket, decade, dot, query_terms, spread, title_key, unit
+from citeloom.functions.scalar import blank, dd_bucket, decade, query_terms, spread, title_key
+from citeloom.staging import staged
 
 # Statuses of arbitration by the group they are reported in.
 GROUPS = {"counted": "counted", "rejected_row": "rejected", "self_citation_row": "self", "cross_boundary_invalid": "superseded", "year_reread_as_vol_invalid": "superseded", "span_alternative_undecided": "conflict", "overlap_undecided": "conflict"}
@@ -263,20 +267,59 @@ def cached_vectors(texts: DataFrame, cache: DataFrame, text: str = "text") -> Da
     return texts.withColumn("sha", F.sha2(text, 256)).join(cache, "sha", "left")
 
 
+#: Queries that travel to all partitions at once.
+QUERY_BLOCK = 2048
+
+
+def _nearest(block, k: int):
+    """The best ``k`` rows of a partition for each query of a block, kept batch by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q = block.value
+        best: list[list[tuple[float, int]]] = [[] for _ in ids]
+        for b in batches:
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
+                own = np.array(part.column("id").to_pylist(), np.int64)
+                if not len(own):
+                    continue
+                v = np.array(part.column("v").to_pylist(), np.float64)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    score = np.round((v / np.linalg.norm(v, axis=1, keepdims=True)) @ q.T, 6)
+                top = np.argpartition(-score, min(k, len(own) - 1), axis=0)[: k + 1] if len(own) > k + 1 else np.broadcast_to(np.arange(len(own))[:, None], (len(own), len(ids)))
+                least = score[top, np.arange(len(ids))].min(axis=0)
+                for i, x in enumerate(ids):
+                    # all that are as good as the last of the best, so that ties are cut by id only
+                    at_least = np.flatnonzero((score[:, i] >= least[i]) & (own != x))
+                    best[i] = sorted([*best[i], *((-score[j, i], int(own[j])) for j in at_least)])[:k]
+        rows = [(x, i, -s) for x, found in zip(ids, best, strict=True) for s, i in found]
+        cols = list(zip(*rows, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_pydict({"q": pa.array(cols[0], pa.int64()), "id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
+
+    return run
+
+
 def knn(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """QRY25: exact nearest neighbours by cosine: the stated queries against all rows, in blocks.
 
-    Queries travel in blocks of 256 vectors, each to every partition, and each task keeps
-    the best k of each query before anything is shuffled.
+    ``QUERY_BLOCK`` queries at a time travel to every partition, which multiplies them with
+    its vectors a batch at a time and keeps the best k of each; only these are
+    shuffled. With more than one block each is a staged job of its own, so the driver
+    and the executors hold one. Rows without a vector are no neighbours and no queries.
     """
-    q = queries.select(F.col(id_col).alias("q"), unit(vec_col).alias("_qv"))
-    v = vectors.select(F.col(id_col).alias("id"), unit(vec_col).alias("_v"))
-    n = q.count()
-    parts, best = max(1, -(-n // 256)), None
+    spark = vectors.sparkSession
+    v = vectors.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    asked = queries.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("q"), F.col(vec_col).cast("array<double>").alias("v"))
+    parts, best, held = max(1, -(-asked.count() // QUERY_BLOCK)), None, None
     for i in range(parts):
-        block = q.where(F.pmod(F.xxhash64("q"), F.lit(parts)) == i)
-        pairs = v.join(F.broadcast(block), F.lit(True)).where("id <> q").select("q", "id", F.round(dot("_v", "_qv"), 6).alias("score"))
-        best = pairs if best is None else best.unionByName(pairs)
+        rows = [(r.q, r.v) for r in asked.where(F.pmod(F.xxhash64("q"), F.lit(parts)) == i).toLocalIterator()]
+        q = np.array([r[1] for r in rows], np.float64).reshape(len(rows), -1)
+        sent = spark.sparkContext.broadcast(([r[0] for r in rows], q / np.linalg.norm(q, axis=1, keepdims=True) if len(rows) else q))
+        held = v.mapInArrow(_nearest(sent, k), "q long, id long, score double") if rows else v.select(F.col("id").alias("q"), "id", F.lit(0.0).alias("score")).limit(0)
+        if parts > 1:
+            held = staged(held, "nearest")
+            sent.destroy()
+        best = held if best is None else best.unionByName(held)
     w = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -288,10 +331,8 @@ def trigrams(text: Column) -> Column:
 
 def inverted_index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """QRY26: (gram, id, tf, length) of all texts."""
-    g = docs.select(F.col(id_col).alias("id"), F.explode(trigrams(F.col(text_col))).alias("gram"))
-    tf = g.groupBy("gram", "id").agg(F.count(F.lit(1)).alias("tf"))
-    n = docs.select(F.col(id_col).alias("id"), F.size(trigrams(F.col(text_col))).alias("length"))
-    return tf.join(n, "id")
+    g = docs.select(F.col(id_col).alias("id"), trigrams(F.col(text_col)).alias("_all")).select("id", F.size("_all").alias("length"), F.explode("_all").alias("gram"))
+    return g.groupBy("gram", "id").agg(F.count(F.lit(1)).alias("tf"), F.max("length").alias("length"))
 
 
 def bm25(docs: DataFrame, query: str, k: int, id_col: str, text_col: str, k1: float = 1.2, b: float = 0.75) -> DataFrame:

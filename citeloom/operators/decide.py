@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.functions.scalar import blank, key_part, number
+from citeloom.functions.scalar import blank, key_part, nk, number
 
 # Bases of identity that may carry a court or a name to others, best first.
 BASES = ("document_alias", "singleton", "anchor", "anchor_variant_bilingual", "anchor_variant_typo", "same_citation", "co_printed_run", "cocitation", "name_year", "unanchored")
@@ -44,11 +44,83 @@ def scope_origin(rows: DataFrame, rules: DataFrame, key: str = "merge_key") -> D
     return k.join(one, "code").where(F.col("_y").between(F.coalesce("_a", F.lit(0)), F.coalesce("_b", F.lit(9999)))).select(key, "origin_country")
 
 
-def reporter_origin(rows: DataFrame, rules: DataFrame, key: str = "merge_key") -> DataFrame:
-    """DEC05, DEC06: keys inside the volume and year windows of exclusive reporters (rules: code, origin_country, vol_from, vol_to, year_from, year_to)."""
-    k = rows.select(key).distinct().withColumn("code", key_part(key, 2)).withColumn("_y", number(key_part(key, 0))).withColumn("_v", number(key_part(key, 1)))
+# Verification states whose rules may tell an origin, kinds of evidence by strength, kinds that tell only what a case is not.
+ALLOWED_STATES = ("verified_exclusive", "verified_not_domestic")
+TIERS = ("exclusive_statute", "exclusive_publisher")
+NOT_DOMESTIC = ("not_domestic_window", "not_domestic_printed_court")
+COMMON_COURTS = ("ukpc", "jcpc")
+
+
+def _in_window(rules: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """Reporter rows with the rules of their code (``code``; ``vol_from``, ``vol_to``, ``year_from``, ``year_to``) whose windows do not exclude them."""
+    k = rows.withColumn("code", key_part(key, 2)).withColumn("_y", F.coalesce(number(key_part(key, 0)), *([F.col("year_printed").cast("int")] if "year_printed" in rows.columns else []))).withColumn("_v", number(key_part(key, 1)))
     inside = lambda x, a, b: x.isNull() | x.between(F.coalesce(a, F.lit(0)), F.coalesce(b, F.lit(99999)))
-    return k.join(rules, "code").where(inside(F.col("_v"), F.col("vol_from"), F.col("vol_to")) & inside(F.col("_y"), F.col("year_from"), F.col("year_to"))).select(key, "origin_country").distinct()
+    return k.where("citation_kind = 'reporter'").join(rules, "code").where(inside(F.col("_v"), F.col("vol_from"), F.col("vol_to")) & inside(F.col("_y"), F.col("year_from"), F.col("year_to")))
+
+
+def reporter_origin(rows: DataFrame, rules: DataFrame, key: str = "merge_key") -> DataFrame:
+    """DEC05: what exclusive reporters tell of the keys in their windows.
+
+    One country of all rules in whose window a key is decides; several leave it
+    undetermined, with the reason in ``ambiguous_basis``. The strongest rule is the
+    evidence; a subdivision counts where all agree on one.
+    """
+    hit = _in_window(rules.where(F.col("verification_status").isin(*ALLOWED_STATES[:1])), rows.select(key, "citation_kind").distinct(), key)
+    said = lambda c: F.when(blank(c) != "", F.col(c))
+    tier = F.coalesce(F.array_position(F.array(*[F.lit(t) for t in TIERS]), F.col("exclusivity")), F.lit(0))
+    a = hit.groupBy(key).agg(
+        F.count_distinct(said("origin_country")).alias("_n"), F.min(said("origin_country")).alias("_c"), F.count_distinct(said("origin_subdivision")).alias("_s"), F.min(said("origin_subdivision")).alias("_sub"),
+        F.min_by(F.struct("abbreviation", "exclusivity"), F.struct(F.when(tier == 0, 99).otherwise(tier), "abbreviation", F.coalesce("origin_subdivision", F.lit("")))).alias("_best"),
+    )
+    one = F.col("_n") == 1
+    return a.select(
+        key, F.when(one, F.col("_c")).alias("origin_country"), F.when(one & (F.col("_s") == 1), F.col("_sub")).otherwise("").alias("origin_subdivision"),
+        F.when(one, F.concat(F.lit("reporter_scope:"), "_best.abbreviation")).otherwise("").alias("evidence"), F.when(one, "").otherwise("exclusive_reporter_scope_ambiguous").alias("ambiguous_basis"),
+    )
+
+
+def not_domestic(rows: DataFrame, rules: DataFrame, key: str = "merge_key") -> DataFrame:
+    """DEC06: keys that a window, or a window and the court printed with the key, show to be no case of the home country; the first rule (by ``rule_no``) counts."""
+    r = rules.where((F.col("verification_status") == ALLOWED_STATES[1]) & F.col("exclusivity").isin(*NOT_DOMESTIC))
+    printed = rows.select(key, "citation_kind", F.when(~F.coalesce("court_designation_conflict", F.lit(False)), blank("observed_deciding_court")).otherwise("").alias("_court")).distinct()
+    hit = _in_window(r, printed, key).where((F.col("exclusivity") == NOT_DOMESTIC[0]) | F.array_contains(F.split(F.coalesce("qualifying_printed_courts", F.lit("")), r"\|"), F.col("_court")) & (F.col("_court") != ""))
+    return hit.groupBy(key).agg(F.min_by("exclusivity", "rule_no").alias("member_origin_basis")).select(key, F.lit("NOT_DOMESTIC").alias("member_origin_status"), "member_origin_basis")
+
+
+def classified_origin(rows: DataFrame, countries: DataFrame, mixed: DataFrame, consensus: DataFrame, key: str = "merge_key") -> DataFrame:
+    """DEC07: the country of an accepted citation's jurisdiction.
+
+    ``countries`` (jurisdiction, country); ``mixed`` are windows of reporters of several
+    countries, in which nothing is told; ``consensus`` (abbreviation code, country) are the
+    countries that all rows of a reporter agree on, asked where its jurisdiction is
+    unsupported. Rejected rows, rows that are ambiguous already and appeals to a
+    court of several countries tell nothing.
+    """
+    r = rows.where(F.col("citation_kind").isin("reporter", "neutral", "identifier") & (blank("rejected_reason") == "")).select(key, "citation_kind", "jurisdiction").distinct()
+    r = r.withColumn("code", key_part(key, 2)).where(~((F.col("citation_kind") == "neutral") & F.col("code").isin(*COMMON_COURTS)))
+    held = _in_window(mixed, r.drop("code"), key).select(F.col(key).alias("_k")).distinct()
+    r = r.join(held, F.col(key) == F.col("_k"), "left")
+    known = r.join(countries.select("jurisdiction", F.col("country").alias("_known")), "jurisdiction", "left")
+    both = known.join(consensus.select("code", F.col("country").alias("_agreed")), "code", "left")
+    agreed = F.when((F.col("jurisdiction") == "UNSUPPORTED") & (F.col("citation_kind") == "reporter"), F.col("_agreed"))
+    withheld = F.col("_k").isNotNull() & (F.col("citation_kind") == "reporter")
+    out = both.select(
+        key, F.when(~withheld, F.coalesce("_known", agreed)).alias("origin_country"),
+        F.when(withheld, "mixed_reporter_scope").when(F.col("_known").isNotNull(), "classification_jurisdiction").when(agreed.isNotNull(), "classification_reporter_consensus").alias("basis"),
+    )
+    return out.where("basis is not null").distinct()
+
+
+def reporter_consensus(rules: DataFrame) -> DataFrame:
+    """The country of each reporter code all of whose rows name the same one (rules: code, country)."""
+    a = rules.groupBy("code").agg(F.count_distinct(F.coalesce("country", F.lit(""))).alias("_n"), F.min("country").alias("country"))
+    return a.where("_n = 1 and country <> ''").select("code", "country")
+
+
+def source_titles(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """DEC14: the documents' own titles by decision id, of the wanted ids (docs: court, citation, name); of several the smallest."""
+    own = docs.select(F.concat(F.col("court"), F.lit("_"), nk("citation")).alias("decision_id"), F.col("name").alias("title")).where(blank("title") != "")
+    return own.join(decisions.select("decision_id").distinct(), "decision_id", "left_semi").groupBy("decision_id").agg(F.min("title").alias("title"))
 
 
 def group_origin(members: DataFrame, group: str = "group_id", home: str = "CA") -> DataFrame:
@@ -114,15 +186,22 @@ def ordered_number(df: DataFrame, order: str, out: str) -> DataFrame:
 
 
 def near_year_peers(groups: DataFrame, group: str = "group_id", name: str = "name", year: str = "year") -> DataFrame:
-    """DEC10: other groups of the same name at most a year away.
+    """DEC10: how many other groups of the same name are at most a year away, and the smallest of them.
 
-    An equi join on (name, year) with the left side spread over three years, so no
-    pair of distant years is ever made.
+    ``groups`` has one row per group. Groups are counted per (name, year) with their two
+    smallest ids, and three neighbouring counts are added: no pair of groups is made,
+    however many share a name.
     """
-    a = groups.where((blank(name) != "") & F.col(year).isNotNull()).select(group, name, year)
-    b = a.select(F.col(group).alias("_g"), F.col(name).alias(name), F.col(year).alias("_y"))
-    near = a.withColumn("_y", F.explode(F.array(F.col(year) - 1, F.col(year), F.col(year) + 1)))
-    return near.join(b, [name, "_y"]).where(F.col("_g") != F.col(group)).groupBy(group).agg(F.count_distinct("_g").alias("peer_count"), F.min("_g").alias("first_peer"))
+    a = groups.where((blank(name) != "") & F.col(year).isNotNull()).select(group, name, F.col(year).alias("_y"))
+    cell = a.groupBy(name, "_y").agg(F.count(F.lit(1)).alias("_n"), F.min(group).alias("_first"))
+    second = a.join(cell.select(name, "_y", "_first"), [name, "_y"]).where(F.col(group) != F.col("_first")).groupBy(name, "_y").agg(F.min(group).alias("_second"))
+    cell = cell.join(second, [name, "_y"], "left")
+    near = cell.select(name, F.explode(F.array(F.col("_y") - 1, F.col("_y"), F.col("_y") + 1)).alias("_y"), "_n", "_first", "_second")
+    ids = F.array_compact(F.array(F.min("_first"), F.min(F.when(F.col("_rank") > 1, F.col("_first"))), F.min("_second")))
+    w = Window.partitionBy(name, "_y").orderBy("_first")
+    around = near.withColumn("_rank", F.row_number().over(w)).groupBy(name, "_y").agg(F.sum("_n").alias("_n"), ids.alias("_ids"))
+    j = a.join(around, [name, "_y"])
+    return j.where("_n > 1").select(group, (F.col("_n") - 1).alias("peer_count"), F.array_min(F.filter("_ids", lambda x: x != F.col(group))).alias("first_peer"))
 
 
 def group_court(members: DataFrame, group: str = "group_id", court: str = "observed_deciding_court", basis: str = "identity_basis") -> DataFrame:

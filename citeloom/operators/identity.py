@@ -12,12 +12,12 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions.scalar import blank, fact_id, key_part, nk, number, one_edit
+from citeloom.functions.scalar import blank, fact_id, key_part, number, one_edit
 from citeloom.operators.components import connected_components
-from citeloom.operators.decide import BASES
+from citeloom.operators.decide import BASES, near_year_peers
 
 BAR = 0.8
 
@@ -59,14 +59,17 @@ def variant_kind(key_a: Column, key_b: Column, sources_a: Column, sources_b: Col
     return F.when(langs & bilingual, "bilingual").when(~langs & rare & same(0) & one_edit(part(key_a, 4), part(key_b, 4)), "typo_number").when(~langs & rare & same(4) & years, "typo_year")
 
 
-def cocitation(bridge: DataFrame, item: str, source: str, bar: float = BAR, least_overlap: int = 1, max_per_source: int | None = None) -> DataFrame:
+def cocitation(bridge: DataFrame, item: str, source: str, bar: float = BAR, least_overlap: int = 1) -> DataFrame:
     """IDN10: pairs whose shared sources are at least ``bar`` of the smaller side.
 
-    Candidates share a source. Each item is only paired from its own sources in blocks of
-    one source; a source of very many items is the cost of that source alone.
+    Candidates share a source; both sides of the join are plain exchanges of small rows, so
+    AQE splits a source of very many items. Items of fewer sources than ``least_overlap`` can
+    have no partner and are left out before.
     """
     b = bridge.select(F.col(item).alias("a"), F.col(source).alias("s")).distinct()
     size = b.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    if least_overlap > 1:
+        b = b.join(size.where(F.col("n") >= least_overlap).select("a"), "a")
     c = b.select(F.col("a").alias("b"), "s")
     both = b.join(c, "s").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= least_overlap)
     j = both.join(size, "a").join(size.select(F.col("a").alias("b"), F.col("n").alias("m")), "b")
@@ -121,7 +124,7 @@ def gate_allows(mode: str, kind: Column, registered: Column, own: Column, same_n
     return F.when((kind != "bilingual") & registered, F.lit(False)).otherwise(free | ~guard) if mode == "registered" else free | ~guard
 
 
-# The order in which kinds of links are tried; guards of a union.
+# The order in which kinds of links are tried; and, in ``blocked``, the guards of a union in their order.
 RULES = ("document_alias", "anchor_variant_bilingual", "anchor_variant_typo", "same_citation", "co_printed_run", "cocitation", "name_year")
 
 
@@ -141,7 +144,8 @@ def blocked(a: list[dict], b: list[dict]) -> str:
         return "different_identifier_numbers"
     if len(some("court")) > 1:
         return "positive_court_conflict"
-    if len(some("scope")) > 1:
+    scopes = [frozenset(str(x).split("|")) for x in some("scope")]
+    if scopes and not frozenset.intersection(*scopes):
         return "incompatible_reporter_identity_scope"
     years = {int(r["year"]) for r in rows if r.get("name") and r.get("year") is not None}
     if years and max(years) - min(years) > 1:
@@ -186,7 +190,6 @@ def solve(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``rows`` has the columns of ``ROW`` and ``history_sides`` (``SIDES``; absent ones are null), ``links`` row keys a and b with a rule.
     """
-    spark = rows.sparkSession
     fields = [f.split()[0] for f in ROW.split(", ")]
     r = rows.select(*[(F.col(f) if f in rows.columns else F.lit(None)).cast("int" if f == "year" else "string").alias(f) for f in fields], (F.col("history_sides") if "history_sides" in rows.columns else F.lit(None)).cast(SIDES).alias("history_sides"))
     comp = connected_components(links, "a", "b")
@@ -209,7 +212,6 @@ def solve(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     done = staged(member.groupBy("_block").cogroup(lk.groupBy("_block")).applyInPandas(run, "what string, x string, y string, rule string, outcome string"), "identity")
     groups = done.where("what = 'group'").select(F.col("x").alias("row_key"), F.col("y").alias("group_id")).unionByName(alone)
     trace = done.where("what = 'trace'").select(F.col("x").alias("a"), F.col("y").alias("b"), "rule", "outcome")
-    assert spark is not None
     return groups, trace.withColumn("constraint_id", fact_id(a="a", b="b", rule="rule")).withColumn("relation", F.when(F.col("outcome") == "accepted", "must_link").otherwise("cannot_link"))
 
 
@@ -243,14 +245,16 @@ def decision_roots(keys: DataFrame, variants: DataFrame) -> DataFrame:
 
 
 def uncertain_rulings(groups: DataFrame, runs: DataFrame) -> DataFrame:
-    """IDN18: unanchored groups of one name in neighbouring years that no printed run connects."""
+    """IDN18: unanchored groups of one name in neighbouring years, one of which no printed run connects with them.
+
+    Counts, not pairs: a group is uncertain when it has more neighbours than runs to neighbours.
+    """
     g = groups.where((blank("name") != "") & F.col("year").isNotNull() & ~F.col("anchored")).select("group_id", "name", "year")
-    near = g.withColumn("_y", F.explode(F.array(F.col("year") - 1, F.col("year"), F.col("year") + 1)))
-    other = g.select(F.col("group_id").alias("_g"), "name", F.col("year").alias("_y"))
-    pairs = near.join(other, ["name", "_y"]).where("_g <> group_id")
-    linked = runs.select(F.col("a").alias("group_id"), F.col("b").alias("_g"))
-    linked = linked.unionByName(linked.select(F.col("_g").alias("group_id"), F.col("group_id").alias("_g")))
-    return pairs.join(linked, ["group_id", "_g"], "left_anti").select("group_id").distinct()
+    peers = near_year_peers(g)
+    end = lambda c: g.select(F.col("group_id").alias(c), F.col("name").alias(f"_n{c}"), F.col("year").alias(f"_y{c}"))
+    run = runs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct().join(end("a"), "a").join(end("b"), "b").where("_na = _nb and abs(_ya - _yb) <= 1")
+    linked = run.select(F.explode(F.array("a", "b")).alias("group_id")).groupBy("group_id").agg(F.count(F.lit(1)).alias("_linked"))
+    return peers.join(linked, "group_id", "left").where(F.col("peer_count") > F.coalesce("_linked", F.lit(0))).select("group_id")
 
 
 def with_held(groups: DataFrame, held: DataFrame) -> DataFrame:
@@ -327,12 +331,3 @@ def history_split(members: DataFrame, sides: DataFrame, group: str = "group_id")
     """IDN14: groups with both sides of one printed history (sides: instance, side, merge_key), which must part."""
     m = members.select(group, "merge_key").join(sides, "merge_key")
     return m.groupBy(group, "instance").agg(F.count_distinct("side").alias("_s")).where("_s = 2").select(group, "instance")
-
-
-def ordered_window(rows: DataFrame, block: str, order: list[str]) -> DataFrame:
-    """Row numbers inside a block, for canonical processing order."""
-    return rows.withColumn("order_in_block", F.row_number().over(Window.partitionBy(block).orderBy(*order)))
-
-
-def name_bucket(name: Column) -> Column:
-    return nk(name)

@@ -105,6 +105,39 @@ def islands(rows: DataFrame, doc: str, order: list[str], joined: Column, key: st
     return r.withColumn("_lo", F.min(key).over(one)).withColumn("_hi", F.max(key).over(one)).where("_lo <> _hi").drop("_lo", "_hi")
 
 
+def run_evidence(runs: DataFrame, counted: DataFrame, doc: str = "doc") -> DataFrame:
+    """MRG19: what is wrong with stored runs (instance, member_index, candidate_id, merge_key, start, end, gap_before), a row for each fault; none is sound.
+
+    ``counted`` are the counted candidates (doc, candidate_id, merge_key, start, end, gap: the
+    printed text since the one before, ``joins``: whether that is a parallel separator).
+    Members must be counted candidates that say the same, of one document, numbered from
+    0, each the counted neighbour of the one before across a parallel gap, with two keys at least.
+    """
+    seat = Window.partitionBy(doc).orderBy("start", "end", "candidate_id")
+    c = counted.withColumn("_seat", F.row_number().over(seat)).select("candidate_id", *[F.col(x).alias(f"_{x}") for x in (doc, "merge_key", "start", "end", "gap", "joins")], "_seat")
+    j = runs.join(c, "candidate_id", "left")
+    w = Window.partitionBy("instance").orderBy("member_index")
+    j = j.withColumn("_nth", F.row_number().over(w) - 1).withColumn("_before", F.lag("_seat").over(w))
+    first = F.col("member_index") == 0
+    own = F.array_compact(F.array(
+        F.when(F.col("_seat").isNull(), F.lit("not_counted")),
+        F.when((F.col("merge_key") != F.col("_merge_key")) | (F.col("start") != F.col("_start")) | (F.col("end") != F.col("_end")), F.lit("differs_from_ledger")),
+        F.when(F.col("member_index") != F.col("_nth"), F.lit("order_incomplete")),
+        F.when(first & (F.coalesce("gap_before", F.lit("")) != ""), F.lit("leading_gap")),
+        F.when(~first & ((F.col("_seat") != F.col("_before") + 1) | ~F.coalesce("_joins", F.lit(False)) | (F.col("gap_before") != F.col("_gap"))), F.lit("gap_not_parallel")),
+    ))
+    whole = j.groupBy("instance").agg(F.count_distinct(f"_{doc}").alias("_d"), F.count_distinct("merge_key").alias("_k"))
+    group = F.array_compact(F.array(F.when(F.col("_d") > 1, F.lit("several_documents")), F.when(F.col("_k") < 2, F.lit("no_distinct_members"))))
+    return j.select("instance", F.explode(own).alias("fault")).unionByName(whole.select("instance", F.explode(group).alias("fault"))).distinct()
+
+
+def checked_runs(runs: DataFrame, counted: DataFrame, doc: str = "doc") -> DataFrame:
+    """MRG19: the runs as they are; the job fails where any of them is unsound."""
+    bad = run_evidence(runs, counted, doc).groupBy("instance").agg(F.array_join(F.array_sort(F.collect_set("fault")), ",").alias("_fault"))
+    fail = F.when(F.col("_fault").isNotNull(), F.raise_error(F.concat(F.lit("unsound run "), F.col("instance").cast("string"), F.lit(": "), F.col("_fault"))).cast("string"))
+    return runs.join(bad, "instance", "left").withColumn("_fault", fail).where("_fault is null").drop("_fault")
+
+
 def history_pairs(rows: DataFrame, doc: str, order: list[str], connects: Column, joined: Column, key: str = "merge_key") -> DataFrame:
     """MRG17: sides before and after each connector between neighbours; each side is the run that parallel gaps join to it.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.scalar import blank, dot, unit
 from citeloom.operators.components import connected_components
-from citeloom.operators.extract import anti_overlap
+from citeloom.operators.extract import anti_overlap, overlap_join
 
 
 def hash_order(seed: str, key: Column) -> Column:
@@ -150,9 +150,11 @@ def recall(truth: DataFrame, kept: DataFrame, superseded: DataFrame, on: list[st
 
 def losers_winner(superseded: DataFrame, kept: DataFrame, doc: str = "doc", start: str = "start", end: str = "end") -> DataFrame:
     """QLT11: the longest kept interval over each superseded one."""
-    k = kept.select(F.col(doc).alias("_d"), F.col(start).alias("_s"), F.col(end).alias("_e"))
-    j = superseded.join(k, (F.col(doc) == F.col("_d")) & (F.col(start) < F.col("_e")) & (F.col("_s") < F.col(end)))
-    return j.groupBy(doc, start, end).agg(F.max_by(F.struct("_s", "_e"), F.struct(F.col("_e") - F.col("_s"), -F.col("_s"))).alias("winner")).select(doc, start, end, F.col("winner._s").alias("winner_start"), F.col("winner._e").alias("winner_end"))
+    lost = superseded.select(F.col(doc).alias("_d"), F.col(start).alias("_s"), F.col(end).alias("_e")).distinct()
+    j = overlap_join(lost, kept.select(F.col(doc).alias("_d"), F.col(start).alias("_s2"), F.col(end).alias("_e2")))
+    best = F.max_by(F.struct("_s2", "_e2"), F.struct(F.col("_e2") - F.col("_s2"), -F.col("_s2")))
+    won = j.groupBy("_d", "_s", "_e").agg(best.alias("winner"))
+    return won.select(F.col("_d").alias(doc), F.col("_s").alias(start), F.col("_e").alias(end), F.col("winner._s2").alias("winner_start"), F.col("winner._e2").alias("winner_end"))
 
 
 def uncovered(found: DataFrame, covered: DataFrame) -> DataFrame:

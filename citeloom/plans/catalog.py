@@ -273,8 +273,9 @@ def _(v):
 @query("cross_boundary", f"WITH {I} SELECT a.event_id, min(b.event_id) AS partner FROM i a JOIN i b ON a.doc = b.doc AND b.event_type = 'click' AND a.event_type <> 'click' AND a.\"start\" < b.\"start\" AND b.\"start\" < a.\"end\" AND a.\"end\" < b.\"end\" GROUP BY a.event_id")
 def _(v):
     i = v.intervals()
-    b = i.where("event_type = 'click'").select("doc", F.col("event_id").alias("p"), F.col("start").alias("bs"), F.col("end").alias("be"))
-    return i.where("event_type <> 'click'").join(b, "doc").where("start < bs and bs < end and end < be").groupBy("event_id").agg(F.min("p").alias("partner"))
+    a = i.where("event_type <> 'click'").select(F.col("doc").alias("_d"), "event_id", F.col("start").alias("_s"), F.col("end").alias("_e"))
+    b = i.where("event_type = 'click'").select(F.col("doc").alias("_d"), F.col("event_id").alias("p"), F.col("start").alias("_s2"), F.col("end").alias("_e2"))
+    return extract.overlap_join(a, b).where("_s < _s2 and _s2 < _e and _e < _e2").groupBy("event_id").agg(F.min("p").alias("partner"))
 
 
 @query("greedy_span_dedup")

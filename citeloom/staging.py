@@ -1,7 +1,9 @@
 """Materialised intermediate tables in the folder that the cluster shares.
 
-``spark.checkpoint.dir`` names that folder. Only where it is unset (tests on
-one machine) a temporary folder is made for the session.
+``spark.checkpoint.dir`` names that folder. Only where it is unset and the master
+is local (tests on one machine) a temporary folder is made for the session; on a
+cluster an unset folder is an error. Staged tables stay until the caller clears the
+folder: results are lazy and may still read them.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = found.get() if found.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_KEY} to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="citeloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -45,17 +45,22 @@ def scope_origin(rows: DataFrame, rules: DataFrame, key: str = "merge_key") -> D
 
 
 # Verification states whose rules may tell an origin, kinds of evidence by strength, kinds that tell only what a case is not.
-ALLOWED_STATES = ("verified_exclusive", "verified_not_domestic")
+ALLOWED_STATES, NOT_DOMESTIC_STATE = ("verified_exclusive_statute", "verified_exclusive_publisher"), "verified_not_domestic"
 TIERS = ("exclusive_statute", "exclusive_publisher")
 NOT_DOMESTIC = ("not_domestic_window", "not_domestic_printed_court")
 COMMON_COURTS = ("ukpc", "jcpc")
 
 
 def _in_window(rules: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Reporter rows with the rules of their code (``code``; ``vol_from``, ``vol_to``, ``year_from``, ``year_to``) whose windows do not exclude them."""
+    """Reporter rows with the rules of their code (``code``; ``vol_from``, ``vol_to``, ``year_from``, ``year_to``) whose windows do not exclude them.
+
+    ``window_requires`` (optional, of the rules) names what must be printed: year, volume, or both joined by +.
+    """
     k = rows.withColumn("code", key_part(key, 2)).withColumn("_y", F.coalesce(number(key_part(key, 0)), *([F.col("year_printed").cast("int")] if "year_printed" in rows.columns else []))).withColumn("_v", number(key_part(key, 1)))
     inside = lambda x, a, b: x.isNull() | x.between(F.coalesce(a, F.lit(0)), F.coalesce(b, F.lit(99999)))
-    return k.where("citation_kind = 'reporter'").join(rules, "code").where(inside(F.col("_v"), F.col("vol_from"), F.col("vol_to")) & inside(F.col("_y"), F.col("year_from"), F.col("year_to")))
+    asks = (lambda what: blank("window_requires").contains(what)) if "window_requires" in rules.columns else (lambda what: F.lit(False))
+    printed = ~(asks("year") & F.col("_y").isNull()) & ~(asks("volume") & F.col("_v").isNull())
+    return k.where("citation_kind = 'reporter'").join(rules, "code").where(printed & inside(F.col("_v"), F.col("vol_from"), F.col("vol_to")) & inside(F.col("_y"), F.col("year_from"), F.col("year_to")))
 
 
 def reporter_origin(rows: DataFrame, rules: DataFrame, key: str = "merge_key") -> DataFrame:
@@ -65,7 +70,7 @@ def reporter_origin(rows: DataFrame, rules: DataFrame, key: str = "merge_key") -
     undetermined, with the reason in ``ambiguous_basis``. The strongest rule is the
     evidence; a subdivision counts where all agree on one.
     """
-    hit = _in_window(rules.where(F.col("verification_status").isin(*ALLOWED_STATES[:1])), rows.select(key, "citation_kind").distinct(), key)
+    hit = _in_window(rules.where(F.col("verification_status").isin(*ALLOWED_STATES)), rows.select(key, "citation_kind").distinct(), key)
     said = lambda c: F.when(blank(c) != "", F.col(c))
     tier = F.coalesce(F.array_position(F.array(*[F.lit(t) for t in TIERS]), F.col("exclusivity")), F.lit(0))
     a = hit.groupBy(key).agg(
@@ -81,7 +86,7 @@ def reporter_origin(rows: DataFrame, rules: DataFrame, key: str = "merge_key") -
 
 def not_domestic(rows: DataFrame, rules: DataFrame, key: str = "merge_key") -> DataFrame:
     """DEC06: keys that a window, or a window and the court printed with the key, show to be no case of the home country; the first rule (by ``rule_no``) counts."""
-    r = rules.where((F.col("verification_status") == ALLOWED_STATES[1]) & F.col("exclusivity").isin(*NOT_DOMESTIC))
+    r = rules.where((F.col("verification_status") == NOT_DOMESTIC_STATE) & F.col("exclusivity").isin(*NOT_DOMESTIC))
     printed = rows.select(key, "citation_kind", F.when(~F.coalesce("court_designation_conflict", F.lit(False)), blank("observed_deciding_court")).otherwise("").alias("_court")).distinct()
     hit = _in_window(r, printed, key).where((F.col("exclusivity") == NOT_DOMESTIC[0]) | F.array_contains(F.split(F.coalesce("qualifying_printed_courts", F.lit("")), r"\|"), F.col("_court")) & (F.col("_court") != ""))
     return hit.groupBy(key).agg(F.min_by("exclusivity", "rule_no").alias("member_origin_basis")).select(key, F.lit("NOT_DOMESTIC").alias("member_origin_status"), "member_origin_basis")
@@ -93,9 +98,11 @@ def classified_origin(rows: DataFrame, countries: DataFrame, mixed: DataFrame, c
     ``countries`` (jurisdiction, country); ``mixed`` are windows of reporters of several
     countries, in which nothing is told; ``consensus`` (abbreviation code, country) are the
     countries that all rows of a reporter agree on, asked where its jurisdiction is
-    unsupported. Rejected rows, rows that are ambiguous already and appeals to a
-    court of several countries tell nothing.
+    unsupported. Rejected rows, rows with an ``ambiguous_basis`` (optional) and appeals
+    to a court of several countries tell nothing.
     """
+    if "ambiguous_basis" in rows.columns:
+        rows = rows.where(blank("ambiguous_basis") == "")
     r = rows.where(F.col("citation_kind").isin("reporter", "neutral", "identifier") & (blank("rejected_reason") == "")).select(key, "citation_kind", "jurisdiction").distinct()
     r = r.withColumn("code", key_part(key, 2)).where(~((F.col("citation_kind") == "neutral") & F.col("code").isin(*COMMON_COURTS)))
     held = _in_window(mixed, r.drop("code"), key).select(F.col(key).alias("_k")).distinct()

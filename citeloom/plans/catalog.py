@@ -72,11 +72,6 @@ def _(v):
     return integrity.zone_profile(_zoned(v), ["doc", "event_type"])
 
 
-@query("document_zones")
-def _(v):
-    return integrity.locate_zones(v.t("pages"), [(r"<article>", "reasons_delivery"), (r"<nav>", "appeal_start"), (r"</nav>", "appeal_end")], "page_id", "html")
-
-
 @query("excluded_sources", f"WITH {M}, x AS (SELECT DISTINCT source_id FROM m WHERE l_orderkey % 10 = 0) SELECT merge_key, bool_and(source_id IN (SELECT source_id FROM x)) AS excluded_source_only FROM m GROUP BY merge_key")
 def _(v):
     m = v.mentions()
@@ -452,22 +447,6 @@ def _solved(v):
     return k, identity.solve(k, links)
 
 
-@query("identity_solution")
-def _(v):
-    return _solved(v)[1][0]
-
-
-@query("identity_basis")
-def _(v):
-    groups, trace = _solved(v)[1]
-    return identity.identity_basis(groups, trace)
-
-
-@query("identity_trace")
-def _(v):
-    return _solved(v)[1][1]
-
-
 @query("court_partition", f"""WITH {M}, r AS (SELECT DISTINCT kind AS block, CASE WHEN supp % 4 = 0 THEN '' ELSE 'C' || supp % 4 END AS court, supp AS row_key FROM m), b AS (SELECT DISTINCT supp AS row_key, source_id FROM m),
   side AS (SELECT DISTINCT block, court, source_id FROM r JOIN b USING (row_key) WHERE court <> ''), cs AS (SELECT block, court, count(*) AS cn FROM side GROUP BY 1, 2),
   op AS (SELECT DISTINCT block, row_key, source_id FROM r JOIN b USING (row_key) WHERE court = ''), os AS (SELECT row_key, count(*) AS n FROM op GROUP BY 1),
@@ -560,13 +539,6 @@ def _(v):
     return decide.group_court(r)
 
 
-@query("adjudicated_groups")
-def _(v):
-    m = v.mentions().groupBy("group_id", "merge_key").agg(F.count(F.lit(1)).alias("occurrence_count"), F.min("name").alias("case_name_modal"))
-    e = decide.effective_sources(_bridge(v), _own(v), v.mentions().where("l_orderkey % 10 = 0"))
-    return decide.adjudicate(m, e)
-
-
 @query("threshold_flag", f"WITH {G} SELECT group_id, dd, dd >= 5 AS kept FROM g")
 def _(v):
     return decide.threshold_flag(v.groups().select("group_id", "dd"))
@@ -780,12 +752,6 @@ def _(v):
     return quality.set_difference(*_runs(v))
 
 
-@query("matched_groups")
-def _(v):
-    p = v.t("part")
-    return quality.match_groups(p.select(F.col("p_partkey").alias("member"), F.concat_ws("/", "p_name", "p_brand").alias("group_id")), p.where("p_size < 45").select(F.col("p_partkey").alias("member"), F.concat_ws("/", "p_name", "p_brand", F.when(F.col("p_size") > 30, F.lit("x")).otherwise("")).alias("group_id")))
-
-
 @query("source_metrics", f"WITH {E}, {D}, n AS (SELECT source_id, count(*) AS k, count(*) FILTER (foreign_status = 'FOREIGN') AS f FROM e GROUP BY 1), j AS (SELECT d.court, coalesce(k, 0) AS k, coalesce(f, 0) AS f FROM d LEFT JOIN n USING (source_id)) SELECT court, count(*) AS documents, CAST(sum(k) AS BIGINT) AS links, round(avg(k), 6) AS mean_links, round(quantile_cont(k, 0.5), 6) AS median_links, count(*) FILTER (k = 0) AS without_links, round(sum(f) / CAST(nullif(sum(k), 0) AS DOUBLE), 6) AS foreign_share FROM j GROUP BY court")
 def _(v):
     return quality.source_metrics(v.sources(), v.edges(), ["court"])
@@ -846,6 +812,9 @@ def _(v):
     return scorer.answers(p, p.where("p_partkey % 2 = 0").withColumn("choice", F.lit("yes")), ["p_partkey"])
 
 
+from citeloom.plans import more, printed  # noqa: E402, F401  (they register their queries)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda spark, sf_dir, f=f: f(Views(spark, sf_dir))) for k, f in QUERIES.items()}
 

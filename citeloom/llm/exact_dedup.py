@@ -21,7 +21,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.staging import staged, without_ids
+from citeloom.staging import fresh, staged
 
 
 def ascii_lower(text: Column) -> Column:
@@ -59,6 +59,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The input's rows, all columns, without the copies that do not stay.
 
-    Rows that agree in id and text both stay: nothing tells them apart.
+    Rows that agree in id and text both stay: nothing tells them apart. Each row is
+    judged by its id and its own text, so a null or repeated id takes no other text along.
     """
-    return without_ids(docs, id_col, exact_groups(docs, id_col, text_col, keep).where(~F.col("kept")).select(id_col))
+    of, own = fresh(docs, "_of"), fresh(docs, "_sha")
+    gone = exact_groups(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_id", "_text", keep).where(~F.col("kept"))
+    gone = gone.select(F.col("_id").alias(of), F.col("text_sha256").alias(own)).distinct()
+    sha = F.sha2(ascii_lower(F.coalesce(docs[text_col].cast("string"), F.lit(""))), 256)
+    return docs.join(gone, docs[id_col].eqNullSafe(gone[of]) & (sha == gone[own]), "left_anti")

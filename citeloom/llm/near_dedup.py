@@ -35,9 +35,9 @@ staged tables. Ids of candidates are broadcast only while there are at most
 ``BROADCAST_IDS`` of them.
 
 Defined results: null, empty and wordless texts have no shingles and are each a
-class of their own; a null id takes part like any other and cannot be told from
-other null ids; ids should name one text, rows of one id with different texts are
-compared by one of them; repeated rows fall into one class; an empty table gives an
+class of their own; a row with a null id joins the class of an equal text, and is not
+compared with others (its class is null where no equal text has an id); ids should name one text, rows of one
+id with different texts are compared by one of them; repeated rows fall into one class; an empty table gives an
 empty result; other columns are not read (``near_classes``) or are kept
 (``keep_one``). A class is named by its smallest id.
 """
@@ -48,12 +48,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm.textvec import SLICE_BYTES, mix, shingles, slices, small_batches, word_hashes
 from citeloom.operators.components import connected_components
-from citeloom.staging import staged, without_ids
+from citeloom.staging import fresh, staged
 
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
@@ -195,7 +195,7 @@ def signatures(h: np.ndarray, w: np.ndarray, offs: np.ndarray, bands: int, rows:
     return out
 
 
-_SIG = "_id {0}, _same binary, _keys array<long>, _codes binary"
+_SIG = "_id {0}, _sum binary, _same binary, _keys array<long>, _codes binary"
 
 
 def _sign(bands: int, rows: int):
@@ -223,6 +223,7 @@ def _sign(bands: int, rows: int):
         return pa.table(
             {
                 "_id": table.column("_id"),
+                "_sum": table.column("_sum"),
                 "_same": pa.array([next(sames).tobytes() if x else None for x in has], pa.binary()),
                 "_keys": pa.array([k if x else [] for k, x in zip(keys.tolist(), has, strict=True)], pa.list_(pa.int64())),
                 "_codes": pa.array([codes[i:j].tobytes() for i, j in zip(offs[:-1], offs[1:], strict=True)], pa.binary()),
@@ -232,14 +233,18 @@ def _sign(bands: int, rows: int):
     return run
 
 
+def _digest(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+
+
 def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Staged table of (_id, _same, _keys, _codes) for all rows of docs (_id, _text)."""
+    """Staged table of (_id, _sum, _same, _keys, _codes) for all rows of docs (_id, _text); ``_sum`` is a digest of the text."""
     small_batches(docs)
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("_text")), F.lit(0)).alias("b")).first()
     grow = min(8.0, max(1.0, (size.b / 30e9) ** 0.5))
     blocks, ranges = max(1, int(-(-size.b // (grow * BLOCK_BYTES)))), max(1, int(-(-size.b // (6 * grow * RANGE_SHINGLES))))
     kind = docs.schema["_id"].dataType.simpleString()
-    dealt = docs.select(F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(blocks)).alias("_block"), "_id", "_text")
+    dealt = docs.select(F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(blocks)).alias("_block"), "_id", "_text", _digest("_text").alias("_sum"))
     sent = dealt.groupBy("_block").applyInArrow(_send(ranges), "_block long, _range long, hashes binary, df binary")
     back = sent.groupBy("_range").applyInArrow(_answer(size.n), "_block long, _range long, codes binary")
     signed = dealt.groupBy("_block").cogroup(back.groupBy("_block")).applyInArrow(_sign(bands, rows), _SIG.format(kind))
@@ -381,8 +386,8 @@ def _compared(named: DataFrame, few: DataFrame, vectors: DataFrame, threshold: f
     return staged(few.groupBy(*at).cogroup(many.groupBy(*at)).applyInArrow(_rest(threshold), f"_a {kind}, _b {kind}").distinct(), "near-more")
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per input row: id, class_id, class_size and kept (the class's smallest id)."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row per input row: _id, _sum, class_id, class_size and kept."""
     rows_in = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = rows_in.schema["_id"].dataType.simpleString()
     signed = sign(rows_in, bands, rows)
@@ -415,12 +420,19 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 first = connected_components(links.unionByName(more), "_a", "_b")
 
     classes = stands.select("_same", "_rep").join(first.select(F.col("node").alias("_rep"), "component"), "_rep", "left").select("_same", F.coalesce("component", "_rep").alias("_class"))
-    classed = staged(signed.select("_id", "_same").join(classes, "_same", "left").select("_id", F.coalesce("_class", "_id").alias("_class"), F.col("_same").isNotNull().alias("_has")), "near-classes")
+    classed = staged(signed.select("_id", "_sum", "_same").join(classes, "_same", "left").select("_id", "_sum", F.coalesce("_class", "_id").alias("_class"), F.col("_same").isNotNull().alias("_has")), "near-classes")
     sizes = classed.groupBy("_class", "_has").agg(F.count(F.lit(1)).alias("class_size"))
     out = classed.join(sizes.select(F.col("_class").alias("_k"), F.col("_has").alias("_kh"), "class_size"), F.col("_class").eqNullSafe(F.col("_k")) & (F.col("_has") == F.col("_kh")))
-    return out.select(F.col("_id").alias(id_col), F.col("_class").alias("class_id"), "class_size", F.col("_id").eqNullSafe(F.col("_class")).alias("kept"))
+    return out.select("_id", "_sum", F.col("_class").alias("class_id"), "class_size", F.col("_id").eqNullSafe(F.col("_class")).alias("kept"))
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per input row: id, class_id, class_size and kept (the class's smallest id)."""
+    return _classes(docs, id_col, text_col, **options).drop("_sum").withColumnRenamed("_id", id_col)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents, all columns, of the smallest id of each class."""
-    return without_ids(docs, id_col, near_classes(docs, id_col, text_col, **options).where(~F.col("kept")).select(id_col))
+    """The documents, all columns, of the smallest id of each class; each row is judged by its id and its own text."""
+    of, own = fresh(docs, "_of"), fresh(docs, "_sum")
+    gone = _classes(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col("_id").alias(of), F.col("_sum").alias(own)).distinct()
+    return docs.join(gone, docs[id_col].eqNullSafe(gone[of]) & (_digest(text_col) == gone[own]), "left_anti")

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.staging import fresh
+from citeloom.staging import fresh, staged
 
 MAX_BROADCAST_SOURCES = 10_000
 #: 48 bits of MD5 make the uniform number.
@@ -78,7 +78,7 @@ def poisson_mix(
     default that of the input. Added columns: ``copy`` (from 1), ``n_copies``,
     ``shuffle_key`` (ascending inside partitions and between them).
     """
-    rates = source_rates(docs, source_col, targets, rows_out, temperature).cache()
+    rates = staged(source_rates(docs, source_col, targets, rows_out, temperature), "mix-rates")
     small = rates.limit(MAX_BROADCAST_SOURCES + 1).count() <= MAX_BROADCAST_SOURCES
     kept = docs.drop("copy", "n_copies", "shuffle_key")
     src, cdf = fresh(kept, "_src"), fresh(kept, "_cdf")

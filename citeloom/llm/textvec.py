@@ -24,7 +24,6 @@ _RNG = np.random.default_rng(20260101)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _WORD_LUT = np.frombuffer(WORD_TABLE, np.uint8).copy()
 _WORD_LUT[_WORD_LUT == 0x20] = 0
-_POW = np.ones(64, np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLE_MUL = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -36,10 +35,18 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def _power_table(n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.r_[np.uint64(1), np.full(n - 1, _PRIME, np.uint64)])
+
+
+_POW = _power_table(64)
+
+
 def _powers(n: int) -> np.ndarray:
+    """The first powers of the prime, at least ``n``; longer tables begin with the shorter ones."""
     global _POW
     if n > len(_POW):
-        _POW = np.multiply.accumulate(np.r_[np.uint64(1), np.full(2 * n - 1, _PRIME, np.uint64)])
+        _POW = _power_table(2 * n)
     return _POW
 
 

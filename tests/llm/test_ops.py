@@ -139,6 +139,85 @@ def test_platt_of_inseparable_and_one_class():
     assert labels.platt(np.ones(3), np.ones(3)) == (1.0, 0.0)
 
 
+def plain_features(text):
+    """The indicators of one text by loops: byte trigrams, and shapes of words, pairs and triples of words."""
+    b, m = (text or "").encode(), 0xFFFFFFFF
+    found = {((((b[i] * 0x9E3779B1) ^ (b[i + 1] * 0x85EBCA77) ^ (b[i + 2] * 0xC2B2AE3D)) & m) * 0x27D4EB2F & m) >> 17 for i in range(len(b) - 2)}
+    words = re.findall(rb"[\x21-\xff]+", b)
+    shapes = []
+    for i, w in enumerate(words):
+        upper, lower = sum(65 <= c <= 90 for c in w), sum(97 <= c <= 122 for c in w)
+        digit, high = sum(48 <= c <= 57 for c in w), sum(c >= 128 for c in w)
+        punct = len(w) - upper - lower - digit - high
+        case = 0 if not upper else 1 if lower else 3 if upper > 1 else 2
+        marks = 0 if not punct else 5 if punct == len(w) else min(punct, 3) + 1
+        shapes.append(1 + case + 4 * (digit > 0) + 8 * (i > 0 and words[i - 1] == w) + 16 * marks)
+    base = 1 << 15
+    found |= {base + s for s in shapes} | {base + 128 + a * 97 + c for a, c in zip(shapes, shapes[1:])}
+    return found | {base + (1 << 14) + (((a * 97 + c) * 97 + d) * 0x9E3779B1 >> 12) % (1 << 14) for a, c, d in zip(shapes, shapes[1:], shapes[2:])}
+
+
+def test_quality_scores_match_plain_loops(spark, odd_docs):
+    rng = random.Random(14)
+    texts = ["", None, "a", "ab", "One 2two, THREE three three!! ... É1"] + [" ".join(rng.choice([w, w.upper(), w + ",", w + str(rng.randint(0, 99)), "--"]) for w in prose(rng, rng.randint(1, 80)).split()) for _ in range(60)]
+    gen = np.random.default_rng(3)
+    model = nbsvm.Model(gen.standard_normal(nbsvm.FEATURES), 0.3, 0.05, -0.1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in nbsvm.score(docs, model).collect()}
+    for i, t in enumerate(texts):
+        want = float(labels.sigmoid(0.05 * (sum(model.weights[k] for k in plain_features(t)) + 0.3) - 0.1))
+        assert got[i] == pytest.approx(want, abs=1e-9)
+
+
+def test_quality_on_held_out_labels(spark):
+    """Accuracy and order of scores on the labels of the fold that is not learned from."""
+    sf = "/root/testdata/sf0.01"
+    docs, lab = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    r = nbsvm.score(docs, nbsvm.fit(docs, lab)).where("held_out").join(lab.groupBy("doc_id").agg(F.max("quality").alias("y")), "doc_id").collect()
+    assert np.mean([x.predicted == x.y for x in r]) > 0.9
+    pos, neg = [x.score for x in r if x.y == 1], [x.score for x in r if x.y == 0]
+    assert np.mean([p > n for p in pos for n in neg]) > 0.95
+
+
+def test_labels_that_repeat_or_are_null(spark):
+    rows = [(1, 1, 0), (1, 0, 0), (2, None, 0), (None, 1, 0), (3, 0, 0), (3, 0, 0)]
+    lab = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    got = {r._id: r._y for r in labels.label_sample(lab, "quality", {0: 10, 1: 10}).collect()}
+    free = {r.doc_id for r in lab.where(labels.fold() != 0).collect()}
+    assert got == {k: y for k, y in {1: 1, 3: 0}.items() if k in free}
+
+
+def test_gru_matches_plain_loops():
+    """Every overlapping window by loops over steps, and the highest of a text."""
+    rng = random.Random(3)
+    texts = [prose(rng, n) for n in (1, 20, 48, 49, 73, 150)] + ["", None]
+    net = toxic_gru.Network(np.sort(toxic_gru.Words(pa.array(texts)).hash[::2]))
+    net.scale, net.shift, p, hid = 0.7, 0.1, net.p, toxic_gru.HIDDEN
+    sig = lambda z: 1 / (1 + np.exp(-z))
+    for t, got in zip(texts, net.score(pa.array(texts)), strict=True):
+        words = toxic_gru.Words(pa.array([t]))
+        vec, ids = net.inputs(words), words.ids.tolist()
+        starts = [0] if len(ids) <= toxic_gru.WINDOW else sorted({min(s, len(ids) - toxic_gru.WINDOW) for s in range(0, len(ids) - toxic_gru.WINDOW + toxic_gru.STRIDE, toxic_gru.STRIDE)})
+        best = -np.inf
+        for s in starts:
+            own = ids[s : s + toxic_gru.WINDOW]
+            own += [0] * (toxic_gru.WINDOW - len(own))
+            states = {}
+            for side, order in (("f", range(len(own))), ("b", range(len(own) - 1, -1, -1))):
+                h = np.zeros(hid)
+                for k in order:
+                    g, u = vec[own[k]] @ p["x" + side] + p["c" + side], h @ p["u" + side]
+                    z, r = sig(g[:hid] + u[:hid]), sig(g[hid : 2 * hid] + u[hid : 2 * hid])
+                    n = np.tanh(g[2 * hid :] + r * u[2 * hid :])
+                    h = (1 - z) * n + z * h
+                    states[side, k] = h
+            live = [np.concatenate([states["f", k], states["b", k]]) for k in range(len(own)) if own[k]]
+            a = np.exp([float(v @ p["attend"]) for v in live])
+            pooled = sum(x * v for x, v in zip(a / a.sum(), live)) if live else np.zeros(2 * hid)
+            best = max(best, float(pooled @ p["out"] + p["bias"][0]))
+        assert got == pytest.approx(float(sig(0.7 * best + 0.1)), abs=1e-4)
+
+
 # --- near dedup
 
 
@@ -632,3 +711,11 @@ def test_word_hashes_match_split():
         for x, y in zip(h[offs[i] : offs[i + 1]].tolist(), w, strict=True):
             assert seen.setdefault(y, x) == x
     assert len(set(seen.values())) == len(seen)
+
+
+def test_word_hashes_tell_anagrams_and_do_not_change():
+    h, _ = textvec.word_hashes(pa.array(["listen silent enlist a ab ba"]))
+    assert len(set(h.tolist())) == 6
+    textvec.word_hashes(pa.array(["y" * 5000]))
+    again, _ = textvec.word_hashes(pa.array(["listen silent enlist a ab ba"]))
+    assert (h == again).all()

@@ -47,10 +47,3 @@ def fresh(df: DataFrame, base: str) -> str:
     while base.lower() in have:
         base += "_"
     return base
-
-
-def without_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose id is not among the first column of ``ids``; null ids match null."""
-    name = fresh(df, "_gone")
-    gone = ids.select(ids[ids.columns[0]].alias(name)).distinct()
-    return df.join(gone, df[id_col].eqNullSafe(gone[name]), "left_anti")

@@ -66,8 +66,8 @@ LEADERS = 4
 #: Bands whose leaders are met first.
 FIRST_BANDS = 3
 #: Documents of a block of a key, and bytes of their shingle hashes, about.
-BLOCK_DOCS = 400
-BLOCK_HASH_BYTES = 4_000_000
+BLOCK_DOCS = 1_000
+BLOCK_HASH_BYTES = 8_000_000
 #: Shingles whose samples are drawn at once, about.
 CHUNK_SHINGLES = 20_000
 #: Documents that meet one copy of their leader's vector.

@@ -32,12 +32,13 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def platt(margin: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float]:
+def platt(margin: np.ndarray, y: np.ndarray, rounds: int = 100, weight: np.ndarray | None = None) -> tuple[float, float]:
     """Scale and shift of a logistic map from margins to probabilities, by Newton's method with smoothed targets.
 
-    With one class only, margins are taken as they are.
+    With one class only, margins are taken as they are. ``weight`` says how often each margin occurs.
     """
-    pos, neg = float((y == 1).sum()), float((y == 0).sum())
+    n = np.ones(len(y)) if weight is None else weight
+    pos, neg = float(n[y == 1].sum()), float(n[y == 0].sum())
     if not pos or not neg:
         return 1.0, 0.0
     t = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
@@ -45,13 +46,13 @@ def platt(margin: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float,
 
     def loss(w: np.ndarray) -> float:
         z = x @ w
-        return float((np.logaddexp(0, z) - t * z).sum()) + 5e-4 * float(w @ w)
+        return float((n * (np.logaddexp(0, z) - t * z)).sum()) + 5e-4 * float(w @ w)
 
     w = np.array([0.0, np.log((pos + 1) / (neg + 1))])
     for _ in range(rounds):
         p = sigmoid(x @ w)
-        g = x.T @ (p - t) + 1e-3 * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), g)
+        g = x.T @ (n * (p - t)) + 1e-3 * w
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), g)
         size, before = 1.0, loss(w)
         while size > 1e-6 and loss(w - size * step) > before:
             size /= 2
@@ -59,5 +60,5 @@ def platt(margin: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float,
         if np.abs(size * step).max() < 1e-8:
             break
     if w[0] < 1e-3:  # the margins do not tell the classes apart
-        return 1e-3, float(np.log((pos + 1) / (neg + 1)) - 1e-3 * margin.mean())
+        return 1e-3, float(np.log((pos + 1) / (neg + 1)) - 1e-3 * np.average(margin, weights=weight))
     return float(w[0]), float(w[1])

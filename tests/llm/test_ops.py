@@ -521,6 +521,83 @@ def test_secret_inside_a_long_run_and_without_digits():
     assert secrets.scan_text("key QwErTyUiOpAsDf end", Sees())[1] == [("model", 4, 18)]
 
 
+def secret_docs(n=320):
+    rng = random.Random(12)
+    rand = lambda n, a="0123456789abcdef": "".join(rng.choice(a) for _ in range(n))
+    kinds = [lambda: f'token = "{rand(40)}"', lambda: f"part {rand(23)}", lambda: f"password={rand(18)}", lambda: f"files/{rand(9)}/{rand(50, 'qwertyuiop/')}"]
+    return [(i, f"{prose(rng, 12)} {kinds[i % 4]()} {prose(rng, 8)}") for i in range(n)]
+
+
+def labelled_by_hand(text):
+    """Encoded windows and labels of a text, from the pieces that have tests of their own."""
+    codes, base = secrets.codes_of(text), brute_spans(text)
+    _, start, end = secrets.windows(*secrets.candidates(codes, base)[:2])
+    y = secrets.labels_of(text, base, start, end)
+    for m in re.finditer(r"(?:password|passwd|secret|token|api_?key)", text, re.I | re.A):
+        if any(k == "assign" and a == m.start() for k, a, _ in base):
+            codes[m.start() : m.end()] = ord("x")
+    return secrets.encoded(codes, start, end)[y >= 0].astype(np.int64), y[y >= 0]
+
+
+def test_secret_fit_reads_every_window_of_every_document(spark):
+    rows = [*secret_docs(), (5, None), (None, ""), (6, secret_docs()[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    net = secrets.fit(docs, documents=0, sample=40)
+    part = {r.text or "": r.p for r in docs.selectExpr("text", "pmod(xxhash64(coalesce(text, '')), 16) p").collect()}
+    of = lambda *parts: [labelled_by_hand(t or "") for _, t in rows if part[t or ""] in parts]
+    told = lambda x: secrets.sigmoid(net.scale * net.forward(x).astype(np.float64) + net.shift) >= net.threshold - 1e-6
+    assert net.report["trained"] == sum(len(y) for _, y in of(*range(4, 16)))
+    held = of(0, 1)
+    x, y = np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
+    assert net.report["windows"] == len(y) and net.report["secrets"] == y.sum() > 0
+    assert net.report["recall"] == pytest.approx(told(x)[y == 1].mean()) and net.report["precision"] == pytest.approx(y[told(x)].mean())
+    set_by = np.concatenate([x[y == 1] for x, y in of(2, 3)])
+    assert told(set_by).mean() >= secrets.RECALL
+    margin = np.sort(net.forward(set_by).astype(np.float64))
+    lowest = margin[int((1 - secrets.RECALL) * len(margin))]
+    assert 0 <= secrets.sigmoid(net.scale * lowest + net.shift) - net.threshold < 0.01 * net.scale
+    again = secrets.fit(docs.repartition(7), documents=0, sample=40)
+    assert all((net.p[k] == again.p[k]).all() for k in net.p) and net.threshold == again.threshold and net.report == again.report
+
+
+def test_secret_fit_learns_from_documents_outside_the_start(spark):
+    rows = secret_docs()
+    fit = lambda r: secrets.fit(spark.createDataFrame(r, "doc_id long, text string"), documents=0, sample=40)
+    with_base = [(i, t) for i, t in rows if i % 2 == 0 and brute_spans(t)]
+    others = [r for r in rows if r[0] % 2]
+    some, every = fit(with_base), fit(with_base + others)
+    assert some.threshold < 1 and every.threshold < 1
+    assert any((some.p[k] != every.p[k]).any() for k in some.p)
+    loss = lambda net: np.mean([np.logaddexp(0, net.forward(x[y == 0])).sum() for x, y in (labelled_by_hand(t) for _, t in others)])
+    assert loss(every) < loss(some)
+
+
+def test_secret_gradient_of_a_text_is_that_of_all_its_windows(monkeypatch):
+    for turn, group in enumerate((1, 3, 1_024)):
+        monkeypatch.setattr(secrets, "GROUP", group)
+        net = secrets.Network(turn)
+        net.p["ob"][0] = turn * 4 - 3.8  # few, some or all windows have a loss
+        for _, text in secret_docs(8):
+            text = f"{text} /{'q' * 130} {text}"
+            x, y = labelled_by_hand(text)
+            got, miss, every = secrets.text_gradient(text, net)
+            at = np.flatnonzero(np.where(y == 1, 1, -1) * net.forward(x) < secrets.MARGIN)
+            assert (miss, every) == (len(at), len(y))
+            plain = [net.gradients(x[[i]], y[[i]], np.ones(1)) for i in at]
+            want = [sum(g[k].astype(np.float64) for g in plain).ravel() for k in net.p] if plain else None
+            assert got is None if want is None else np.allclose(got / secrets.UNIT, np.concatenate(want), atol=1e-4)
+    assert secrets.text_gradient("", secrets.Network())[1:] == (0, 0)
+
+
+def test_secret_map_from_counts_is_that_of_rows():
+    rng = np.random.default_rng(3)
+    margin, y = rng.integers(-9, 9, 4_000).astype(float), rng.integers(0, 2, 4_000)
+    pairs, n = np.unique(np.stack([margin, y]), axis=1, return_counts=True)
+    margin += 3 * y
+    pairs[0] += 3 * pairs[1]
+    assert labels.platt(pairs[0], pairs[1], weight=n.astype(float)) == pytest.approx(labels.platt(margin, y), rel=1e-6)
+
+
 # --- decontamination
 
 

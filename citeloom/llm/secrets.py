@@ -104,8 +104,10 @@ def codes_of(text: str) -> np.ndarray:
 
 def candidates(codes: np.ndarray, base: list[Span]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end, and whether a base finding overlaps it, of every maximal run."""
-    edge = np.diff(TOKEN[codes].astype(np.int8), prepend=0, append=0)
-    a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    own = np.zeros(len(codes) + 2, bool)
+    own[1:-1] = TOKEN[codes]
+    edge = np.flatnonzero(own[1:] != own[:-1])
+    a, b = edge[::2].copy(), edge[1::2].copy()
     known = np.zeros(len(a), bool)
     for _, x, y in base:
         known[np.searchsorted(b, x, "right") : np.searchsorted(a, y, "left")] = True
@@ -114,6 +116,8 @@ def candidates(codes: np.ndarray, base: list[Span]) -> tuple[np.ndarray, np.ndar
 
 def windows(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Run, start and end of the windows that read the runs; a run up to ``SPAN`` is one."""
+    if not len(a) or (b - a).max() <= SPAN:
+        return np.arange(len(a)), a, b
     more = np.maximum(0, -(-(b - a - SPAN) // STEP))
     run = np.repeat(np.arange(len(a)), more + 1)
     nth = np.arange(len(run)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)

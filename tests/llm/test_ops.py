@@ -589,6 +589,46 @@ def test_secret_gradient_of_a_text_is_that_of_all_its_windows(monkeypatch):
     assert secrets.text_gradient("", secrets.Network())[1:] == (0, 0)
 
 
+def test_secret_texts_read_together_score_as_alone(monkeypatch):
+    class Model:
+        value = secrets.Network(5)
+
+    net, rng = Model.value, random.Random(6)
+    net.p["ob"][0], net.threshold = 0.3, 0.52  # some windows have a loss, some are found
+    texts = [t for _, t in secret_docs(200)] + ["", "\0" * 60, "é" * 30, "x", "\U0001f600 a=b", "/" * 9_000]
+    texts += ["".join(rng.choice("ab/é \0:=") for _ in range(rng.choice([1, 70, 3_000]))) for _ in range(20)]
+    calls = dict.fromkeys(("scores", "forward"), 0)
+
+    def count(name, real):
+        def run(self, *args):
+            calls[name] += 1
+            return real(self, *args)
+
+        return run
+
+    alone = [secrets.scan_text(t, net)[1] for t in texts]
+    margins = [(net.margins(c, a, b), y) for c, a, b, y, _ in (secrets._learned([t]) for t in texts)]
+    gradient = [secrets.text_gradient(t, net) for t in texts]
+    for name in calls:
+        monkeypatch.setattr(secrets.Network, name, count(name, getattr(secrets.Network, name)))
+    order = list(range(len(texts)))
+    for _ in range(3):
+        rng.shuffle(order)
+        own = [texts[i] for i in order]
+        batch = pa.RecordBatch.from_pydict({"i": order, "t": own})
+        got = {r["_id"]: r["spans"] for b in secrets._scan(Model)(iter([batch])) for r in b.to_pylist()}
+        assert [got[i] for i in range(len(texts))] == [secrets.joined(x) for x in alone]
+        rows = [secrets._learned(own[group]) for group in secrets.together(own)]
+        assert (np.concatenate([net.margins(c, a, b, of) for c, a, b, _, of in rows]) == np.concatenate([margins[i][0] for i in order])).all()
+        assert (np.concatenate([y for *_, y, _ in rows]) == np.concatenate([margins[i][1] for i in order])).all()
+        sums = {r["_k"]: r["_n"] for b in secrets._gradient(Model)(iter([batch.select(["t"])])) for r in b.to_pylist()}
+        assert sums[-1] == sum(n for _, n, _ in gradient) and sums[-2] == sum(n for *_, n in gradient)
+        total = sum(g for g, *_ in gradient if g is not None)
+        assert total.any() and {k: n for k, n in sums.items() if k >= 0} == {k: n for k, n in enumerate(total.tolist()) if n}
+    assert sum(any(k == "model" for k, *_ in x) for x in alone) > 10
+    assert calls["scores"] < 3 * 3 * len(texts) / 4 and calls["forward"] < 3 * len(texts) / 4  # not one call a text
+
+
 def test_secret_map_from_counts_is_that_of_rows():
     rng = np.random.default_rng(3)
     margin, y = rng.integers(-9, 9, 4_000).astype(float), rng.integers(0, 2, 4_000)

@@ -20,8 +20,7 @@ grow with the root of the input up to eightfold, which keeps rows long up to som
 terabytes; beyond, a row tends to one shingle, as in any exchange of shingles. (2) Blocks meet their answers and give each
 document's band keys and its idf codes, a byte for each shingle. (3) Of equal
 texts one stands for all from here on. Inside each band key every document is
-compared with the key's smallest document, not with every other one, in the first
-``FIRST_BANDS`` bands always, in the others where the two are of different classes by then; these
+compared with the key's smallest document, not with every other one; these
 star-shaped links are verified exactly, with leaders salted where many follow
 one. In keys that still hold documents of several classes, ``LEADERS`` more documents
 from outside the key's largest class are compared in the same way with all of its
@@ -63,8 +62,6 @@ BLOCK_BYTES = 4_000_000
 RANGE_SHINGLES = 500_000
 #: More documents of a key that all its documents of other classes are compared with.
 LEADERS = 4
-#: Bands whose leaders are met first.
-FIRST_BANDS = 3
 #: Documents of a block of a key, and bytes of their shingle hashes, about.
 BLOCK_DOCS = 1_000
 BLOCK_HASH_BYTES = 8_000_000
@@ -347,6 +344,13 @@ def _confirmed(pairs: DataFrame, vectors: DataFrame, threshold: float, kind: str
     return checked.select(F.col("_id").alias("_a"), F.col("_lead").alias("_b"))
 
 
+def _joined(classes: DataFrame, more: DataFrame) -> DataFrame:
+    """The classes (node, component) after more links (_a, _b)."""
+    if more.isEmpty():
+        return classes
+    return connected_components(classes.where("node <> component").toDF("_a", "_b").unionByName(more), "_a", "_b")
+
+
 def _mixed(member: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of keys with documents of several classes all documents with their class, and those outside the key's largest class."""
     named = member.join(classes.select(F.col("node").alias("_id"), F.col("component").alias("_got")), "_id", "left").select("_key", "_lead", "_id", F.coalesce("_got", "_id").alias("_c"))
@@ -397,37 +401,26 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float = THR
 
     # one document stands for all of equal content; none for those without shingles
     stands = staged(signed.where("_same is not null").groupBy("_same").agg(F.min("_id").alias("_rep"), F.min_by("_keys", "_id").alias("_keys")), "near-texts")
-    member = stands.select(F.col("_rep").alias("_id"), F.posexplode("_keys").alias("_band", "_key"))
+    member = stands.select(F.col("_rep").alias("_id"), F.explode("_keys").alias("_key"))
     # staged, so that the joins below read plain exchanges on both sides and AQE can split a hot key
     shared = staged(member.groupBy("_key").agg(F.min("_id").alias("_lead"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key", "_lead"), "near-keys")
     member = staged(member.join(shared, "_key"), "near-members")
 
-    pairs = member.where("_id <> _lead").select("_id", "_lead", "_band")
+    pairs = member.where("_id <> _lead").select("_id", "_lead").distinct()
     ids = staged(member.select("_id").distinct(), "near-candidates")
     some = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
     codes = signed.join(some, "_id", "left_semi").groupBy("_id").agg(F.first("_codes").alias("_codes"))
     texts = rows_in.join(some, "_id", "left_semi")
     vectors = staged(texts.join(codes, "_id").select("_id", "_text", "_codes").mapInArrow(_vectors, f"_id {kind}, _h binary, _w binary, _top double").dropDuplicates(["_id"]), "near-vectors")
 
-    # a few bands join most of a large group; of the others only pairs of different classes are left to compare
-    links = _confirmed(pairs.where(F.col("_band") < FIRST_BANDS).select("_id", "_lead").distinct(), vectors, threshold, kind)
-    if bands > FIRST_BANDS:
-        of = connected_components(links, "_a", "_b")
-        own = lambda c, out: of.select(F.col("node").alias(c), F.col("component").alias(out))
-        rest = pairs.where(F.col("_band") >= FIRST_BANDS).select("_id", "_lead").distinct().join(own("_id", "_x"), "_id", "left").join(own("_lead", "_y"), "_lead", "left")
-        rest = rest.where(~F.coalesce(F.col("_x") == F.col("_y"), F.lit(False))).select("_id", "_lead")
-        links = staged(links.unionByName(_confirmed(rest, vectors, threshold, kind)), "near-links")
-    first = connected_components(links, "_a", "_b")
+    first = connected_components(_confirmed(pairs, vectors, threshold, kind), "_a", "_b")
     mixed, few = _mixed(member, first)
     if not few.isEmpty():
         more, member = _more_stars(mixed, few, vectors, threshold, kind)
-        links = staged(links.unionByName(more), "near-links")
-        first = connected_components(links, "_a", "_b")
+        first = _joined(first, more)
         mixed, few = _mixed(member, first)
         if not few.isEmpty():
-            more = _compared(mixed, few, vectors, threshold, kind)
-            if not more.isEmpty():
-                first = connected_components(links.unionByName(more), "_a", "_b")
+            first = _joined(first, _compared(mixed, few, vectors, threshold, kind))
 
     classes = stands.select("_same", "_rep").join(first.select(F.col("node").alias("_rep"), "component"), "_rep", "left").select("_same", F.coalesce("component", "_rep").alias("_class"))
     classed = staged(signed.select("_id", "_sum", "_same").join(classes, "_same", "left").select("_id", "_sum", F.coalesce("_class", "_id").alias("_class"), F.col("_same").isNotNull().alias("_has")), "near-classes")

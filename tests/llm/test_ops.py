@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from citeloom.llm import chat_format, decontaminate, exact_dedup, html_text, labels, line_dedup, nbsvm, near_dedup, poisson_mix, secrets, textvec, toxic_gru
 from citeloom.llm.textvec import WORD_TABLE
+from citeloom.operators import components
+from citeloom.staging import staged
 
 SYL = "ba ce di fo gu ha je ki lo mu na pe qui ro su ta ve wi xo zu".split()
 
@@ -321,6 +323,21 @@ def test_near_blocks_lose_no_link(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts, 0.8)
 
 
+def test_near_classes_take_few_passes(spark, monkeypatch):
+    """Each pass costs a task for every partition: leaders of all bands are met in one, and links that are stars already take no round of components."""
+    made = []
+    for module in (near_dedup, components):
+        monkeypatch.setattr(module, "staged", lambda df, name="table": made.append(name) or staged(df, name))
+    rng = random.Random(5)
+    texts = [prose(rng, 60) for _ in range(30)]
+    for i in range(8):
+        texts += [texts[i] + " edit" + str(rng.randrange(10**12)) for _ in range(3)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(d).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_classes(texts, 0.8)
+    assert made.count("near-checked") <= 2 and made.count("components") <= 1
+
+
 def test_near_odd(odd_docs, no_docs):
     got = near_dedup.near_classes(odd_docs).collect()
     assert len(got) == odd_docs.count()

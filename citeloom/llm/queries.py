@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_format, decontaminate, exact_dedup, html_text, line_dedup, nbsvm, near_dedup, poisson_mix, secrets, toxic_gru
+from citeloom.llm import chat_format, decontaminate, dual_tree, exact_dedup, html_text, line_dedup, nbsvm, near_dedup, packing, poisson_mix, resample, secrets, toxic_gru
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -155,6 +155,87 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op11_pack_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op12_dual_tree_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def _lloyd_sql(rounds: int, k: int = 8) -> str:
+    """Lloyd's rounds written out: a CTE with the assignment and one with the new centroids for each."""
+    near = """
+far{r} AS MATERIALIZED (
+  SELECT x.n, any_value(x.vec_id) AS vec_id, y.c, sum((x.v - y.v) * (x.v - y.v)) AS d FROM flat x JOIN cent{r} y USING (i) GROUP BY x.n, y.c
+), near{r} AS MATERIALIZED (
+  SELECT n, vec_id, c, d FROM far{r} QUALIFY row_number() OVER (PARTITION BY n ORDER BY d, c) = 1
+)"""
+    mean = """
+cent{s} AS MATERIALIZED (
+  SELECT y.c, y.i, coalesce((m.s - ((m.s % m.k) + m.k) % m.k) // m.k, y.v) AS v
+  FROM cent{r} y LEFT JOIN (SELECT c, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS k FROM near{r} JOIN flat USING (n) GROUP BY c, i) m USING (c, i)
+)"""
+    steps = [near.format(r=0)]
+    for r in range(rounds):
+        steps += [mean.format(r=r, s=r + 1), near.format(r=r + 1)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+), flat AS MATERIALIZED (
+  SELECT n, vec_id, unnest(v) AS v, unnest(range(1, 65)) AS i FROM kept
+), cent0 AS MATERIALIZED (
+  SELECT c, unnest(v) AS v, unnest(range(1, 65)) AS i
+  FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v FROM kept QUALIFY c < {k})
+), {", ".join(steps)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM near{rounds} JOIN (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS h FROM cent{rounds} GROUP BY c) USING (c)
+"""
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT true AS own, row_number() OVER () AS n, text FROM documents UNION ALL SELECT false, row_number() OVER (), text FROM benchmark
+), words AS (
+  SELECT own, n, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), features AS MATERIALIZED (
+  SELECT own, n, f, count(*) AS k FROM (
+    SELECT own, n, unnest(w) AS f FROM words
+    UNION ALL SELECT own, n, w[j] || ' ' || w[j + 1] AS f FROM (SELECT own, n, w, unnest(range(1, len(w))) AS j FROM words)
+  ) GROUP BY ALL
+), bytes AS (
+  SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)
+), hashed AS (
+  SELECT f, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, len(h) + 1, 2), lambda i: [CAST('0x' || h[i:i + 1] AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)))) % 10000 AS bucket
+  FROM bytes
+), placed AS MATERIALIZED (
+  SELECT own, n, bucket, sum(k) AS k FROM features JOIN hashed USING (f) GROUP BY ALL
+), sums AS (
+  SELECT bucket, CAST(coalesce(sum(k) FILTER (own), 0) AS DOUBLE) AS s, CAST(coalesce(sum(k) FILTER (NOT own), 0) AS DOUBLE) AS t FROM placed GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM sums) + 10000) / ((s + 1) * ((SELECT sum(t) FROM sums) + 10000)))) AS BIGINT) AS g FROM sums
+), weights AS (
+  SELECT n, CAST(sum(k) AS BIGINT) AS n_features, CAST(floor(sum(k * g) / sum(k)) AS BIGINT) AS weight FROM placed JOIN gains USING (bucket) WHERE own GROUP BY n
+), scored AS (
+  SELECT d.doc_id, len(w.w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('7:' || d.doc_id)[1:8] AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM (SELECT row_number() OVER () AS n, doc_id FROM documents) d JOIN (SELECT n, w FROM words WHERE own) w USING (n) LEFT JOIN weights USING (n)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS r, count(*) OVER (PARTITION BY n_words >= 20) AS all_rows FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND r <= 25 * all_rows // 100 THEN r END AS rank FROM ranked
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -167,8 +248,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_poisson_mix": op9_poisson_mix,
         "op10_line_dedup": op10_line_dedup,
+        "op11_pack_cutting_stock": op11_pack_cutting_stock,
+        "op12_dual_tree_lloyd": op12_dual_tree_lloyd,
+        "op13_importance_resample": op13_importance_resample,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op7_decontaminate": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op9_poisson_mix": OP9_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op1_chat_format": OP1_SQL, "op7_decontaminate": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op9_poisson_mix": OP9_SQL, "op10_line_dedup": OP10_SQL, "op12_dual_tree_lloyd": _lloyd_sql(dual_tree.ROUNDS), "op13_importance_resample": OP13_SQL}

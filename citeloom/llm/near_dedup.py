@@ -19,7 +19,7 @@ a row holds the shingles that a block and a range have in common. Blocks and ran
 grow with the root of the input up to eightfold, which keeps rows long up to some
 terabytes; beyond, a row tends to one shingle, as in any exchange of shingles. (2) Blocks meet their answers and give each
 document's band keys and its idf codes, a byte for each shingle. (3) Of equal
-texts one stands for all from here on. Inside each band key every document is
+texts one stands for all from here on, named by the digest of its shingles. Inside each band key every document is
 compared with the key's smallest document, not with every other one; these
 star-shaped links are verified exactly, with leaders salted where many follow
 one. In keys that still hold documents of several classes, ``LEADERS`` more documents
@@ -34,12 +34,16 @@ link inside a key is lost, no task holds a whole key, and no group writes all it
 staged tables. Ids of candidates are broadcast only while there are at most
 ``BROADCAST_IDS`` of them.
 
-Defined results: null, empty and wordless texts have no shingles and are each a
-class of their own; a row with a null id joins the class of an equal text, and is not
-compared with others (its class is null where no equal text has an id); ids should name one text, rows of one
-id with different texts are compared by one of them; repeated rows fall into one class; an empty table gives an
-empty result; other columns are not read (``near_classes``) or are kept
-(``keep_one``). A class is named by its smallest id.
+Defined results: documents are told apart by their content, not by their ids: a node of
+the graph is the digest of a text's weighted shingles. Null, empty and wordless texts have no
+shingles and are each a class of one row; a row with a null id is compared like any other;
+rows of one id with different texts are different documents, each in the class of its
+own text; equal texts are always in one class, and rows that repeat both id and text stay or
+go together; an empty table gives an empty result; other columns are not read
+(``near_classes``) or are kept (``keep_one``). A class is named by its smallest id, nulls
+last; its row of that id is kept, of several texts under that id the one with the smallest
+digest. So classes of different texts under one id may have one name; ``class_size`` and
+``kept`` are always of the class itself.
 """
 
 from __future__ import annotations
@@ -58,6 +62,7 @@ from citeloom.staging import fresh, staged
 WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 3
 BLOCK_BYTES = 4_000_000
+BLOCKS_A_TASK = 4
 #: Shingles of a range of the hash space, about.
 RANGE_SHINGLES = 500_000
 #: More documents of a key that all its documents of other classes are compared with.
@@ -245,6 +250,7 @@ def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     blocks, ranges = max(1, int(-(-size.b // (grow * BLOCK_BYTES)))), max(1, int(-(-size.b // (6 * grow * RANGE_SHINGLES))))
     kind = docs.schema["_id"].dataType.simpleString()
     dealt = docs.select(F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(blocks)).alias("_block"), "_id", "_text", _digest("_text").alias("_sum"))
+    dealt = dealt.repartition(-(-blocks // BLOCKS_A_TASK), "_block")  # tasks grow with the input, whatever the session's number of partitions
     sent = dealt.groupBy("_block").applyInArrow(_send(ranges), "_block long, _range long, hashes binary, df binary")
     back = sent.groupBy("_range").applyInArrow(_answer(size.n), "_block long, _range long, codes binary")
     signed = dealt.groupBy("_block").cogroup(back.groupBy("_block")).applyInArrow(_sign(bands, rows), _SIG.format(kind))
@@ -393,25 +399,43 @@ def _compared(named: DataFrame, few: DataFrame, vectors: DataFrame, threshold: f
     return staged(few.groupBy(*at).cogroup(many.groupBy(*at)).applyInArrow(_rest(threshold), f"_a {kind}, _b {kind}").distinct(), "near-more")
 
 
+def _node(id_: Column, kind: str, same: Column) -> Column:
+    """The name of a content: the bytes of its smallest id, in the order of ids, then its digest; null ids come last.
+
+    The digest makes it unique; the id makes links point at the smallest ids, as different bands then agree on a star's centre.
+    """
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        first = F.unhex(F.lpad(F.hex(id_.cast("long").bitwiseXOR(F.lit(-(2**63)))), 16, "0"))
+    else:
+        first = F.encode(id_.cast("string"), "UTF-8")
+    return F.concat(F.coalesce(first, F.unhex(F.lit("FF" * 8))), same)
+
+
 def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: _id, _sum, class_id, class_size and kept."""
     rows_in = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    kind = rows_in.schema["_id"].dataType.simpleString()
     signed = sign(rows_in, bands, rows)
-
-    # one document stands for all of equal content; none for those without shingles
-    stands = staged(signed.where("_same is not null").groupBy("_same").agg(F.min("_id").alias("_rep"), F.min_by("_keys", "_id").alias("_keys")), "near-texts")
-    member = stands.select(F.col("_rep").alias("_id"), F.explode("_keys").alias("_key"))
+    kind = "binary"
+    id_kind = rows_in.schema["_id"].dataType.simpleString()
+    row = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_sum").alias("sum"))
+
+    # a document is its content from here on: one row stands for all of equal shingles, none for those without
+    stands = signed.where("_same is not null").groupBy("_same").agg(F.min(row).alias("_row"), F.any_value("_keys").alias("_keys"), F.any_value("_codes").alias("_codes"))
+    stands = staged(stands.withColumn("_node", _node(F.col("_row.id"), id_kind, F.col("_same"))), "near-texts")
+    member = stands.select(F.col("_node").alias("_id"), F.explode("_keys").alias("_key"))
     # staged, so that the joins below read plain exchanges on both sides and AQE can split a hot key
     shared = staged(member.groupBy("_key").agg(F.min("_id").alias("_lead"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key", "_lead"), "near-keys")
     member = staged(member.join(shared, "_key"), "near-members")
 
     pairs = member.where("_id <> _lead").select("_id", "_lead").distinct()
-    ids = staged(member.select("_id").distinct(), "near-candidates")
-    some = F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
-    codes = signed.join(some, "_id", "left_semi").groupBy("_id").agg(F.first("_codes").alias("_codes"))
-    texts = rows_in.join(some, "_id", "left_semi")
-    vectors = staged(texts.join(codes, "_id").select("_id", "_text", "_codes").mapInArrow(_vectors, f"_id {kind}, _h binary, _w binary, _top double").dropDuplicates(["_id"]), "near-vectors")
+    ids = member.select("_id").distinct()
+    some = staged(stands.join(ids, stands["_node"] == ids["_id"], "left_semi").select("_node", F.col("_row.id").alias("_of"), F.col("_row.sum").alias("_own"), "_codes"), "near-candidates")
+    few = some.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    place = some.select("_node", "_of", "_own")
+    texts = rows_in.withColumn("_sum", _digest("_text"))
+    texts = texts.join(F.broadcast(place) if few else place, texts["_id"].eqNullSafe(F.col("_of")) & (texts["_sum"] == F.col("_own")))
+    vectors = texts.join(some.select("_node", "_codes"), "_node").select(F.col("_node").alias("_id"), "_text", "_codes")
+    vectors = staged(vectors.mapInArrow(_vectors, "_id binary, _h binary, _w binary, _top double").dropDuplicates(["_id"]), "near-vectors")
 
     first = connected_components(_confirmed(pairs, vectors, threshold, kind), "_a", "_b")
     mixed, few = _mixed(member, first)
@@ -422,20 +446,24 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float = THR
         if not few.isEmpty():
             first = _joined(first, _compared(mixed, few, vectors, threshold, kind))
 
-    classes = stands.select("_same", "_rep").join(first.select(F.col("node").alias("_rep"), "component"), "_rep", "left").select("_same", F.coalesce("component", "_rep").alias("_class"))
-    classed = staged(signed.select("_id", "_sum", "_same").join(classes, "_same", "left").select("_id", "_sum", F.coalesce("_class", "_id").alias("_class"), F.col("_same").isNotNull().alias("_has")), "near-classes")
-    sizes = classed.groupBy("_class", "_has").agg(F.count(F.lit(1)).alias("class_size"))
-    out = classed.join(sizes.select(F.col("_class").alias("_k"), F.col("_has").alias("_kh"), "class_size"), F.col("_class").eqNullSafe(F.col("_k")) & (F.col("_has") == F.col("_kh")))
-    return out.select("_id", "_sum", F.col("_class").alias("class_id"), "class_size", F.col("_id").eqNullSafe(F.col("_class")).alias("kept"))
+    of = stands.select("_same", "_node").join(first.select(F.col("node").alias("_node"), "component"), "_node").select("_same", "component")
+    classed = staged(signed.select("_id", "_sum", "_same").join(of, "_same", "left").select("_id", "_sum", F.coalesce("component", "_same").alias("_class")), "near-classes")
+    named = classed.where("_class is not null").groupBy("_class").agg(F.count(F.lit(1)).alias("class_size"), F.min(row).alias("_row"))
+    out = classed.join(named, "_class", "left")
+    own = F.col("_id").eqNullSafe(F.col("_row.id")) & (F.col("_sum") == F.col("_row.sum"))
+    alone = F.col("_class").isNull()
+    return out.select(
+        "_id", "_sum", F.when(alone, F.col("_id")).otherwise(F.col("_row.id")).alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), (alone | own).alias("kept")
+    )
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per input row: id, class_id, class_size and kept (the class's smallest id)."""
+    """One row per input row: id, class_id, class_size and kept (the row that stands for its class)."""
     return _classes(docs, id_col, text_col, **options).drop("_sum").withColumnRenamed("_id", id_col)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents, all columns, of the smallest id of each class; each row is judged by its id and its own text."""
+    """The documents, all columns, that stand for their class; each row is judged by its id and its own text."""
     of, own = fresh(docs, "_of"), fresh(docs, "_sum")
     gone = _classes(docs, id_col, text_col, **options).where(~F.col("kept")).select(F.col("_id").alias(of), F.col("_sum").alias(own)).distinct()
     return docs.join(gone, docs[id_col].eqNullSafe(gone[of]) & (_digest(text_col) == gone[own]), "left_anti")

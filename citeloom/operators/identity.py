@@ -3,7 +3,8 @@
 Candidate links (equal names in near years, co-citation, printed runs, document
 aliases, complete reporter keys) come from joins on block keys and never from
 cross products. Their connected components bound every decision; inside one
-component a small ordered union under cannot-links decides, as an Arrow group.
+component an ordered union under cannot-links decides, as an Arrow group while the
+component is small and by rounds over tables (``ordered``) beyond.
 Guards only take links away, so no result crosses a component.
 """
 
@@ -12,12 +13,15 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions.scalar import blank, fact_id, key_part, number, one_edit
+from citeloom.operators import ordered
 from citeloom.operators.components import connected_components
 from citeloom.operators.decide import BASES, near_year_peers
+from citeloom.operators.ordered import decision_roots, history_parts
+from citeloom.staging import staged
 
 BAR = 0.8
 
@@ -59,21 +63,52 @@ def variant_kind(key_a: Column, key_b: Column, sources_a: Column, sources_b: Col
     return F.when(langs & bilingual, "bilingual").when(~langs & rare & same(0) & one_edit(part(key_a, 4), part(key_b, 4)), "typo_number").when(~langs & rare & same(4) & years, "typo_year")
 
 
+def cocitation_classes(bridge: DataFrame, item: str, source: str, bar: float = BAR, least_overlap: int = 1) -> tuple[DataFrame, DataFrame]:
+    """IDN10: (item, rep) of items with equal source sets, and pairs (a, b, overlap, smaller) of such classes that share enough.
+
+    Two sides share at least ``bar`` of the smaller one's n sources, so one of its n - ceil(bar * n) + 1 rarest
+    sources is on the other side: only these meet the full lists of sides that are not smaller. A source that very
+    many items have is met only by those that have hardly any other, and items of the same sources are one
+    class, so such a source costs a row for each class. Items of fewer sources than ``least_overlap`` have no partner.
+    """
+    b = staged(bridge.select(F.col(item).alias("item"), F.col(source).alias("s")).where("item is not null and s is not null").distinct(), "cocitation")
+    mark = b.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("s") % 2**40).alias("_h"), F.bit_xor(F.xxhash64(F.lit(7), "s")).alias("_x"))
+    mark = mark.where(F.col("n") >= least_overlap)
+    rep = mark.groupBy("n", "_h", "_x").agg(F.min("item").alias("rep"))
+    of = staged(mark.join(rep, ["n", "_h", "_x"]).select("item", "rep", "n"), "cocitation-classes")
+    lists = b.join(of.where("item = rep").select("item", "n"), "item")
+    often = lists.groupBy("s").agg(F.count(F.lit(1)).alias("_f"))
+    lists = staged(lists.join(often, "s"), "cocitation-lists")
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("_f", "s"))
+    need = F.greatest(F.ceil(F.lit(float(bar)) * F.col("n") - F.lit(1e-9)), F.lit(least_overlap), F.lit(1))
+    few = lists.withColumn("_r", rank).where(F.col("_r") <= F.col("n") - need + 1).select(F.col("item").alias("x"), F.col("n").alias("nx"), "s")
+    full = lists.select(F.col("item").alias("y"), F.col("n").alias("ny"), "s")
+    larger = (F.col("ny") > F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") > F.col("x")))
+    tried = staged(few.join(full, "s").where(larger).select("x", "nx", "y").distinct(), "cocitation-tried")
+    met = tried.join(lists.select(F.col("item").alias("x"), "s"), "x").join(full.select("y", "s"), ["y", "s"])
+    pairs = met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("overlap"), F.min("nx").alias("smaller"))
+    pairs = pairs.where((F.col("overlap") >= bar * F.col("smaller")) & (F.col("overlap") >= least_overlap))
+    return of.select("item", "rep", "n"), pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "overlap", "smaller")
+
+
+def cocitation_links(bridge: DataFrame, item: str, source: str, bar: float = BAR, least_overlap: int = 1) -> DataFrame:
+    """IDN10 as links (a, b, rule, sources): class pairs between representatives, and each item to its own representative."""
+    of, pairs = cocitation_classes(bridge, item, source, bar, least_overlap)
+    own = of.where("item <> rep").select(F.col("item").alias("a"), F.col("rep").alias("b"), F.col("n").alias("sources"))
+    return pairs.select("a", "b", F.col("overlap").alias("sources")).unionByName(own).select("a", "b", F.lit("cocitation").alias("rule"), "sources")
+
+
 def cocitation(bridge: DataFrame, item: str, source: str, bar: float = BAR, least_overlap: int = 1) -> DataFrame:
-    """IDN10: pairs whose shared sources are at least ``bar`` of the smaller side.
+    """IDN10: all pairs of items whose shared sources are at least ``bar`` of the smaller side; classes of equal items are written out.
 
-    Candidates share a source; both sides of the join are plain exchanges of small rows, so
-    AQE splits a source of very many items. Items of fewer sources than ``least_overlap`` can
-    have no partner and are left out before.
+    Where many items have the same sources, ``cocitation_links`` says the same without their pairs.
     """
-    b = bridge.select(F.col(item).alias("a"), F.col(source).alias("s")).distinct()
-    size = b.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    if least_overlap > 1:
-        b = b.join(size.where(F.col("n") >= least_overlap).select("a"), "a")
-    c = b.select(F.col("a").alias("b"), "s")
-    both = b.join(c, "s").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= least_overlap)
-    j = both.join(size, "a").join(size.select(F.col("a").alias("b"), F.col("n").alias("m")), "b")
-    return j.where(F.col("overlap") >= bar * F.least("n", "m")).select("a", "b", "overlap", F.least("n", "m").alias("smaller"))
+    of, pairs = cocitation_classes(bridge, item, source, bar, least_overlap)
+    one, two = of.select(F.col("item").alias("i"), F.col("rep").alias("a")), of.select(F.col("item").alias("j"), F.col("rep").alias("b"))
+    across = pairs.join(one, "a").join(two, "b").select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"), "overlap", "smaller")
+    rep = of.select(F.col("item").alias("a"), "rep", F.col("n").alias("overlap"))
+    inside = rep.join(of.select(F.col("item").alias("b"), "rep"), "rep").where("a < b").select("a", "b", "overlap", F.col("overlap").alias("smaller"))
+    return across.unionByName(inside)
 
 
 def name_links(keys: DataFrame) -> DataFrame:
@@ -105,11 +140,28 @@ def run_links(runs: DataFrame, min_sources: int = 1) -> DataFrame:
     return p.where(F.col("n") >= min_sources).select("a", "b", F.lit("co_printed_run").alias("rule"))
 
 
+#: Words of a name whose subsets are counted; longer names are compared one by one.
+SUBSET_WORDS = 10
+
+
 def report_conflicts(rows: DataFrame, key: str = "merge_key", tokens: str = "tokens") -> DataFrame:
-    """IDN16: keys whose documents print names without any party word in common."""
-    r = rows.where(F.size(tokens) > 0).select(key, F.array_sort(tokens).alias("t")).distinct()
-    a, b = r.withColumnRenamed("t", "x"), r.withColumnRenamed("t", "y")
-    return a.join(b, key).where("x < y and not arrays_overlap(x, y)").groupBy(key).agg(F.count(F.lit(1)).alias("conflicting_pairs"))
+    """IDN16: how many pairs of a key's different names have no party word in common.
+
+    Pairs are counted, not made: over all sets of words S, the pairs of names that both hold S, added with the sign
+    (-1)^|S|, leave exactly the pairs that share no word. So a key of n names costs n times the subsets of a name.
+    Only names of more than ``SUBSET_WORDS`` words meet others, through their words.
+    """
+    names = staged(rows.where(F.size(tokens) > 0).select(key, F.array_sort(F.array_distinct(tokens)).alias("t")).distinct().withColumn("long", F.size("t") > SUBSET_WORDS), "context-names")
+    step = lambda acc, w: F.concat(acc, F.transform(acc, lambda x: F.struct(F.concat(x["s"], F.lit("\n"), w).alias("s"), (-x["sign"]).alias("sign"))))
+    subsets = F.aggregate("t", F.array(F.struct(F.lit("").alias("s"), F.lit(1).alias("sign"))), step)
+    c = names.where("not long").select(key, F.explode(subsets).alias("x")).select(key, "x.*").groupBy(key, "s", "sign").agg(F.count(F.lit(1)).alias("c"))
+    short = c.groupBy(key).agg(F.sum(F.col("sign") * F.col("c") * (F.col("c") - 1) / 2).cast("long").alias("_p"))
+    size = names.groupBy(key).agg(F.count_if("long").alias("l"), F.count_if(~F.col("long")).alias("s")).where("l > 0").select(key, (F.col("l") * F.col("s") + F.col("l") * (F.col("l") - 1) / 2).cast("long").alias("_p"))
+    mine = names.where("long").select(key, "t", F.explode("t").alias("w"))
+    other = names.select(key, F.col("t").alias("u"), F.col("long").alias("_l"), F.explode("t").alias("w"))
+    once = (F.col("t") != F.col("u")) & (~F.col("_l") | (F.col("t") < F.col("u"))) & (F.col("w") == F.array_min(F.array_intersect("t", "u")))
+    shared = mine.join(other, [key, "w"]).where(once).groupBy(key).agg((-F.count(F.lit(1))).alias("_p"))
+    return short.unionByName(size).unionByName(shared).groupBy(key).agg(F.sum("_p").alias("conflicting_pairs")).where("conflicting_pairs > 0")
 
 
 def mixed_name(classes: Column, target: Column) -> Column:
@@ -152,8 +204,7 @@ def blocked(a: list[dict], b: list[dict]) -> str:
         return "year_span"
     if len({r.get("root") or r["merge_key"] for r in rows if r.get("kind") == "neutral"}) > 1:
         return "different_neutral_numbers"
-    registered = some("registered_id")
-    if registered and some("decision_id") and not registered & some("decision_id"):
+    if some("decision_id") and any(not some("decision_id") & set(x.split(";")) for x in some("registered_id")):
         return "registered_other_document"
     sides = {(i, s) for r in rows for i, s in (r.get("history_sides") or [])}
     return "opposite_history_sides" if len({i for i, _ in sides}) < len(sides) else ""
@@ -185,18 +236,26 @@ ROW = "row_key string, merge_key string, name string, year int, kind string, roo
 SIDES = "array<struct<instance:string,side:string>>"
 
 
-def solve(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+#: Rows and links of a component that one task may settle; larger components are settled by rounds.
+GROUP_ROWS = 20_000
+
+
+def solve(rows: DataFrame, links: DataFrame, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
     """IDN01: (row_key, group_id), and the trace of proposals (REG14's ledger) with hashed ids.
 
     ``rows`` has the columns of ``ROW`` and ``history_sides`` (``SIDES``; absent ones are null), ``links`` row keys a and b with a rule.
+    Components of at most ``group_rows`` rows and links are one Arrow group each, larger ones are settled by ``ordered.ordered_union``, with equal results.
     """
     fields = [f.split()[0] for f in ROW.split(", ")]
     r = rows.select(*[(F.col(f) if f in rows.columns else F.lit(None)).cast("int" if f == "year" else "string").alias(f) for f in fields], (F.col("history_sides") if "history_sides" in rows.columns else F.lit(None)).cast(SIDES).alias("history_sides"))
-    comp = connected_components(links, "a", "b")
+    comp = staged(connected_components(links, "a", "b"), "identity-components")
     r = r.join(comp.select(F.col("node").alias("row_key"), F.col("component").alias("_block")), "row_key", "left")
     alone = r.where("_block is null").select("row_key", F.col("row_key").alias("group_id"))
     lk = links.join(comp.select(F.col("node").alias("a"), F.col("component").alias("_block")), "a")
     lk = lk.select("_block", F.col("a").alias("row_key"), "b", "rule", (F.col("sources") if "sources" in links.columns else F.lit(0)).cast("int").alias("sources"))
+    member = r.where("_block is not null").select("_block", *fields, "history_sides")
+    weight = member.select("_block").unionByName(lk.select("_block")).groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    large = staged(weight.where(F.col("_n") > group_rows).select("_block"), "identity-large")
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         clean = left.astype(object).where(left.notna(), None).to_dict("records")
@@ -206,12 +265,17 @@ def solve(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
         out = [("group", k, v, "", "") for k, v in of.items()] + [("trace", *t) for t in trace]
         return pd.DataFrame(out, columns=["what", "x", "y", "rule", "outcome"])
 
-    member = r.where("_block is not null").select("_block", *fields, "history_sides")
-    from citeloom.staging import staged
-
-    done = staged(member.groupBy("_block").cogroup(lk.groupBy("_block")).applyInPandas(run, "what string, x string, y string, rule string, outcome string"), "identity")
+    small = lambda d: d.join(large, "_block", "left_anti")
+    done = staged(small(member).groupBy("_block").cogroup(small(lk).groupBy("_block")).applyInPandas(run, "what string, x string, y string, rule string, outcome string"), "identity")
     groups = done.where("what = 'group'").select(F.col("x").alias("row_key"), F.col("y").alias("group_id")).unionByName(alone)
     trace = done.where("what = 'trace'").select(F.col("x").alias("a"), F.col("y").alias("b"), "rule", "outcome")
+    if not large.isEmpty():
+        some = staged(member.join(large, "_block", "left_semi").drop("_block"), "identity-rows")
+        sides = some.select("row_key", F.explode("history_sides").alias("h")).select("row_key", "h.instance", "h.side").distinct()
+        order = F.struct((F.array_position(F.array(*[F.lit(x) for x in RULES]), F.col("rule"))).alias("r"), (-F.col("sources")).alias("n"), F.col("row_key").alias("a"), F.col("b"))
+        ranked = lk.join(large, "_block", "left_semi").select(F.col("row_key").alias("a"), "b", "rule", order.alias("nth"))
+        more, told = ordered.ordered_union(some, ranked, None if sides.isEmpty() else sides)
+        groups, trace = groups.unionByName(more), trace.unionByName(told)
     return groups, trace.withColumn("constraint_id", fact_id(a="a", b="b", rule="rule")).withColumn("relation", F.when(F.col("outcome") == "accepted", "must_link").otherwise("cannot_link"))
 
 
@@ -236,14 +300,6 @@ def court_partition(rows: DataFrame, bridge: DataFrame, bar: float = BAR) -> Dat
     return rows.join(ok, "row_key", "left").select("block", "row_key", F.when(blank("court") != "", F.col("court")).otherwise(F.coalesce("_c", F.lit("unassigned"))).alias("court"))
 
 
-def decision_roots(keys: DataFrame, variants: DataFrame) -> DataFrame:
-    """IDN05: each variant folds into its first larger root (variants: small, big, kind, big_sources); roots stay."""
-    first = variants.groupBy("small").agg(F.min_by("big", F.struct(-F.col("big_sources"), F.col("big"))).alias("root"), F.min_by("kind", F.struct(-F.col("big_sources"), F.col("big"))).alias("root_kind"))
-    folded = first.select(F.col("small").alias("_s"))
-    ok = first.join(folded, F.col("root") == F.col("_s"), "left_anti")  # a folded key is no root
-    return keys.join(ok, F.col("merge_key") == F.col("small"), "left").select("merge_key", F.coalesce("root", "merge_key").alias("root"), F.coalesce("root_kind", F.lit("anchor")).alias("root_kind"))
-
-
 def uncertain_rulings(groups: DataFrame, runs: DataFrame) -> DataFrame:
     """IDN18: unanchored groups of one name in neighbouring years, one of which no printed run connects with them.
 
@@ -328,6 +384,6 @@ def evidence_snapshot(rows: DataFrame, kind: str, value: str, scope: str = "cour
 
 
 def history_split(members: DataFrame, sides: DataFrame, group: str = "group_id") -> DataFrame:
-    """IDN14: groups with both sides of one printed history (sides: instance, side, merge_key), which must part."""
+    """IDN14: groups with both sides of one printed history (sides: instance, side, merge_key), which ``history_parts`` parts."""
     m = members.select(group, "merge_key").join(sides, "merge_key")
     return m.groupBy(group, "instance").agg(F.count_distinct("side").alias("_s")).where("_s = 2").select(group, "instance")

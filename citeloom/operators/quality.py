@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.scalar import blank, dot, unit
 from citeloom.operators.components import connected_components
+from citeloom.staging import staged
 from citeloom.operators.extract import anti_overlap, overlap_join
 
 
@@ -162,14 +163,24 @@ def uncovered(found: DataFrame, covered: DataFrame) -> DataFrame:
     return anti_overlap(found, covered)
 
 
-def propagate_labels(known: DataFrame, pairs: DataFrame, rounds: int = 3) -> DataFrame:
-    """QLT12: items without a label take the only label of their neighbours (pairs a, b), round by round; proposals only."""
-    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    now = known.select("item", "label", F.lit(0).alias("round"))
-    for i in range(1, rounds + 1):
-        n = both.join(now.select(F.col("item").alias("b"), "label"), "b").groupBy(F.col("a").alias("item")).agg(F.count_distinct("label").alias("_n"), F.min("label").alias("label")).where("_n = 1").select("item", "label", F.lit(i).alias("round"))
-        now = now.unionByName(n.join(now, "item", "left_anti"))
-    return now
+def propagate_labels(known: DataFrame, pairs: DataFrame) -> DataFrame:
+    """QLT12: items without a label take the only label of their neighbours (pairs a, b), round by round, until none is new; proposals only.
+
+    Only the labels of the last round meet the pairs: an item that an earlier round reached has its label, or had
+    neighbours of several and keeps none. Each round is staged; there are as many as the longest way of a label.
+    """
+    both = staged(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a is not null and b is not null").distinct(), "label-pairs")
+    new = known.where("item is not null").groupBy("item").agg(F.count_distinct("label").alias("_n"), F.min("label").alias("label"))
+    reached = staged(new.withColumn("round", F.lit(0)), "labels")
+    out, i = reached, 0
+    while True:
+        i += 1
+        last = reached.where((F.col("round") == i - 1) & (F.col("_n") == 1)).select(F.col("item").alias("b"), "label")
+        new = both.join(last, "b").groupBy(F.col("a").alias("item")).agg(F.count_distinct("label").alias("_n"), F.min("label").alias("label"))
+        new = staged(new.join(reached.select("item"), "item", "left_anti").withColumn("round", F.lit(i)), "labels")
+        if new.isEmpty():
+            return out.where("_n = 1").select("item", "label", "round")
+        reached = out = staged(reached.unionByName(new), "labels")
 
 
 def calibration(rows: DataFrame, bucket: Column, correct: str) -> DataFrame:

@@ -399,15 +399,18 @@ def _(v):
 # --- identity
 
 
-@query("year_windows", f"""WITH RECURSIVE {M}, y AS (SELECT DISTINCT name, year FROM m WHERE year % 4 <> 2), w AS (
+WINDOWS = """y AS (SELECT DISTINCT name, year FROM m), w AS (
   SELECT name, min(year) AS window_start FROM y GROUP BY name UNION ALL
   SELECT w.name, (SELECT min(year) FROM y WHERE y.name = w.name AND y.year > w.window_start + 1) FROM w WHERE EXISTS (SELECT 1 FROM y WHERE y.name = w.name AND y.year > w.window_start + 1))
-  SELECT y.name, y.year, w.window_start FROM y JOIN w ON y.name = w.name AND y.year BETWEEN w.window_start AND w.window_start + 1""")
+  SELECT y.name, y.year, w.window_start FROM y JOIN w ON y.name = w.name AND y.year BETWEEN w.window_start AND w.window_start + 1"""
+
+
+@query("year_windows", f"WITH RECURSIVE m AS (SELECT p_brand AS name, CAST(1950 + (p_partkey * p_size) % 67 AS INTEGER) AS year FROM part), {WINDOWS}")
 def _(v):
-    return identity.year_windows(v.mentions().where("year % 4 <> 2"))
+    return identity.year_windows(v.t("part").select(F.col("p_brand").alias("name"), (1950 + (F.col("p_partkey") * F.col("p_size")) % 67).cast("int").alias("year")))
 
 
-@query("year_windows_all", ORACLES["year_windows"].replace(" WHERE year % 4 <> 2", ""))
+@query("year_windows_all", f"WITH RECURSIVE {M}, {WINDOWS}")
 def _(v):
     return identity.year_windows(v.mentions())
 
@@ -441,9 +444,14 @@ def _(v):
     return identity.report_conflicts(r)
 
 
-def _solved(v):
+def _solver_rows(v):
     k = v.t("part").select(F.col("p_partkey").cast("string").alias("row_key"), F.concat_ws("|", (F.col("p_partkey") % 9 + 1990).cast("string"), F.lit(""), fn.nk("p_brand"), F.lit(""), F.col("p_partkey").cast("string")).alias("merge_key"), F.col("p_name").alias("name"), (F.col("p_partkey") % 9 + 1990).cast("int").alias("year"), F.when(F.col("p_size") > 45, F.col("p_type")).alias("court"))
     links = identity.name_links(k.select(F.col("row_key").alias("merge_key"), "name", "year"))
+    return k, links
+
+
+def _solved(v):
+    k, links = _solver_rows(v)
     return k, identity.solve(k, links)
 
 
@@ -783,10 +791,16 @@ def _(v):
     return quality.calibration(v.groups().withColumn("ok", F.col("group_id") % 3 == 0), fn.dd_bucket("dd"), "ok")
 
 
-@query("label_propagation", "WITH k AS (SELECT n_nationkey AS item, n_regionkey AS label FROM nation WHERE n_nationkey % 5 = 0), p AS (SELECT n_nationkey AS a, n_nationkey + 1 AS b FROM nation WHERE n_nationkey % 5 < 3), x AS (SELECT p.b AS item, k.label, 1 AS round FROM p JOIN k ON p.a = k.item), y AS (SELECT p.b AS item, x.label, 2 AS round FROM p JOIN x ON p.a = x.item), z AS (SELECT p.b AS item, y.label, 3 AS round FROM p JOIN y ON p.a = y.item) SELECT item, label, 0 AS round FROM k UNION ALL SELECT * FROM x UNION ALL SELECT * FROM y UNION ALL SELECT * FROM z")
+@query("label_propagation", """WITH c AS (SELECT c_custkey AS k, c_custkey // 21 AS chain, c_custkey % 21 AS pos, c_nationkey AS n FROM customer), n AS (SELECT count(*) AS size, chain FROM c GROUP BY chain),
+  l AS (SELECT chain, n AS label FROM c WHERE pos = 0), r AS (SELECT chain, n AS label FROM c WHERE pos = 20 AND k % 2 = 0), j AS (SELECT k, pos, l.label AS a, r.label AS b FROM c JOIN l USING (chain) LEFT JOIN r USING (chain))
+  SELECT k AS item, CASE WHEN b IS NULL OR pos <= 10 THEN a ELSE b END AS label, CASE WHEN b IS NULL OR pos <= 10 THEN pos ELSE 20 - pos END AS round FROM j WHERE NOT (b IS NOT NULL AND pos = 10 AND a <> b)
+  UNION ALL SELECT k, label, 20 - pos FROM c JOIN r USING (chain) WHERE chain NOT IN (SELECT chain FROM l)""")
 def _(v):
-    n = v.t("nation")
-    return quality.propagate_labels(n.where("n_nationkey % 5 = 0").select(F.col("n_nationkey").alias("item"), F.col("n_regionkey").alias("label")), n.where("n_nationkey % 5 < 3").select(F.col("n_nationkey").alias("a"), (F.col("n_nationkey") + 1).alias("b")))
+    # chains of 21 customers, labelled at one end and, every other one, at both
+    c = v.t("customer").select(F.col("c_custkey").alias("k"), F.floor(F.col("c_custkey") / 21).alias("chain"), (F.col("c_custkey") % 21).alias("at"), F.col("c_nationkey").alias("n"))
+    known = c.where("at = 0 or (at = 20 and k % 2 = 0)").select(F.col("k").alias("item"), F.col("n").alias("label"))
+    pairs = c.where("at < 20").select(F.col("k").alias("a"), (F.col("k") + 1).alias("b")).join(c.select(F.col("k").alias("b")), "b", "left_semi")
+    return quality.propagate_labels(known, pairs)
 
 
 # --- stored judgments

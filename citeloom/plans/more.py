@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from citeloom.functions import scalar as fn
 from citeloom.operators import analytics as an
 from citeloom.operators import classify, decide, identity, integrity, merge, quality, scorer
-from citeloom.plans.catalog import NK, OWN, RUN_ORDER, RUNS, _bridge, _ordered, _own, _solved, query
+from citeloom.plans.catalog import NK, OWN, RUN_ORDER, RUNS, _bridge, _ordered, _own, _solved, _solver_rows, query
 from citeloom.plans.views import D, E, G, I, M
 from citeloom.sources import corpus
 from citeloom.staging import shared_dir
@@ -236,6 +236,12 @@ def _(v):
     return _solved(v)[1][0]
 
 
+@query("identity_rounds", f"WITH {SOLVED} SELECT * FROM g")
+def _(v):
+    k, links = _solver_rows(v)
+    return identity.solve(k, links, group_rows=0)[0]
+
+
 @query("identity_basis", f"WITH {SOLVED} SELECT row_key, group_id, CASE WHEN count(*) OVER (PARTITION BY group_id) = 1 THEN 'singleton' WHEN row_key = group_id THEN 'anchor' ELSE 'name_year' END AS identity_basis FROM g")
 def _(v):
     return identity.identity_basis(*_solved(v)[1])
@@ -276,13 +282,34 @@ def _(v):
     return v.t("part").select("p_partkey", gate("literal").alias("literal"), gate("own_or_registry").alias("either"), gate("registered").alias("registered"))
 
 
-@query("decision_roots", """WITH v AS (SELECT 'k' || p_partkey AS small, 'k' || (p_partkey + 1 + p_size % 2) AS big, p_size AS n, 'typo_year' AS kind FROM part WHERE p_partkey % 3 = 0), f AS (SELECT DISTINCT small FROM v), r AS (SELECT small, arg_min(big, (-n, big)) AS root FROM v GROUP BY 1)
-  SELECT 'k' || p_partkey AS merge_key, coalesce(root, 'k' || p_partkey) AS root, CASE WHEN root IS NULL THEN 'anchor' ELSE 'typo_year' END AS root_kind FROM part LEFT JOIN (SELECT * FROM r WHERE root NOT IN (SELECT small FROM f)) q ON q.small = 'k' || p_partkey""")
-def _(v):
-    k = lambda c: F.concat(F.lit("k"), c.cast("string"))
-    p = v.t("part")
-    var = p.where("p_partkey % 3 = 0").select(k(F.col("p_partkey")).alias("small"), k(F.col("p_partkey") + 1 + F.col("p_size") % 2).alias("big"), F.lit("typo_year").alias("kind"), F.col("p_size").alias("big_sources"))
-    return identity.decision_roots(p.select(k(F.col("p_partkey")).alias("merge_key")), var)
+# part k may vary the parts up to three before it, which have more sources; going through them in order is one step of the recursion each
+@query("decision_roots", """WITH RECURSIVE p AS (SELECT p_partkey AS k, CAST(p_size AS BIGINT) AS s FROM part), r AS (
+  SELECT CAST(-1 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS big, false AS held, true AS f1, true AS f2, true AS f3 UNION ALL
+  SELECT k, big, held, big IS NOT NULL AND NOT held, f1, f2 FROM (SELECT k, f1, f2, big, coalesce((s + big) % 7 = 0, false) AS held FROM (
+    SELECT p.k, p.s, r.f1, r.f2, CASE WHEN s % 5 = 0 AND NOT f3 THEN p.k - 3 WHEN s % 3 = 0 AND NOT f2 THEN p.k - 2 WHEN s % 2 = 0 AND NOT f1 THEN p.k - 1 END AS big FROM r JOIN p ON p.k = r.k + 1)))
+  SELECT 'k' || k AS merge_key, 'k' || CASE WHEN big IS NULL OR held THEN k ELSE big END AS root, CASE WHEN big IS NULL OR held THEN 'anchor' ELSE 'typo_year' END AS root_kind FROM r WHERE k >= 0""")
+def _(v):
+    name = lambda c: F.concat(F.lit("k"), c.cast("string"))
+    p, k, s = v.t("part"), F.col("p_partkey"), F.col("p_size")
+    near = F.filter(F.array(F.when(s % 5 == 0, k - 3), F.when(s % 3 == 0, k - 2), F.when(s % 2 == 0, k - 1)), lambda b: b >= 0)
+    var = p.select(k, s, F.explode(near).alias("b")).select(name(k).alias("small"), name(F.col("b")).alias("big"), F.lit("typo_year").alias("kind"), (-F.col("b")).alias("big_sources"), ((s + F.col("b")) % 7 == 0).alias("held"))
+    return identity.decision_roots(p.select(name(k).alias("merge_key")), var)
+
+
+# groups of suppliers; in each, the two first ones are the sides of a printed history, the others follow the one that they share enough orders with
+@query("history_parts", """WITH k AS (SELECT s_suppkey % 9 AS group_id, 'S' || s_suppkey AS key, s_suppkey AS n FROM supplier), b AS (SELECT DISTINCT 'S' || l_suppkey AS key, l_orderkey % 997 AS source_id FROM lineitem),
+  o AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY n) AS r FROM k), u AS (SELECT group_id, key AS part FROM o WHERE r <= 2), c AS (SELECT key, count(*) AS n FROM b GROUP BY key),
+  hit AS (SELECT o.key, u.part, count(*) AS x FROM o JOIN u USING (group_id) JOIN b ON b.key = o.key JOIN b d ON d.key = u.part AND d.source_id = b.source_id WHERE o.r > 2 GROUP BY ALL),
+  f AS (SELECT hit.key, min(part) AS part FROM hit JOIN c p ON p.key = hit.key JOIN c q ON q.key = hit.part WHERE x >= 0.46 * least(p.n, q.n) GROUP BY hit.key HAVING count(*) = 1),
+  t AS (SELECT o.group_id, o.key, CASE WHEN r <= 2 THEN o.key ELSE coalesce(f.part, '') END AS p, CASE WHEN r <= 2 THEN 'history_separation' WHEN f.part IS NOT NULL THEN 'history_follows' ELSE 'history_unassigned' END AS reason FROM o LEFT JOIN f USING (key))
+  SELECT key AS row_key, group_id, min(key) OVER (PARTITION BY group_id, p) AS part, reason FROM t""")
+def _(v):
+    key = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
+    m = v.t("supplier").select((F.col("s_suppkey") % 9).alias("group_id"), key.alias("row_key"), key.alias("merge_key"), F.lit("").alias("court"), "s_suppkey")
+    nth = F.row_number().over(Window.partitionBy("group_id").orderBy("s_suppkey"))
+    sides = m.withColumn("r", nth).where("r <= 2").select(F.col("group_id").cast("string").alias("instance"), F.when(F.col("r") == 1, "before").otherwise("after").alias("side"), "merge_key")
+    bridge = v.t("lineitem").select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("row_key"), (F.col("l_orderkey") % 997).alias("source_id")).distinct()
+    return identity.history_parts(m.drop("s_suppkey"), sides, bridge, bar=0.46)
 
 
 @query("uncertain_rulings", f"""WITH {G}, u AS (SELECT group_id, name, year FROM g WHERE group_id % 4 <> 0), pr AS (SELECT a.group_id, b.group_id AS o FROM u a JOIN u b ON a.name = b.name AND abs(a.year - b.year) <= 1 AND a.group_id <> b.group_id)

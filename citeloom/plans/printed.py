@@ -14,10 +14,9 @@ from citeloom.functions import scalar as fn
 from citeloom.operators import analytics as an
 from citeloom.operators import decide, integrity, quality
 from citeloom.plans.catalog import query
-from citeloom.plans.run import Run, run
+from citeloom.plans.run import Run, key_table, read_citations, run
 from citeloom.plans.views import M
 from citeloom.sources import corpus
-from citeloom.staging import shared_dir
 
 # --- whole runs
 
@@ -42,35 +41,37 @@ def _documents(v) -> DataFrame:
     return body.select(F.lit("SCC").alias("court"), F.col("l_orderkey").alias("corpus_row_index"), own.alias("citation"), F.lit(2020).alias("year"), text.alias("text"))
 
 
-_RUNS: dict[tuple[str, str, str], Run] = {}
+def _tables(v) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Courts, reporters and countries that the printed citations name."""
+    make = v.spark.createDataFrame
+    courts = make([("SCC", "CA"), ("ONCA", "CA")], "court_code string, jurisdiction string")
+    reporters = make([("S.C.R.", "CA", "confirmed", None, None, 1923, None), ("U.S.", "US", "confirmed", None, None, None, None)], "abbreviation string, jurisdiction string, confidence string, vol_from int, vol_to int, year_from int, year_to int")
+    return courts, reporters, make([("CA", "CA"), ("US", "US")], "jurisdiction string, country string")
 
 
 def _run(v) -> Run:
-    """The run over the printed documents: made once for an application, a folder of tables and a shared folder."""
-    at = (v.spark.sparkContext.applicationId, v.dir, shared_dir(v.spark))
-    if at not in _RUNS:
-        make = v.spark.createDataFrame
-        courts = make([("SCC", "CA"), ("ONCA", "CA")], "court_code string, jurisdiction string")
-        reporters = make([("S.C.R.", "CA", "confirmed", None, None, 1923, None), ("U.S.", "US", "confirmed", None, None, None, None)], "abbreviation string, jurisdiction string, confidence string, vol_from int, vol_to int, year_from int, year_to int")
-        countries = make([("CA", "CA"), ("US", "US")], "jurisdiction string, country string")
-        _RUNS[at] = run(_documents(v), courts, reporters, countries)
-    return _RUNS[at]
+    return run(_documents(v), *_tables(v))
+
+
+def _ledger(v) -> DataFrame:
+    """The run's ledger, without the steps after it."""
+    return read_citations(_documents(v), *_tables(v)[:2])
 
 
 @query("run_statuses", f"WITH {PRINTED} SELECT 'counted' AS arbitration_status, count(*) AS n, count(DISTINCT source_id) AS sources FROM p UNION ALL SELECT 'self_citation_row', 2 * count(DISTINCT l_orderkey), count(DISTINCT source_id) FROM p")
 def _(v):
-    led = _run(v).ledger.where("arbitration_status in ('counted', 'self_citation_row')")
+    led = _ledger(v).where("arbitration_status in ('counted', 'self_citation_row')")
     return led.groupBy("arbitration_status").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("source_id").alias("sources"))
 
 
 @query("run_mentions", f"WITH {PRINTED} SELECT source_id, raw AS raw_string, k AS merge_key, {NAME} AS candidate_case_name, CASE f WHEN 'A' THEN 'neutral' ELSE 'reporter' END AS citation_kind, CASE f WHEN 'Z' THEN 'UNSUPPORTED' WHEN 'U' THEN 'US' ELSE 'CA' END AS jurisdiction FROM p")
 def _(v):
-    return _run(v).ledger.where("arbitration_status = 'counted'").select("source_id", "raw_string", "merge_key", "candidate_case_name", "citation_kind", "jurisdiction")
+    return _ledger(v).where("arbitration_status = 'counted'").select("source_id", "raw_string", "merge_key", "candidate_case_name", "citation_kind", "jurisdiction")
 
 
 @query("run_keys", f"WITH {PRINTED} SELECT k AS merge_key, count(*) AS occurrence_count, count(DISTINCT source_id) AS distinct_decisions_count, {NAME} AS case_name_modal FROM p GROUP BY k, l_partkey")
 def _(v):
-    return _run(v).keys.select("merge_key", "occurrence_count", "distinct_decisions_count", "case_name_modal")
+    return key_table(_ledger(v).where("arbitration_status = 'counted'")).select("merge_key", "occurrence_count", "distinct_decisions_count", "case_name_modal")
 
 
 @query("run_members", f"WITH {PRINTED} SELECT k AS merge_key, group_id, CASE WHEN count(*) OVER (PARTITION BY group_id) = 1 THEN 'singleton' WHEN k = group_id THEN 'anchor' ELSE 'name_year' END AS identity_basis, CASE WHEN k LIKE '|53|%' THEN 'UNDETERMINED' ELSE 'DETERMINED' END AS member_origin_status, CASE WHEN k LIKE '|410|%' THEN 'US' WHEN k NOT LIKE '|53|%' THEN 'CA' END AS member_origin_country FROM gr")
@@ -91,18 +92,18 @@ def _(v):
 @query("run_trace", f"WITH {PRINTED} SELECT true AS agrees, count(*) AS n FROM p")
 def _(v):
     docs = _documents(v).select("court", "corpus_row_index", F.col("text").alias("unofficial_text"))
-    return corpus.trace(_run(v).ledger.where("arbitration_status = 'counted'"), docs).groupBy("agrees").agg(F.count(F.lit(1)).alias("n"))
+    return corpus.trace(_ledger(v).where("arbitration_status = 'counted'"), docs).groupBy("agrees").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("candidate_search", f"WITH {PRINTED} SELECT raw AS raw_string, l_orderkey AS corpus_row_index FROM p WHERE contains(raw, 'Z.Z.R. 1') ORDER BY l_orderkey, l_linenumber LIMIT 40")
 def _(v):
-    led = _run(v).ledger.where("arbitration_status = 'counted'")
+    led = _ledger(v).where("arbitration_status = 'counted'")
     return corpus.search_candidates(led, "z.z.r. 1").select("raw_string", "corpus_row_index")
 
 
 @query("evidence_packet", f"WITH {PRINTED} SELECT source_id, raw AS raw_string, true AS inside, n FROM (SELECT *, row_number() OVER (PARTITION BY source_id, k ORDER BY l_linenumber) AS n FROM p) WHERE n = 1")
 def _(v):
-    m = _run(v).ledger.where("arbitration_status = 'counted'").withColumnRenamed("merge_key", "group_id")
+    m = _ledger(v).where("arbitration_status = 'counted'").withColumnRenamed("merge_key", "group_id")
     texts = _documents(v).select(F.concat(F.lit("SCC_"), fn.nk("citation")).alias("source_id"), "text")
     e = an.evidence_packet(m.select("source_id", "group_id").distinct(), m, texts)
     return e.select("source_id", "raw_string", F.expr("instr(window, raw_string) > 0").alias("inside"), F.lit(1).cast("long").alias("n"))
@@ -110,14 +111,14 @@ def _(v):
 
 @query("review_packet", f"WITH {PRINTED} SELECT source_id, '[' || l_linenumber || '] ' || {NAME} || ', ' || raw || '.' AS paragraph FROM p WHERE l_linenumber = 3")
 def _(v):
-    m = _run(v).ledger.where("arbitration_status = 'counted'").select("source_id", "match_start_offset")
+    m = _ledger(v).where("arbitration_status = 'counted'").select("source_id", "match_start_offset")
     texts = _documents(v).select(F.concat(F.lit("SCC_"), fn.nk("citation")).alias("source_id"), "text")
     return quality.review_packet(m, texts).where("paragraph like '[3]%'").select("source_id", "paragraph")
 
 
 @query("arbitration_groups", f"WITH {PRINTED} SELECT 'counted' AS bucket, count(*) AS n FROM p UNION ALL SELECT 'self', 2 * count(DISTINCT l_orderkey) FROM p")
 def _(v):
-    led = _run(v).ledger.select(an.arbitration_group(F.col("arbitration_status")).alias("bucket"))
+    led = _ledger(v).select(an.arbitration_group(F.col("arbitration_status")).alias("bucket"))
     return led.where("bucket in ('counted', 'self')").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -30,6 +30,27 @@ class Run:
     edges: DataFrame
 
 
+def read_citations(docs: DataFrame, courts: DataFrame, reporters: DataFrame, shapes: ShapeSet | None = None, words: dict | None = None) -> DataFrame:
+    """Every candidate of the documents with its classification, merge key, support grade and arbitration status."""
+    c = classify.classify(extract.extract(docs, shapes), courts, reporters, words=words)
+    slot = fn.series_component("series_paren", "series", "paren_note", "shape_name")
+    c = c.withColumn("merge_key", fn.merge_key_v1("year_start", "vol", "abbreviation", slot, "page", "series_prefix"))
+    c = c.withColumn("grade", arbitrate.support_grade(F.col("rejected_reason"), F.col("parse_status"), F.col("citation_kind"), F.col("lookup_mode"), F.col("jurisdiction")))
+    return arbitrate.arbitrate(c, ["court", "corpus_row_index"]).withColumn("source_id", F.col("source_decision_citation"))
+
+
+def named_mentions(counted: DataFrame) -> DataFrame:
+    """What the votes on a key's name and origin read of its counted mentions."""
+    return counted.select("merge_key", F.col("candidate_case_name").alias("name"), F.col("source_decision_year").alias("year"), "citation_kind", "jurisdiction", "rejected_reason")
+
+
+def key_table(counted: DataFrame) -> DataFrame:
+    """One row per merge key: counts, modal name and kind."""
+    named = named_mentions(counted)
+    kinds = named.groupBy("merge_key").agg(F.min("citation_kind").alias("kind"))
+    return merge.counted_keys(counted).join(merge.name_vote(named).select("merge_key", "case_name_modal"), "merge_key", "left").join(kinds, "merge_key")
+
+
 def run(docs: DataFrame, courts: DataFrame, reporters: DataFrame, countries: DataFrame, mixed: DataFrame | None = None, shapes: ShapeSet | None = None, words: dict | None = None, profile: str = "all") -> Run:
     """Documents (court, corpus_row_index, citation, year, text) to edges.
 
@@ -41,16 +62,9 @@ def run(docs: DataFrame, courts: DataFrame, reporters: DataFrame, countries: Dat
     sources = integrity.source_disposition(docs).drop("text")
     excluded = sources.where(~F.col("source_measurable")).select("source_id")
 
-    c = classify.classify(extract.extract(docs, shapes), courts, reporters, words=words)
-    slot = fn.series_component("series_paren", "series", "paren_note", "shape_name")
-    c = c.withColumn("merge_key", fn.merge_key_v1("year_start", "vol", "abbreviation", slot, "page", "series_prefix"))
-    c = c.withColumn("grade", arbitrate.support_grade(F.col("rejected_reason"), F.col("parse_status"), F.col("citation_kind"), F.col("lookup_mode"), F.col("jurisdiction")))
-    ledger = staged(arbitrate.arbitrate(c, ["court", "corpus_row_index"]).withColumn("source_id", F.col("source_decision_citation")), "run-ledger")
-
+    ledger = staged(read_citations(docs, courts, reporters, shapes, words), "run-ledger")
     counted = ledger.where("arbitration_status = 'counted'")
-    named = counted.select("merge_key", F.col("candidate_case_name").alias("name"), F.col("source_decision_year").alias("year"), "citation_kind", "jurisdiction", "rejected_reason")
-    kinds = named.groupBy("merge_key").agg(F.min("citation_kind").alias("kind"))
-    keys = merge.counted_keys(counted).join(merge.name_vote(named).select("merge_key", "case_name_modal"), "merge_key", "left").join(kinds, "merge_key")
+    named, keys = named_mentions(counted), key_table(counted)
 
     rows = keys.select(F.col("merge_key").alias("row_key"), "merge_key", F.coalesce("case_name_modal", F.lit("")).alias("name"), fn.row_year(F.lit(None), "merge_key").alias("year"), "kind")
     solved, trace = identity.solve(rows, identity.name_links(rows))

@@ -312,3 +312,32 @@ def test_transposed_series_completes_only_with_proof():
     assert arbitrate.completes(short, long_)
     for change in ({"citation_kind": "neutral"}, {"lookup_mode": ""}, {"series": "4d"}, {"year_start": "1999"}, {"vol": "71"}, {"grade": 0}, {"raw_string": "70 O.R. 2(d) 718"}):
         assert not arbitrate.completes(short | ({"year_start": "1998"} if "year_start" in change else {}), long_ | change)
+
+
+def test_islands_settle_as_the_whole_document(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for d in range(40):
+        for i in range(rng.randint(1, 14)):
+            a = rng.randrange(80)
+            mark = rng.choice(["cross_boundary_year_page", "year_reread_as_vol"]) if d % 8 == 0 and rng.random() < 0.3 else None
+            rows.append((f"d{d}", f"c{i}", a, a + rng.randint(1, 12), f"k{rng.randrange(3)}", rng.randrange(3), rng.random() < 0.1, mark, f"c{rng.randrange(10)}" if mark else None))
+    names = "doc candidate_id match_start_offset match_end_offset merge_key grade self_citation structural_conflict conflict_with_candidate".split()
+    df = spark.createDataFrame(rows, "doc string, candidate_id string, match_start_offset int, match_end_offset int, merge_key string, grade int, self_citation boolean, structural_conflict string, conflict_with_candidate string").withColumns({"shape_name": F.lit("shape_bracket"), "_island": F.lit("mine")})
+    got = {(r.doc, r.candidate_id): (r.arbitration_status, r.superseded_by_candidate) for r in arbitrate.arbitrate(df, ["doc"]).collect()}
+    for d in range(40):
+        mine = [dict(zip(names, r, strict=True)) | {"shape_name": "shape_bracket"} for r in rows if r[0] == f"d{d}"]
+        for name, told in arbitrate.arbitrate_document(mine).items():
+            assert got[f"d{d}", name] == told
+    assert arbitrate.arbitrate(df.limit(0), ["doc"]).count() == 0
+
+
+def test_labels_spread_to_their_fixed_point(spark):
+    from citeloom.operators import quality
+
+    pairs = [(i, i + 1) for i in range(15)] + [(20, 21), (21, 22), (3, None)]
+    known = [(0, "x"), (20, "y"), (22, "z"), (None, "q")]
+    got = sorted(map(tuple, quality.propagate_labels(spark.createDataFrame(known, "item int, label string"), spark.createDataFrame(pairs, "a int, b int")).collect()))
+    assert got == [(i, "x", i) for i in range(16)] + [(20, "y", 0), (22, "z", 0)]

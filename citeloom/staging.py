@@ -30,14 +30,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def staged(df: DataFrame, name: str = "table") -> DataFrame:
+def staged(df: DataFrame, name: str = "table", by: tuple[str, ...] = (), compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
-    The written table cuts lineage and outlives lost executors.
+    The written table cuts lineage and outlives lost executors. ``by`` names its last columns: each of their
+    values is a folder of its own, and a filter on them reads only that.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/citeloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    w = df.write.option("compression", compression) if compression else df.write
+    (w.partitionBy(*by) if by else w).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

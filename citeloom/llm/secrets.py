@@ -549,9 +549,11 @@ def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample:
     """Train on, and calibrate and measure with, all windows of all documents.
 
     The training starts from at most ``sample`` windows of each class, out of all documents with a base finding and at most
-    ``documents`` others (lowest hash of the id).
+    ``documents`` others (lowest hash of the id). Texts are written once, a folder for each part, so that each step reads
+    only its own part: with start, counts and scan every text is read about four times.
     """
     every = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")).withColumn("_part", F.pmod(F.xxhash64("_text"), F.lit(PARTS)).cast("int"))
+    every = staged(every, "secret-parts", by=("_part",), compression="zstd")
 
     def start(rows: DataFrame) -> Network | None:
         ids = rows.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(documents)
@@ -619,9 +621,10 @@ def _scan(model):
             added = [x for group in together(texts) for x in _model_spans(texts[group], bases[group], net)]
             every = [x + y for x, y in zip(bases, added, strict=True)]
             counts = {f"n_{k}": pa.array([sum(s[0] == k for s in x) for x in every], pa.int64()) for k in KINDS}
+            last = {"n_model": counts.pop("n_model")}
             sums = [hashlib.sha256(joined(x).encode()).hexdigest() for x in bases]
             spans = [joined(in_order(x)) for x in every]
-            yield pa.RecordBatch.from_pydict({"_id": b.column(0)} | counts | {"base_sha256": pa.array(sums, pa.string()), "spans": pa.array(spans, pa.string())})
+            yield pa.RecordBatch.from_pydict({"_id": b.column(0)} | counts | {"base_sha256": pa.array(sums, pa.string()), "spans": pa.array(spans, pa.string())} | last)
 
     return run
 
@@ -630,5 +633,5 @@ def scan(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     """One row per document: counts by kind, digest of the base findings, and all spans."""
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    out = rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(net)), f"_id {kind}, n_assign long, n_access long, n_hex long, n_model long, base_sha256 string, spans string")
+    out = rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(net)), f"_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_model long")
     return out.withColumnRenamed("_id", id_col)

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import scalar as fn
 from citeloom.operators import analytics as an
-from citeloom.operators import classify, decide, identity, integrity, merge, quality, scorer
-from citeloom.plans.catalog import NK, OWN, RUN_ORDER, RUNS, _bridge, _ordered, _own, _solved, _solver_rows, query
+from citeloom.operators import classify, decide, identity, integrity, merge, quality, scorer, search_index
+from citeloom.plans.catalog import NK, ORACLES, OWN, RUN_ORDER, RUNS, _bridge, _ordered, _own, _solved, _solver_rows, query
 from citeloom.plans.views import D, E, G, I, M
 from citeloom.sources import corpus
+from citeloom.sources.store import Stage, Store, same_keys, unique
 from citeloom.staging import shared_dir
 
 # --- sources
@@ -223,6 +224,58 @@ def _(v):
     return identity.evidence_snapshot(v.mentions(), "court", "kind", "key")
 
 
+# --- stored indexes and published runs
+
+
+def _folder(v, name: str) -> str:
+    """A new folder in the one that the cluster shares."""
+    import uuid
+
+    return f"{shared_dir(v.spark)}/citeloom-{name}-{uuid.uuid4().hex}"
+
+
+@query("stored_bm25", ORACLES["keyword_bm25"])
+def _(v):
+    index = search_index.WordIndex(v.spark, _folder(v, "words"))
+    d = v.t("documents")
+    index.add(d.where("doc_id % 3 = 0"), "doc_id", "text")  # two segments, all documents
+    index.add(d.where("doc_id % 3 <> 0"), "doc_id", "text")
+    return index.search("Stupid license, under a password?", 20)
+
+
+@query("vector_index_recall", "SELECT true AS enough, count(*) AS queries FROM embeddings WHERE vec_id % 50 = 0")
+def _(v):
+    e = v.t("embeddings")
+    asked = e.where("vec_id % 50 = 0")
+    found = search_index.VectorIndex(e).search(asked, 10)
+    return search_index.recall(found, an.knn(e, asked, 10)).select((F.col("recall") >= 0.9).alias("enough"), "queries")
+
+
+@query("published_tables", "SELECT s_suppkey, s_nationkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def _(v):
+    store = Store(v.spark, _folder(v, "store"))
+    checks = {"suppliers of known nations": same_keys("supplier", "nation", ["n_nationkey"]), "one row for each supplier": unique("supplier", ["s_suppkey"])}
+    store.publish({"supplier": v.t("supplier").withColumn("n_nationkey", F.col("s_nationkey")), "nation": v.t("nation").select("n_nationkey", "n_name")}, checks)
+    run = store.open()
+    return run["supplier"].join(run["nation"], "n_nationkey").select("s_suppkey", "s_nationkey", "n_name")
+
+
+# the second run finds other countries: only what reads them is made anew
+@query("replayed_stages", "SELECT unnest(['orders', 'by_nation', 'regions']) AS stage, unnest([false, true, true]) AS made, (SELECT count(DISTINCT n_nationkey % 2) FROM nation) AS regions")
+def _(v):
+    store = Store(v.spark, _folder(v, "store"))
+    stages = [
+        Stage("orders", ("orders",), lambda o: o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))),
+        Stage("by_nation", ("orders", "customer", "nation"), lambda o, c, n: o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"]).groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("n"))),
+        Stage("regions", ("by_nation",), lambda b: b.agg(F.count(F.lit(1)).alias("regions"))),
+    ]
+    tables = {t: v.t(t) for t in ("orders", "customer", "nation")}
+    store.replay(tables, stages)
+    run, made = store.replay(tables | {"nation": v.t("nation").withColumn("n_regionkey", F.col("n_nationkey") % 2)}, stages)
+    told = v.spark.createDataFrame([(s.name, s.name in made) for s in stages], "stage string, made boolean")
+    return told.crossJoin(F.broadcast(run["regions"]))
+
+
 # --- identity
 
 SOLVED = """RECURSIVE k AS (SELECT CAST(p_partkey AS VARCHAR) AS row_key, p_name AS name, CAST(p_partkey % 9 + 1990 AS INTEGER) AS year, CASE WHEN p_size > 45 THEN p_type END AS court FROM part), y AS (SELECT DISTINCT name, year FROM k),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from citeloom.functions import scalar as fn
 from citeloom.operators import arbitrate, classify, decide, extract, identity, integrity, merge
 from citeloom.operators.shapes import ShapeSet
+from citeloom.sources.store import Published, Stage, Store, counted, same_keys, unique
 from citeloom.staging import staged
 
 
@@ -51,6 +52,44 @@ def key_table(counted: DataFrame) -> DataFrame:
     return merge.counted_keys(counted).join(merge.name_vote(named).select("merge_key", "case_name_modal"), "merge_key", "left").join(kinds, "merge_key")
 
 
+def identity_table(keys: DataFrame) -> DataFrame:
+    """(merge_key, group_id, identity_basis) of every key."""
+    rows = keys.select(F.col("merge_key").alias("row_key"), "merge_key", F.coalesce("case_name_modal", F.lit("")).alias("name"), fn.row_year(F.lit(None), "merge_key").alias("year"), "kind")
+    solved, trace = identity.solve(rows, identity.name_links(rows))
+    return identity.identity_basis(solved, trace).withColumnRenamed("row_key", "merge_key")
+
+
+def effective_table(ledger: DataFrame, basis: DataFrame, sources: DataFrame) -> DataFrame:
+    """(group, source) pairs and how each counts."""
+    own = ledger.where("arbitration_status = 'self_citation_row'").select("source_id", "merge_key").distinct()
+    excluded = sources.where(~F.col("source_measurable")).select("source_id")
+    return decide.effective_sources(merge.decision_ids(ledger.where("arbitration_status = 'counted'")).join(basis, "merge_key"), own, excluded)
+
+
+NO_WINDOWS = "code string, vol_from int, vol_to int, year_from int, year_to int"
+
+
+def member_table(ledger: DataFrame, keys: DataFrame, basis: DataFrame, reporters: DataFrame, countries: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Keys with their group, basis and origin."""
+    told = decide.classified_origin(named_mentions(ledger.where("arbitration_status = 'counted'")), countries, mixed, decide.reporter_consensus(_consensus_rules(reporters, countries)))
+    return decide.member_origin(keys.join(basis, "merge_key"), [("classification", told)])
+
+
+def group_table(members: DataFrame, effective: DataFrame, profile: str = "all") -> DataFrame:
+    """One row per group: counts, name, origin and whether the profile keeps it."""
+    named = decide.adjudicate(members.withColumn("case_name_modal", F.coalesce("case_name_modal", F.lit(""))), effective)
+    return decide.threshold_flag(named.join(decide.group_origin(members), "group_id").withColumnRenamed("distinct_decisions_count", "dd"), profile)
+
+
+def edge_table(ledger: DataFrame, basis: DataFrame, effective: DataFrame, groups: DataFrame) -> DataFrame:
+    mentions = ledger.where("arbitration_status = 'counted'").select("source_id", "merge_key").join(basis.select("merge_key", "group_id"), "merge_key")
+    return decide.edges(effective, groups.where("kept").drop("kept"), mentions)
+
+
+def source_table(docs: DataFrame) -> DataFrame:
+    return integrity.source_disposition(docs).drop("text")
+
+
 def run(docs: DataFrame, courts: DataFrame, reporters: DataFrame, countries: DataFrame, mixed: DataFrame | None = None, shapes: ShapeSet | None = None, words: dict | None = None, profile: str = "all") -> Run:
     """Documents (court, corpus_row_index, citation, year, text) to edges.
 
@@ -58,31 +97,45 @@ def run(docs: DataFrame, courts: DataFrame, reporters: DataFrame, countries: Dat
     vol_from, vol_to, year_from, year_to) and ``countries`` (jurisdiction, country) are the
     dimension tables; ``mixed`` the windows of reporters of several countries.
     """
-    spark = docs.sparkSession
-    sources = integrity.source_disposition(docs).drop("text")
-    excluded = sources.where(~F.col("source_measurable")).select("source_id")
-
+    mixed = mixed if mixed is not None else docs.sparkSession.createDataFrame([], NO_WINDOWS)
+    sources = source_table(docs)
     ledger = staged(read_citations(docs, courts, reporters, shapes, words), "run-ledger")
-    counted = ledger.where("arbitration_status = 'counted'")
-    named, keys = named_mentions(counted), key_table(counted)
-
-    rows = keys.select(F.col("merge_key").alias("row_key"), "merge_key", F.coalesce("case_name_modal", F.lit("")).alias("name"), fn.row_year(F.lit(None), "merge_key").alias("year"), "kind")
-    solved, trace = identity.solve(rows, identity.name_links(rows))
-    basis = identity.identity_basis(solved, trace).withColumnRenamed("row_key", "merge_key")
-
-    own = ledger.where("arbitration_status = 'self_citation_row'").select("source_id", "merge_key").distinct()
-    bridge = merge.decision_ids(counted).join(basis, "merge_key")
-    effective = decide.effective_sources(bridge, own, excluded)
-    told = decide.classified_origin(
-        named, countries, mixed if mixed is not None else spark.createDataFrame([], "code string, vol_from int, vol_to int, year_from int, year_to int"), decide.reporter_consensus(_consensus_rules(reporters, countries))
-    )
-    members = decide.member_origin(keys.join(basis, "merge_key"), [("classification", told)])
-    named_groups = decide.adjudicate(members.withColumn("case_name_modal", F.coalesce("case_name_modal", F.lit(""))), effective)
-    groups = named_groups.join(decide.group_origin(members), "group_id").withColumnRenamed("distinct_decisions_count", "dd")
-    groups = staged(decide.threshold_flag(groups, profile), "run-groups")
-    mentions = counted.select("source_id", "merge_key").join(basis.select("merge_key", "group_id"), "merge_key")
-    edges = decide.edges(effective, groups.where("kept").drop("kept"), mentions)
-    return Run(sources, ledger, keys, members, groups, effective, edges)
+    keys = key_table(ledger.where("arbitration_status = 'counted'"))
+    basis = identity_table(keys)
+    effective = effective_table(ledger, basis, sources)
+    members = member_table(ledger, keys, basis, reporters, countries, mixed)
+    groups = staged(group_table(members, effective, profile), "run-groups")
+    return Run(sources, ledger, keys, members, groups, effective, edge_table(ledger, basis, effective, groups))
+
+
+def stages(shapes: ShapeSet | None = None, words: dict | None = None, profile: str = "all") -> list[Stage]:
+    """The steps of ``run`` as stages of a store: a change of one table makes only those anew that read it, or what follows from it."""
+    return [
+        Stage("sources", ("docs",), source_table),
+        Stage("ledger", ("docs", "courts", "reporters"), lambda d, c, r: read_citations(d, c, r, shapes, words)),
+        Stage("keys", ("ledger",), lambda ledger: key_table(ledger.where("arbitration_status = 'counted'"))),
+        Stage("identity", ("keys",), identity_table),
+        Stage("effective", ("ledger", "identity", "sources"), effective_table),
+        Stage("members", ("ledger", "keys", "identity", "reporters", "countries", "mixed"), member_table),
+        Stage("groups", ("members", "effective"), lambda m, e: group_table(m, e, profile)),
+        Stage("edges", ("ledger", "identity", "effective", "groups"), edge_table),
+    ]
+
+
+#: What must hold of a run before it is published; the last one of profiles that keep every group.
+CHECKS = {
+    "one row for each group": unique("groups", ["group_id"]),
+    "one edge for each source and group": unique("edges", ["source_id", "group_id"]),
+    "edges of known groups": same_keys("edges", "groups", ["group_id"]),
+    "members of known groups": same_keys("members", "groups", ["group_id"]),
+}
+
+
+def published_run(store: Store, docs: DataFrame, courts: DataFrame, reporters: DataFrame, countries: DataFrame, mixed: DataFrame | None = None, **options) -> tuple[Published, list[str]]:
+    """QLT17, QLT18: a run published in a store, of which only what has changed since the newest one is made anew; its names are returned."""
+    mixed = mixed if mixed is not None else docs.sparkSession.createDataFrame([], NO_WINDOWS)
+    checks = CHECKS | ({"distinct sources are counted edges": counted("edges", "groups")} if options.get("profile", "all") == "all" else {})
+    return store.replay({"docs": docs, "courts": courts, "reporters": reporters, "countries": countries, "mixed": mixed}, stages(**options), checks)
 
 
 def _consensus_rules(reporters: DataFrame, countries: DataFrame) -> DataFrame:

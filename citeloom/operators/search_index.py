@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions.scalar import blank, query_terms
-from citeloom.operators.analytics import ranked
+from citeloom.operators.analytics import knn, ranked
 from citeloom.staging import staged
 
 #: Documents of a posting block, about, buckets of terms, and steps of a posting's weight that blocks keep apart.
@@ -165,6 +165,7 @@ class VectorIndex:
                 if (near == c).any():
                     self.centres[c] = sample[near == c].mean(0)
             self.centres = _unit(self.centres) if k else self.centres
+        self.probes: int | None = None
         self.rows = staged(self._dealt(v.where(F.size("v") == self.size), 1).drop("nth"), "vector-cells")
 
     def _dealt(self, v: DataFrame, probes: int) -> DataFrame:
@@ -183,8 +184,26 @@ class VectorIndex:
 
         return v.mapInArrow(run, "id long, v array<double>, cell long, nth long")
 
-    def search(self, queries: DataFrame, k: int, probes: int = 8, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-        """(q, id, score, rank) of the k nearest rows of each query among its ``probes`` nearest cells, itself left out; one job."""
+    def probes_for(self, want: float = 0.95, k: int = 10, asked: int = 64) -> int:
+        """How many cells a query must visit to find the share ``want`` of its neighbours, measured on ``asked`` rows against all rows."""
+        head = self.rows.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(asked).select(F.col("id").alias("vec_id"), F.col("v").alias("embedding"))
+        head = staged(head, "vector-asked")
+        exact = knn(self.rows.select(F.col("id").alias("vec_id"), F.col("v").alias("embedding")), head, k)
+        found = exact.join(self.rows.select("id", "cell"), "id").join(head.withColumnRenamed("vec_id", "q"), "q").select("embedding", "cell").toArrow()  # asked * k rows
+        if not found.num_rows:
+            return 1
+        score = _unit(_matrix(found["embedding"])) @ self.centres.T
+        own = score[np.arange(len(score)), found["cell"].to_numpy()]
+        before = np.sort((score > own[:, None]).sum(1))
+        return int(before[min(len(before) - 1, int(np.ceil(want * len(before))))]) + 1
+
+    def search(self, queries: DataFrame, k: int, probes: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+        """(q, id, score, rank) of the k nearest rows of each query among its ``probes`` nearest cells, itself left out; one job.
+
+        Without ``probes`` the number is measured once (``probes_for``): vectors without clusters need many.
+        """
+        if probes is None:
+            self.probes = probes = self.probes or self.probes_for(k=k)
         q = queries.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(F.size("v") == self.size)
         asked = staged(self._dealt(q, probes).select("id", "v", "cell"), "vector-queries")
         blocks = lambda df, n, name: df.groupBy("cell").agg((F.floor(F.count(F.lit(1)) / n) + 1).alias(name))

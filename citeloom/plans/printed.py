@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import scalar as fn
 from citeloom.operators import analytics as an
-from citeloom.operators import decide, integrity, quality
+from citeloom.operators import decide, extract, integrity, quality
+from citeloom.operators.shapes import ShapeSet
 from citeloom.plans.catalog import query
 from citeloom.plans.run import Run, key_table, read_citations, run
 from citeloom.plans.views import M
@@ -223,3 +224,54 @@ def _(v):
 @query("fact_ids", """SELECT p_partkey, sha256('{"a":"' || p_brand || '","b":"' || p_size || '"}') AS id FROM part""")
 def _(v):
     return v.t("part").select("p_partkey", fn.fact_id(b=F.col("p_size").cast("string"), a="p_brand").alias("id"))
+
+
+# --- every printed form, one for each line item
+
+#: Rows of the dimensions that make forms: a registered id, a code glued to year and number, and a locator of two parts.
+FORM_ROWS = ShapeSet(
+    id_rows=[{"prefix_regex": r"CarswellOnt", "body_regex": r"\s*[-‐]\s*\d+", "canonical_token": "{prefix}"}],
+    codes=["TCC"],
+    locator_rows=[{"abbreviation_regex": r"I\.L\.R\.", "locator_regex": r"1-\d{3,5}"}],
+)
+#: Form by number: how it is printed (v volume, n page, y year) and what its parts say: abbreviation, volume, page, year, series, note.
+FORMS = [
+    ("shape_vol_page_year", "v || ' D.L.R. (2d) ' || n || ' (' || y || ')'", "'D.L.R.'", "v", "n", "y", "''", "''", "'2d'"),
+    ("shape_year_vol_page", "'(' || y || '), ' || v || ' O.R. ' || n", "'O.R.'", "v", "n", "y", "''", "''", "''"),
+    ("shape_nominate", "v || ' U.S. (1 Cranch) ' || n || ' (' || y || ')'", "'U.S.'", "v", "n", "y", "''", "'1 Cranch'", "''"),
+    ("shape_leading_abbr", "'(' || y || ') Chd ' || v || ' L.J. ' || n", "'L.J.'", "v", "n", "y", "''", "''", "''"),
+    ("shape_bracket_range", "'[' || y || '-39] ' || v || ' W.W.R. ' || n", "'W.W.R.'", "v", "n", "y", "''", "''", "''"),
+    ("shape_year_vol_page_transposed_series", "'(' || y || '), ' || v || ' O.R. 2(d) ' || n", "'O.R.'", "v", "n", "y", "'2d'", "''", "''"),
+    ("shape_vol_abbr_page_transposed_series", "v || ' A.R. 3(d) ' || n", "'A.R.'", "v", "n", "''", "'3d'", "''", "''"),
+    ("shape_registered_id", "'CarswellOnt ‐ ' || n", "'CARSWELLONT'", "''", "n", "''", "''", "''", "''"),
+    ("shape_neutral_glued", "y || 'TCC' || n", "'TCC'", "''", "n", "y", "''", "''", "''"),
+    ("shape_bracket_compound_locator", "'[' || y || '] I.L.R. 1-' || (1000 + n)", "'I.L.R.'", "''", "'1-' || (1000 + n)", "y", "''", "''", "''"),
+    ("shape_paren_year_abbr_page", "'(' || y || ') S.C.R. ' || n", "'S.C.R.'", "''", "n", "y", "''", "''", "''"),
+]
+LINES = "SELECT DISTINCT (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey * 10 + l_suppkey % 10 AS doc, l_linenumber AS v, l_partkey AS n, 1800 + (l_partkey * 7 + l_linenumber) % 138 AS y, (l_partkey + l_linenumber) % 11 AS f FROM lineitem"
+
+
+def _case(i: int) -> str:
+    return "CASE f " + " ".join(f"WHEN {k} THEN CAST({form[i]} AS VARCHAR)" for k, form in enumerate(FORMS)) + " END"
+
+
+FORM_TEXT = f"(CASE f {' '.join(f'WHEN {k} THEN {form[1]}' for k, form in enumerate(FORMS))} END)"
+FORM_NAME = f"(CASE f {' '.join(f'WHEN {k} THEN {chr(39)}{form[0]}{chr(39)}' for k, form in enumerate(FORMS))} END)"
+
+
+@query(
+    "printed_forms",
+    f"""WITH l AS ({LINES}) SELECT doc, {FORM_NAME} AS shape_name, {FORM_TEXT} AS raw_string, {_case(2)} AS name, {_case(3)} AS vol, {_case(4)} AS page,
+  {_case(5)} AS year_start, {_case(6)} AS series, {_case(7)} AS paren_note, {_case(8)} AS series_paren, 4 AS at FROM l WHERE NOT (f = 10 AND n = y)
+  UNION ALL SELECT doc, 'shape_leading_abbr', 'Chd ' || v || ' L.J. ' || n, 'L.J.', CAST(v AS VARCHAR), CAST(n AS VARCHAR), '', '', '', '', 11 FROM l WHERE f = 3""",  # its year may be left out; a page of the year's number is no page
+
+)
+def _(v):
+    v.t("lineitem").createOrReplaceTempView("lineitem_of_forms")
+    lines = v.spark.sql(LINES.replace("FROM lineitem", "FROM lineitem_of_forms"))
+    text = F.concat(F.lit("see "), F.expr(FORM_TEXT), F.lit(" in full."))
+    docs = lines.select(F.lit("SCC").alias("court"), F.col("doc").alias("corpus_row_index"), F.concat(F.lit("doc "), F.col("doc").cast("string")).alias("citation"), F.lit(2020).alias("year"), text.alias("text"), F.expr(FORM_NAME).alias("form"))
+    found = extract.extract(docs.drop("form"), FORM_ROWS)
+    j = found.join(docs.select("corpus_row_index", "form"), "corpus_row_index").where("shape_name = form")
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return j.select(F.col("corpus_row_index").alias("doc"), "shape_name", "raw_string", F.coalesce(F.when(F.col("abbr") != "", F.col("abbr")), F.col("token")).alias("name"), *[blank(c).cast("string").alias(c) for c in ("vol", "page", "year_start", "series", "paren_note", "series_paren")], F.col("match_start_offset").alias("at"))

@@ -198,7 +198,7 @@ LEAD_IN = re.compile(r"^(?:(?:see|voir|also|aussi|cf|compare|contra|accord|citin
 CONNECTORS = frozenset("of the and a an for de la le les du des et en aux d l".split())
 PREFIX_NAME = re.compile(r"^(?:Re|In re|Ex parte|Reference re|Renvoi relatif|R\. c\.|Matter of)\b[:\s]")
 TAIL_RE = re.compile(r"\(Re\)\s*,?\s*$")
-ANONYMOUS = re.compile(r"^(?:Droit de la famille|Protection de la jeunesse|Adoption)\s*[—–-]\s*\d+")
+ANONYMOUS = re.compile(r"^(?:Droit de la famille|LSJPA|Protection de la jeunesse|Adoption)\s*[—–-]\s*\d+")
 CITE_TAIL = re.compile(r"[,;]?\s*(?:\[?\(?(?:1[6-9]|20)\d{2}\)?\]?)?[\s,]*\d*\s*(?:[A-Z][A-Za-z.]*\s*)*\d+\s*$")
 NESTED_FRENCH = re.compile(r"\bcitant\s+(Renvoi\s+(?:sur|relatif)\b[^;:\n]*?)\s*,?\s*$")
 
@@ -229,7 +229,7 @@ def admit(name: str) -> tuple[str, str]:
     """CLS19, CLS21: the cleaned name, or why it is none."""
     s = LEAD_IN.sub("", re.sub(r"^\s*\[\d{1,5}\]\s*", "", name)).strip()  # a paragraph number is no party
     shorter = CITE_TAIL.sub("", s).strip()
-    if re.search(r"[^\W\d_]", shorter) and len(V.findall(shorter)) == len(V.findall(s)):
+    if re.search(r"[^\W\d_]", shorter) and len(V.findall(shorter)) == len(V.findall(s)) and shorter[-1] not in "—–-":  # a number after a dash belongs to an anonymous name
         s = shorter
     s = re.sub(r"[,;:.\s]+$", "", s)
     s = re.sub(r"\s*\((?:1[6-9]|20)\d{2}(?:[-–]\d{2,4})?\)$", "", s).rstrip(" ,;")
@@ -264,7 +264,8 @@ def cut_name(pre: str | None) -> tuple[str, str]:
                 if not name_like(w[0]):
                     break
                 start = w.start()
-            return admit(plain[start:])
+            if plain[start : start + 1].isupper() or plain[start : start + 1].isdigit() or plain[start : start + 1] == "(":
+                return admit(plain[start:])
     hits = list(V.finditer(pre))
     if not hits:
         return "", "no_v_structure"

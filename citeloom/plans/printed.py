@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions import scalar as fn
 from citeloom.operators import analytics as an
-from citeloom.operators import decide, extract, integrity, quality
+from citeloom.operators import classify, decide, extract, integrity, quality
 from citeloom.operators.shapes import ShapeSet
 from citeloom.plans.catalog import query
 from citeloom.plans.run import Run, key_table, read_citations, run
@@ -275,3 +275,38 @@ def _(v):
     j = found.join(docs.select("corpus_row_index", "form"), "corpus_row_index").where("shape_name = form")
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
     return j.select(F.col("corpus_row_index").alias("doc"), "shape_name", "raw_string", F.coalesce(F.when(F.col("abbr") != "", F.col("abbr")), F.col("token")).alias("name"), *[blank(c).cast("string").alias(c) for c in ("vol", "page", "year_start", "series", "paren_note", "series_paren")], F.col("match_start_offset").alias("at"))
+
+
+# --- case names before a citation, one for each line item
+
+WHO = "'Ca' || translate(CAST(n AS VARCHAR), '0123456789', 'abcdefghij')"
+#: What stands before a citation, the case name that is cut out of it, and why there is none.
+NAMED = [
+    (f"'Intro.\n[3] the court then relied on ' || {WHO} || ' v. Meridian, '", f"{WHO} || ' v. Meridian'", "''"),
+    (f"'Intro.\nSee also ' || {WHO} || ' v. Meridian, '", f"{WHO} || ' v. Meridian'", "''"),
+    (f"'Intro.\nOld v. Case, 2001 ABCA 5, ' || {WHO} || ' v. Meridian, '", f"{WHO} || ' v. Meridian'", "''"),
+    (f"'Intro.\nBoreal c. Atlas, citant Renvoi sur la loi ' || {WHO} || ', '", f"'Renvoi sur la loi ' || {WHO}", "''"),
+    (f"'Intro.\nRe ' || {WHO} || ', '", f"'Re ' || {WHO}", "''"),
+    (f"'Intro.\nas the court said in ' || {WHO} || ' Estate (Re), '", f"{WHO} || ' Estate (Re)'", "''"),
+    ("'Intro.\nDroit de la famille — ' || n || ', '", "'Droit de la famille — ' || n", "''"),
+    (f"{WHO} || ' v. Meridian, '", "''", "'no_separator_before_v'"),
+    (f"'Intro.\n' || {WHO} || ' v. Meridian; Another matter, '", "''", "'name_belongs_to_later_segment'"),
+    (f"'Intro.\nas decided in ' || {WHO} || ', '", "''", "'no_v_structure'"),
+    (f"'Intro.\n' || {WHO} || ' v. Meridian (1999), '", f"{WHO} || ' v. Meridian'", "''"),
+]
+NAME_LINES = "SELECT DISTINCT (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey * 10 + l_suppkey % 10 AS doc, l_partkey AS n, (l_partkey + l_linenumber) % 11 AS f FROM lineitem"
+
+
+def _named(i: int) -> str:
+    return "CASE f " + " ".join(f"WHEN {k} THEN {case[i]}" for k, case in enumerate(NAMED)) + " END"
+
+
+@query("printed_names", f"WITH l AS ({NAME_LINES}) SELECT doc, '2019 ONCA ' || n AS raw_string, {_named(1)} AS candidate_case_name, {_named(2)} AS name_rejected_reason FROM l".replace("\n", "' || chr(10) || '"))
+def _(v):
+    v.t("lineitem").createOrReplaceTempView("lineitem_of_names")
+    lines = v.spark.sql(NAME_LINES.replace("FROM lineitem", "FROM lineitem_of_names"))
+    cite = F.concat(F.lit("2019 ONCA "), F.col("n").cast("string"))
+    text = F.concat(F.expr(_named(0).replace("VARCHAR", "STRING")), cite, F.lit("."))
+    docs = lines.select(F.lit("SCC").alias("court"), F.col("doc").alias("corpus_row_index"), F.lit("doc").alias("citation"), F.lit(2020).alias("year"), text.alias("text"), cite.alias("cite"))
+    found = extract.extract(docs.drop("cite")).where("shape_name = 'shape_neutral_bare'").join(docs.select("corpus_row_index", "cite"), "corpus_row_index").where("raw_string = cite")
+    return classify.case_names(found).select(F.col("corpus_row_index").alias("doc"), "raw_string", "candidate_case_name", "name_rejected_reason")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions import scalar as fn
@@ -18,6 +18,26 @@ from citeloom.sources.store import Published, Stage, Store, counted, same_keys,
 from citeloom.staging import staged
 
 
+#: Words between two citations that say that one judgment reviewed the other.
+REVIEWED = r"(?i)\b(?:aff['’]?d|aff['’]?g|affirmed|affirming|rev['’]?d|rev['’]?g|reversed|reversing|var['’]?d|varied|varying|conf\.|inf\.|confirmé|confirmant|infirmé|infirmant)(?!\w)"
+
+
+@dataclass(frozen=True)
+class Evidence:
+    """What a run may know beside the tables that it must have; what is not given tells nothing.
+
+    ``reviewed`` is the pattern of an appeal history's connector, ``run_sources`` how many documents must print two citations
+    side by side. Rules of origin: ``scope_rules`` (code, origin_country, valid_from, valid_to) and ``reporter_rules``, as
+    ``decide.scope_origin`` and ``decide.reporter_origin`` read them. ``markers`` are (pattern, role) of document zones.
+    """
+
+    reviewed: str = REVIEWED
+    run_sources: int = 1
+    scope_rules: DataFrame | None = None
+    reporter_rules: DataFrame | None = None
+    markers: tuple[tuple[str, str], ...] = ()
+
+
 @dataclass
 class Run:
     """Tables of one run: one row per source, candidate, key, group member, group, (group, source), and edge."""
@@ -52,11 +72,49 @@ def key_table(counted: DataFrame) -> DataFrame:
     return merge.counted_keys(counted).join(merge.name_vote(named).select("merge_key", "case_name_modal"), "merge_key", "left").join(kinds, "merge_key")
 
 
-def identity_table(keys: DataFrame) -> DataFrame:
-    """(merge_key, group_id, identity_basis) of every key."""
-    rows = keys.select(F.col("merge_key").alias("row_key"), "merge_key", F.coalesce("case_name_modal", F.lit("")).alias("name"), fn.row_year(F.lit(None), "merge_key").alias("year"), "kind")
-    solved, trace = identity.solve(rows, identity.name_links(rows))
-    return identity.identity_basis(solved, trace).withColumnRenamed("row_key", "merge_key")
+def neighbours(counted: DataFrame, reviewed: str = REVIEWED) -> DataFrame:
+    """Counted mentions by document, and whether each is parallel to the one before it or follows a connector."""
+    doc = F.concat_ws(":", "court", F.col("corpus_row_index").cast("string"))
+    c = counted.select(doc.alias("doc"), "source_id", "merge_key", "candidate_id", F.col("match_start_offset").alias("start"), F.col("match_end_offset").alias("end"), "preceding_text")
+    w = Window.partitionBy("doc").orderBy("start", "end", "candidate_id")
+    gap = fn.gap_text(F.lag("end").over(w), "start", "preceding_text")
+    c = c.withColumn("gap", gap)
+    return c.select("doc", "source_id", "merge_key", "candidate_id", "start", "end", F.coalesce(fn.parallel_gap("gap"), F.lit(False)).alias("parallel"), F.coalesce(F.col("gap").rlike(reviewed) & ~F.col("gap").contains(";") & ~F.col("gap").contains("\n"), F.lit(False)).alias("connected"))
+
+
+ORDER = ["start", "end", "candidate_id"]
+
+
+def own_claims(ledger: DataFrame) -> DataFrame:
+    """(merge_key, decision_id): what documents print as their own citation, of keys that one document claims."""
+    own = ledger.where("arbitration_status = 'self_citation_row'").select("merge_key", F.col("source_id").alias("decision_id")).distinct()
+    return own.groupBy("merge_key").agg(F.count(F.lit(1)).alias("_n"), F.min("decision_id").alias("decision_id")).where("_n = 1").select("merge_key", "decision_id")
+
+
+def identity_table(keys: DataFrame, ledger: DataFrame, evidence: Evidence = Evidence()) -> DataFrame:  # noqa: B008
+    """(merge_key, group_id, identity_basis) of every key: links of documents' own citations, of parallel runs and of names, under the guards; then groups that a printed history cuts."""
+    counted = ledger.where("arbitration_status = 'counted'")
+    near = staged(neighbours(counted, evidence.reviewed), "run-neighbours")
+    own = staged(own_claims(ledger), "run-own")
+    rows = keys.join(own, "merge_key", "left").select(F.col("merge_key").alias("row_key"), "merge_key", F.coalesce("case_name_modal", F.lit("")).alias("name"), fn.row_year(F.lit(None), "merge_key").alias("year"), "kind", "decision_id")
+    runs = merge.islands(near, "doc", ORDER, F.col("parallel"))
+    known = keys.select("merge_key")
+    links = identity.alias_links(known, own).unionByName(identity.run_links(runs.select("doc", "run", "merge_key"), evidence.run_sources)).unionByName(identity.name_links(rows))
+    solved, trace = identity.solve(rows, links)
+    basis = identity.identity_basis(solved, trace).withColumnRenamed("row_key", "merge_key")
+    pairs = staged(merge.history_pairs(near, "doc", ORDER, F.col("connected"), F.col("parallel")), "run-history")
+    if pairs.isEmpty():
+        return basis
+    basis = staged(basis, "run-basis")
+    sides = pairs.select(F.concat_ws(":", "doc", F.col("instance").cast("string")).alias("instance"), "side", "merge_key").distinct()
+    members = basis.select("group_id", F.col("merge_key").alias("row_key"), "merge_key", F.lit("").alias("court"))
+    bridge = merge.decision_ids(counted).select(F.col("merge_key").alias("row_key"), "source_id").distinct()
+    parts = identity.history_parts(members, sides, bridge).select(F.col("row_key").alias("merge_key"), "part", "reason")
+    cut = ~F.col("reason").isin("", "contradiction")
+    j = basis.join(parts, "merge_key").withColumn("_g", F.when(cut, F.col("part")).otherwise(F.col("group_id")))
+    size = F.count(F.lit(1)).over(Window.partitionBy("_g"))
+    told = F.when(~cut, F.col("identity_basis")).when(size == 1, "singleton").when(F.col("merge_key") == F.col("_g"), "anchor").when(F.col("identity_basis").isin("anchor", "singleton"), "name_year").otherwise(F.col("identity_basis"))
+    return j.select("merge_key", F.col("_g").alias("group_id"), told.alias("identity_basis"))
 
 
 def effective_table(ledger: DataFrame, basis: DataFrame, sources: DataFrame) -> DataFrame:
@@ -69,10 +127,19 @@ def effective_table(ledger: DataFrame, basis: DataFrame, sources: DataFrame) ->
 NO_WINDOWS = "code string, vol_from int, vol_to int, year_from int, year_to int"
 
 
-def member_table(ledger: DataFrame, keys: DataFrame, basis: DataFrame, reporters: DataFrame, countries: DataFrame, mixed: DataFrame) -> DataFrame:
-    """Keys with their group, basis and origin."""
-    told = decide.classified_origin(named_mentions(ledger.where("arbitration_status = 'counted'")), countries, mixed, decide.reporter_consensus(_consensus_rules(reporters, countries)))
-    return decide.member_origin(keys.join(basis, "merge_key"), [("classification", told)])
+def member_table(ledger: DataFrame, keys: DataFrame, basis: DataFrame, reporters: DataFrame, countries: DataFrame, mixed: DataFrame, evidence: Evidence = Evidence()) -> DataFrame:  # noqa: B008
+    """Keys with their group, basis and origin: the strongest evidence that tells anything decides."""
+    named = named_mentions(ledger.where("arbitration_status = 'counted'"))
+    kinds = named.select("merge_key", "citation_kind").distinct()
+    told = []
+    if evidence.scope_rules is not None:
+        told.append(("court_scope_rule", decide.scope_origin(kinds.where("citation_kind in ('neutral', 'identifier')"), evidence.scope_rules)))
+    if evidence.reporter_rules is not None:
+        scope = staged(decide.reporter_origin(kinds, evidence.reporter_rules), "run-reporter-origin")
+        told.append(("exclusive_reporter_scope", scope.where("ambiguous_basis = ''").select("merge_key", "origin_country")))
+        named = named.join(scope.select("merge_key", "ambiguous_basis"), "merge_key", "left")
+    told.append(("classification", decide.classified_origin(named, countries, mixed, decide.reporter_consensus(_consensus_rules(reporters, countries)))))
+    return decide.member_origin(keys.join(basis, "merge_key"), told)
 
 
 def group_table(members: DataFrame, effective: DataFrame, profile: str = "all") -> DataFrame:
@@ -81,17 +148,28 @@ def group_table(members: DataFrame, effective: DataFrame, profile: str = "all")
     return decide.threshold_flag(named.join(decide.group_origin(members), "group_id").withColumnRenamed("distinct_decisions_count", "dd"), profile)
 
 
-def edge_table(ledger: DataFrame, basis: DataFrame, effective: DataFrame, groups: DataFrame) -> DataFrame:
-    mentions = ledger.where("arbitration_status = 'counted'").select("source_id", "merge_key").join(basis.select("merge_key", "group_id"), "merge_key")
-    return decide.edges(effective, groups.where("kept").drop("kept"), mentions)
+def edge_table(ledger: DataFrame, basis: DataFrame, effective: DataFrame, groups: DataFrame, docs: DataFrame | None = None, evidence: Evidence = Evidence()) -> DataFrame:  # noqa: B008
+    """Edges; with ``docs`` and zone markers also where in its documents each edge is printed."""
+    counted = ledger.where("arbitration_status = 'counted'").join(basis.select("merge_key", "group_id"), "merge_key")
+    edges = decide.edges(effective, groups.where("kept").drop("kept"), counted.select("source_id", "merge_key", "group_id"))
+    if docs is None or not evidence.markers:
+        return edges
+    at = F.concat_ws(":", "court", F.col("corpus_row_index").cast("string")).alias("doc")
+    zones = integrity.locate_zones(docs.select(at, "text"), list(evidence.markers)).select("doc", "reasons_start", "appeal_spans")
+    placed = counted.select(at, "source_id", "group_id", "match_start_offset", "match_end_offset").join(zones, "doc")
+    zone = integrity.position_zone(F.col("reasons_start"), F.col("appeal_spans"), F.col("match_start_offset"), F.col("match_end_offset"))
+    return edges.join(integrity.zone_profile(placed.withColumn("zone", zone), ["source_id", "group_id"]), ["source_id", "group_id"], "left")
 
 
 def source_table(docs: DataFrame) -> DataFrame:
-    return integrity.source_disposition(docs).drop("text")
+    """One row per document: what its header says of its citation, whether its text is whole, and whether it is measured."""
+    name = F.col("name") if "name" in docs.columns else F.lit("")
+    told = docs.withColumn("own_citation_status", integrity.own_citation(F.col("text"), F.col("citation"))).withColumn("text_integrity_status", integrity.text_integrity(F.col("text"), name, F.col("citation")))
+    return integrity.source_disposition(told, own_status="own_citation_status", integrity="text_integrity_status").drop("text")
 
 
-def run(docs: DataFrame, courts: DataFrame, reporters: DataFrame, countries: DataFrame, mixed: DataFrame | None = None, shapes: ShapeSet | None = None, words: dict | None = None, profile: str = "all") -> Run:
-    """Documents (court, corpus_row_index, citation, year, text) to edges.
+def run(docs: DataFrame, courts: DataFrame, reporters: DataFrame, countries: DataFrame, mixed: DataFrame | None = None, shapes: ShapeSet | None = None, words: dict | None = None, profile: str = "all", evidence: Evidence = Evidence()) -> Run:  # noqa: B008
+    """Documents (court, corpus_row_index, citation, year, text and perhaps name) to edges.
 
     ``courts`` (court_code, jurisdiction), ``reporters`` (abbreviation, jurisdiction, confidence,
     vol_from, vol_to, year_from, year_to) and ``countries`` (jurisdiction, country) are the
@@ -101,24 +179,24 @@ def run(docs: DataFrame, courts: DataFrame, reporters: DataFrame, countries: Dat
     sources = source_table(docs)
     ledger = staged(read_citations(docs, courts, reporters, shapes, words), "run-ledger")
     keys = key_table(ledger.where("arbitration_status = 'counted'"))
-    basis = identity_table(keys)
+    basis = identity_table(keys, ledger, evidence)
     effective = effective_table(ledger, basis, sources)
-    members = member_table(ledger, keys, basis, reporters, countries, mixed)
+    members = member_table(ledger, keys, basis, reporters, countries, mixed, evidence)
     groups = staged(group_table(members, effective, profile), "run-groups")
-    return Run(sources, ledger, keys, members, groups, effective, edge_table(ledger, basis, effective, groups))
+    return Run(sources, ledger, keys, members, groups, effective, edge_table(ledger, basis, effective, groups, docs, evidence))
 
 
-def stages(shapes: ShapeSet | None = None, words: dict | None = None, profile: str = "all") -> list[Stage]:
+def stages(shapes: ShapeSet | None = None, words: dict | None = None, profile: str = "all", evidence: Evidence = Evidence()) -> list[Stage]:  # noqa: B008
     """The steps of ``run`` as stages of a store: a change of one table makes only those anew that read it, or what follows from it."""
     return [
         Stage("sources", ("docs",), source_table),
         Stage("ledger", ("docs", "courts", "reporters"), lambda d, c, r: read_citations(d, c, r, shapes, words)),
         Stage("keys", ("ledger",), lambda ledger: key_table(ledger.where("arbitration_status = 'counted'"))),
-        Stage("identity", ("keys",), identity_table),
+        Stage("identity", ("keys", "ledger"), lambda k, ledger: identity_table(k, ledger, evidence)),
         Stage("effective", ("ledger", "identity", "sources"), effective_table),
-        Stage("members", ("ledger", "keys", "identity", "reporters", "countries", "mixed"), member_table),
+        Stage("members", ("ledger", "keys", "identity", "reporters", "countries", "mixed"), lambda *t: member_table(*t, evidence)),
         Stage("groups", ("members", "effective"), lambda m, e: group_table(m, e, profile)),
-        Stage("edges", ("ledger", "identity", "effective", "groups"), edge_table),
+        Stage("edges", ("ledger", "identity", "effective", "groups", "docs"), lambda *t: edge_table(*t, evidence)),
     ]
 
 

@@ -18,7 +18,7 @@ text of a textarea is shown, values of other form controls are not.
 Layout: white space collapses as in browsers except in pre; br breaks the line;
 blocks start on a line of their own and paragraphs, headings, lists, tables and
 quotations are set off by one empty line; list items get "- " or their number and
-are indented by depth, by ``MAX_INDENT`` characters at most; table cells are padded to
+are indented by depth (``max_indent`` of ``render`` may bound it); table cells are padded to
 the width of their column, with colspan and rowspan, and separated by two spaces; a cell
 over several columns widens the last of them where it needs more room than they have.
 
@@ -35,6 +35,7 @@ import re
 import sys
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +43,6 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.textvec import text_slices
 
-MAX_INDENT = 200
 _words = lambda s: frozenset(s.split())
 
 # Groups of elements of the HTML standard.
@@ -255,7 +255,8 @@ def page_rules(styles: list[str]) -> dict[str, list[tuple[int, dict[str, tuple[b
 class Writer:
     """Lines of text with collapsed space, blocks and margins."""
 
-    def __init__(self):
+    def __init__(self, max_indent: int | None = None):
+        self.max_indent = max_indent
         self.lines: list[str] = []
         self.parts: list[str] = []
         self.space = False  # a space is due before the next text
@@ -285,7 +286,7 @@ class Writer:
         if self.margin and self.lines:
             self.lines.append("")
         self.margin = False
-        pad = "".join(self.indent[: MAX_INDENT // 2])[:MAX_INDENT]
+        pad = "".join(self.indent if self.max_indent is None else self.indent[: self.max_indent])[: self.max_indent]
         if self.mark:
             pad, self.mark = pad[: len(pad) - len(self.mark)] + self.mark, ""
         self.lines.append((pad + s).rstrip(" "))
@@ -482,7 +483,7 @@ class Renderer:
                     continue
                 while at in below:
                     at += 1
-                own = Writer()
+                own = Writer(w.max_indent)
                 self.kids(cell, own, False if how == "visibility" else True if how == "shown" else shown, False, 0)
                 cells[at] = own.done().split("\n")
                 wide, tall = span(cell, "colspan"), span(cell, "rowspan")
@@ -517,12 +518,12 @@ class Renderer:
         w.block(True)
 
 
-def render(page: str | None) -> str:
-    """All visible text of one page."""
+def render(page: str | None, max_indent: int | None = None) -> str:
+    """All visible text of one page; with ``max_indent`` no line is indented by more characters (nested lists then lose depth)."""
     if not page:
         return ""
     tree = Tree(page)
-    w, had = Writer(), sys.getrecursionlimit()
+    w, had = Writer(max_indent), sys.getrecursionlimit()
     # frames of Python code are on the heap; the renderer has up to four for each level of the tree
     sys.setrecursionlimit(had + 5 * tree.depth)
     try:
@@ -532,10 +533,10 @@ def render(page: str | None) -> str:
     return w.done()
 
 
-def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rendered(batches: Iterator[pa.RecordBatch], max_indent: int | None = None) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for b in text_slices(whole, 1, 8_000_000):
-            texts = [render(x) for x in b.column(1).to_pylist()]
+            texts = [render(x, max_indent) for x in b.column(1).to_pylist()]
             raw = [t.encode("utf-8", "replace") for t in texts]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -548,8 +549,8 @@ def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def visible_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+def visible_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_indent: int | None = None) -> DataFrame:
     """One row per page: id, text, n_chars, n_lines and text_sha256."""
     rows = pages.select(F.col(id_col).alias("_id"), F.col(html_col).cast("string").alias("_html"))
-    out = rows.mapInArrow(_rendered, f"_id {rows.schema['_id'].dataType.simpleString()}, text string, n_chars long, n_lines long, text_sha256 string")
+    out = rows.mapInArrow(partial(_rendered, max_indent=max_indent), f"_id {rows.schema['_id'].dataType.simpleString()}, text string, n_chars long, n_lines long, text_sha256 string")
     return out.withColumnRenamed("_id", id_col)

@@ -299,3 +299,30 @@ def test_rows_without_id_are_compared(spark):
     assert got == sorted([(0, 4, 3, False), (4, 4, 3, True), (0, 4, 3, False), (0, None, 1, True), (0, None, 1, True)], key=str)
     only = spark.createDataFrame([(None, a), (None, near)], "doc_id long, text string")
     assert near_dedup.keep_one(only).count() == 1
+
+
+# --- pages
+
+
+def test_deep_lists_keep_their_depth():
+    from citeloom.llm import html_text
+
+    page = "<ul><li>x" * 300 + "</li></ul>" * 300
+    lines = html_text.render(page).split("\n")
+    assert len(lines) == 300 and [len(x) - len(x.lstrip(" -")) for x in lines] == [2 * (i + 1) for i in range(300)]
+    assert max(map(len, html_text.render(page, max_indent=50).split("\n"))) <= 52
+
+
+# --- chat formatting
+
+
+def test_long_conversations_and_clashing_columns(spark):
+    from citeloom.llm import chat_format
+
+    turns = [(1, t, "assistant" if t % 2 else "user", "word " * 50) for t in range(400)] + [(2, 0, "user", "x" * 200_000), (2, 1, "assistant", "y" * 200_000)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("clash") for c in ("example", "loss", "_turn", "n_turns", "prompt", "_id")})
+    got = {r.conv_id: r for r in chat_format.conversation_digests(chat_format.prefix_examples(df)).collect()}
+    for c in (1, 2):
+        mine = [(r, x) for i, _, r, x in turns if i == c]
+        assert got[c].n_turns == len(mine) and got[c].loss_chars == sum(len(x) for r, x in mine if r == "assistant")
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in mine).encode()).hexdigest()

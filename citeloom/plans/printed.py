@@ -310,3 +310,49 @@ def _(v):
     docs = lines.select(F.lit("SCC").alias("court"), F.col("doc").alias("corpus_row_index"), F.lit("doc").alias("citation"), F.lit(2020).alias("year"), text.alias("text"), cite.alias("cite"))
     found = extract.extract(docs.drop("cite")).where("shape_name = 'shape_neutral_bare'").join(docs.select("corpus_row_index", "cite"), "corpus_row_index").where("raw_string = cite")
     return classify.case_names(found).select(F.col("corpus_row_index").alias("doc"), "raw_string", "candidate_case_name", "name_rejected_reason")
+
+
+# --- years that two readings share, labels after citations, the plain route and the filter by year
+
+TEXTS = "SELECT DISTINCT (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey * 10 + l_suppkey % 10 AS doc, l_linenumber AS v, l_partkey AS n, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE 1990 + l_suppkey % 20 END AS y FROM lineitem"
+
+
+def _printed_texts(v, text: str) -> DataFrame:
+    """One document for each line item, with the text that an expression over doc, v, n and y makes."""
+    v.t("lineitem").createOrReplaceTempView("lineitem_of_texts")
+    lines = v.spark.sql(TEXTS.replace("FROM lineitem", "FROM lineitem_of_texts"))
+    return lines.select(F.lit("SCC").alias("court"), F.col("doc").alias("corpus_row_index"), F.lit("doc").alias("citation"), F.col("y").cast("int").alias("year"), F.expr(text).alias("text"))
+
+
+@query(
+    "misread_years",
+    f"""WITH l AS ({TEXTS}), a AS (SELECT doc, v % 2 AS f, CASE v % 2 WHEN 0 THEN 20 ELSE 12 END AS pos, length(CAST(n AS VARCHAR)) + 9 AS size FROM l),
+  b AS (SELECT doc, f, 'SCC:' || doc || ':' || pos || ':' || (pos + size) || ':shape_neutral_bare' AS other FROM a)
+  SELECT doc, 'shape_bracket' AS shape_name, 'cross_boundary_year_page' AS structural_conflict, other AS conflict_with_candidate FROM b WHERE f = 0
+  UNION ALL SELECT doc, 'shape_vol_abbr_page', 'cross_boundary_year_page', other FROM b WHERE f = 0
+  UNION ALL SELECT doc, 'shape_year_vol_page', 'year_reread_as_vol', other FROM b WHERE f = 1""",
+)
+def _(v):
+    docs = _printed_texts(v, "CASE WHEN v % 2 = 0 THEN concat('see [1999] ', v, ' S.C.R. 2005 SCC ', n, ' there.') ELSE concat('see (1999), 2005 SCC ', n, ' there.') END")
+    return extract.extract(docs).where("structural_conflict <> ''").select(F.col("corpus_row_index").alias("doc"), "shape_name", "structural_conflict", "conflict_with_candidate")
+
+
+@query("printed_labels", f"WITH l AS ({TEXTS}) SELECT doc, '2019 ONCA ' || n AS raw_string, CASE v % 3 WHEN 0 THEN 'C.A.|Ont.' WHEN 1 THEN 'H.C.' ELSE '' END AS labels, 'shape=shape_neutral_bare|token=ONCA|page=' || n || '|year=2019' AS signature FROM l")
+def _(v):
+    docs = _printed_texts(v, "concat('see 2019 ONCA ', n, CASE v % 3 WHEN 0 THEN ' (C.A.), (Ont.)' WHEN 1 THEN ' at pp. 4-5 (H.C.) (2d)' ELSE ' (3d) (C.A.)' END, ' there.')")
+    found = extract.extract(docs).where("shape_name = 'shape_neutral_bare'")
+    sorted_ = F.array_join(F.array_append(F.filter(F.split("parse_signature", r"\|"), lambda x: ~x.startswith("year=") & ~x.startswith("trailing")), F.concat(F.lit("year="), F.col("year_start"))), "|")
+    return found.select(F.col("corpus_row_index").alias("doc"), "raw_string", F.array_join(F.transform("suffix_annotations", lambda a: a["raw"]), "|").alias("labels"), sorted_.alias("signature"))
+
+
+@query("known_years", f"WITH l AS ({TEXTS}) SELECT count(*) AS documents, count(y) AS dated FROM l WHERE y IS NULL OR y >= 2000")
+def _(v):
+    found = extract.extract(_printed_texts(v, "concat('see 2019 ONCA ', n, ' there.')"), year_from=2000).where("shape_name = 'shape_neutral_bare'")
+    return found.agg(F.count(F.lit(1)).alias("documents"), F.count("source_decision_year").alias("dated"))
+
+
+@query("plain_matches", f"WITH l AS ({TEXTS}) SELECT doc, 'shape_vol_abbr_page' AS shape_name, v || ' O.R. ' || n AS raw_string FROM l UNION ALL SELECT doc, 'shape_neutral_bare', '2019 ONCA ' || n FROM l")
+def _(v):
+    found = extract.plain_matches(_printed_texts(v, "concat('see ', v, ' O.R. ', n, '; and 2019 ONCA ', n, ' there.')"))
+    mine = "(shape_name = 'shape_vol_abbr_page' and raw_string like '% O.R. %') or shape_name = 'shape_neutral_bare'"
+    return found.where(mine).select(F.col("corpus_row_index").alias("doc"), "shape_name", "raw_string")

@@ -276,6 +276,30 @@ def _(v):
     return told.crossJoin(F.broadcast(run["regions"]))
 
 
+@query("offline_answer", f"WITH {G} SELECT 'en' AS language, 'Most cited: ' || group_id || ' with ' || dd || ' documents.' AS answer FROM (SELECT * FROM g ORDER BY dd DESC, group_id LIMIT 1) UNION ALL SELECT 'fr', 'La plus citée : ' || group_id || ', ' || dd || ' documents.' FROM (SELECT * FROM g ORDER BY dd DESC, group_id LIMIT 1)")
+def _(v):
+    best = v.groups().select("group_id", F.col("dd").alias("filtered_dd")).orderBy(F.desc("filtered_dd"), "group_id").first().asDict()
+    return v.spark.createDataFrame([(lang, an.offline_answer("ranking", best, lang)) for lang in ("en", "fr")], "language string, answer string")
+
+
+# nations in the order of two lists that agree: by key, and every other one by key
+@query("court_order", "SELECT row_number() OVER (ORDER BY n_nationkey) AS place, n_name FROM nation")
+def _(v):
+    names = [r.n_name for r in v.t("nation").orderBy("n_nationkey").collect()]  # a dimension: one row for each court
+    order = quality.court_order(names, names[::2])
+    return v.spark.createDataFrame([(i, n) for i, n in enumerate(order, 1)], "place long, n_name string")
+
+
+# a CSV and its packed form have one content, and a manifest names the language policy
+@query("logical_content", "SELECT count(*) AS rows, true AS same, 'english_only' AS old_policy, 'en_then_fr' AS policy FROM nation")
+def _(v):
+    rows = v.t("nation").select("n_nationkey", "n_name")
+    plain, packed = (v.spark.read.csv(_written(v, rows, name, **options), header=True) for name, options in (("plain", {}), ("packed", {"compression": "gzip"})))
+    a, b = corpus.table_signature(plain), corpus.table_signature(packed).select(F.col("n_rows").alias("m"), F.col("row_hash").alias("h"))
+    told = [F.lit(corpus.policy_from_manifest(m)) for m in ({}, {"text_policy": "en_then_fr"})]
+    return a.crossJoin(F.broadcast(b)).select(F.col("n_rows").alias("rows"), ((F.col("n_rows") == F.col("m")) & (F.col("row_hash") == F.col("h"))).alias("same"), told[0].alias("old_policy"), told[1].alias("policy"))
+
+
 # --- identity
 
 SOLVED = """RECURSIVE k AS (SELECT CAST(p_partkey AS VARCHAR) AS row_key, p_name AS name, CAST(p_partkey % 9 + 1990 AS INTEGER) AS year, CASE WHEN p_size > 45 THEN p_type END AS court FROM part), y AS (SELECT DISTINCT name, year FROM k),

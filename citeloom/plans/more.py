@@ -379,7 +379,7 @@ def _(v):
   hit AS (SELECT o.key, u.part, count(*) AS x FROM o JOIN u USING (group_id) JOIN b ON b.key = o.key JOIN b d ON d.key = u.part AND d.source_id = b.source_id WHERE o.r > 2 GROUP BY ALL),
   f AS (SELECT hit.key, min(part) AS part FROM hit JOIN c p ON p.key = hit.key JOIN c q ON q.key = hit.part WHERE x >= 0.46 * least(p.n, q.n) GROUP BY hit.key HAVING count(*) = 1),
   t AS (SELECT o.group_id, o.key, CASE WHEN r <= 2 THEN o.key ELSE coalesce(f.part, '') END AS p, CASE WHEN r <= 2 THEN 'history_separation' WHEN f.part IS NOT NULL THEN 'history_follows' ELSE 'history_unassigned' END AS reason FROM o LEFT JOIN f USING (key))
-  SELECT key AS row_key, group_id, min(key) OVER (PARTITION BY group_id, p) AS part, reason FROM t""")
+  SELECT key AS row_key, group_id, CASE WHEN count(*) OVER (PARTITION BY group_id) < 2 THEN CAST(group_id AS VARCHAR) ELSE min(key) OVER (PARTITION BY group_id, p) END AS part, CASE WHEN count(*) OVER (PARTITION BY group_id) < 2 THEN '' ELSE reason END AS reason FROM t""")
 def _(v):
     key = F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))
     m = v.t("supplier").select((F.col("s_suppkey") % 9).alias("group_id"), key.alias("row_key"), key.alias("merge_key"), F.lit("").alias("court"), "s_suppkey")

@@ -59,5 +59,5 @@ def test_a_row_without_id_goes_only_for_its_own_copy(spark):
 
 def test_registered():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.oracle_sql()) <= set(names)

@@ -21,7 +21,7 @@ def duck():
 
 def plain(d: pd.DataFrame) -> list[tuple]:
     def cell(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and np.isnan(x)):
+        if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and np.isnan(x)):
             return None
         return round(float(x), 6) if isinstance(x, (int, float, np.number)) and not isinstance(x, bool) else str(x)
 

@@ -2,6 +2,7 @@
 
 import itertools
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -341,3 +342,15 @@ def test_labels_spread_to_their_fixed_point(spark):
     known = [(0, "x"), (20, "y"), (22, "z"), (None, "q")]
     got = sorted(map(tuple, quality.propagate_labels(spark.createDataFrame(known, "item int, label string"), spark.createDataFrame(pairs, "a int, b int")).collect()))
     assert got == [(i, "x", i) for i in range(16)] + [(20, "y", 0), (22, "z", 0)]
+
+
+def test_printed_forms_of_large_part_numbers(spark, tmp_path):
+    """Locators of six digits, and line items whose numbers come to one document number."""
+    import __spark_entry__ as entry
+
+    rows = [(1, 1, 120000 + i, 3) for i in range(11)] + [(1, 2, 20000 + i, 3) for i in range(11)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = [tuple(map(str, r)) for r in entry.queries()["printed_forms"](spark, str(tmp_path)).collect()]
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    assert sorted(got) == sorted(tuple(map(str, r)) for r in duck.execute(entry.oracle_sql()["printed_forms"]).fetchall())

@@ -344,6 +344,26 @@ def test_labels_spread_to_their_fixed_point(spark):
     assert got == [(i, "x", i) for i in range(16)] + [(20, "y", 0), (22, "z", 0)]
 
 
+def test_lookups_leave_candidates_where_they_are(spark):
+    """Few abbreviations make up most candidates: a shuffle by them would be a few tasks."""
+    rows = spark.createDataFrame([(7, "SCC", "2020 SCC 7", 2020, "see 2019 ONCA 12, 53 Z.Z.R. 9 there.")], "corpus_row_index long, court string, citation string, year int, text string")
+    courts = spark.createDataFrame([("ONCA", "CA")], "court_code string, jurisdiction string")
+    reporters = spark.createDataFrame([("U.S.", "US", "confirmed", None, None, None, None)], "abbreviation string, jurisdiction string, confidence string, vol_from int, vol_to int, year_from int, year_to int")
+    found = extract.extract(rows)
+    plan = classify.classify(found, courts, reporters)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan
+    # each island is settled once: nothing filters the packed islands by what was settled
+    c = classify.classify(found, courts, reporters).withColumn("merge_key", F.col("raw_string")).withColumn("grade", F.lit(1))
+    plan = arbitrate.arbitrate(c, ["court", "corpus_row_index"], ("raw_string",)).where("arbitration_status = 'counted'")
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("verdicts(") == 1
+    assert {r.raw_string for r in plan.collect()} == {"2019 ONCA 12", "53 Z.Z.R. 9"}
+
+
+def test_same_row_number_of_two_courts_is_two_documents(spark):
+    rows = spark.createDataFrame([("A", 1, "see (1990) S.C.R. 12."), ("B", 1, "see 12 O.R. 1990 xx")], "court string, corpus_row_index long, text string").coalesce(1)
+    assert {(r.court, r.shape_name) for r in extract.plain_matches(rows).collect()} == {("A", "shape_paren_year_abbr_page"), ("B", "shape_vol_abbr_page")}
+
+
 def test_printed_forms_of_large_part_numbers(spark, tmp_path):
     """Locators of six digits, and line items whose numbers come to one document number."""
     import __spark_entry__ as entry

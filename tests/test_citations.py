@@ -110,6 +110,15 @@ def test_greedy_dedup_matches_brute_force(spark):
                 kept.append(r)
 
 
+def test_greedy_dedup_takes_islands_not_documents(spark):
+    rows = [("a", 0, 10, 1), ("a", 2, 12, 0), ("a", 11, 13, 0), ("a", 13, 13, 0), ("a", 20, None, 0), ("a", 30, 40, 2), ("a", 30, 40, 1), ("a", 30, 40, 1), (None, 0, 4, 0), (None, 3, 5, 0), ("b", 1, 3, None)]
+    out = extract.greedy_dedup(spark.createDataFrame(rows, "doc string, start long, end long, rank long"))
+    got = sorted(tuple(str(x) for x in r) for r in out.collect())
+    want = {("a", 2, 12, 0): "0:10:1", ("a", 30, 40, 2): "30:40:1", (None, 3, 5, 0): "0:4:0"}
+    assert got == sorted(tuple(str(x) for x in (*r, want.get(r))) for r in rows)
+    assert "FlatMapGroups" not in out._jdf.queryExecution().toString()  # a call for each document
+
+
 def reading(i, a, b, key, grade=2, **kw):
     return {"candidate_id": i, "match_start_offset": a, "match_end_offset": b, "merge_key": key, "grade": grade, "shape_name": "shape_bracket", "rejected_reason": "", "self_citation": False} | kw
 

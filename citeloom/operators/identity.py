@@ -63,6 +63,45 @@ def variant_kind(key_a: Column, key_b: Column, sources_a: Column, sources_b: Col
     return F.when(langs & bilingual, "bilingual").when(~langs & rare & same(0) & one_edit(part(key_a, 4), part(key_b, 4)), "typo_number").when(~langs & rare & same(4) & years, "typo_year")
 
 
+def edit_classes(classes: DataFrame, by: list[str], text: str) -> DataFrame:
+    """(by, x, y), x < y: different texts of one block that are one edit apart; texts meet once each, however many rows print them."""
+    c = classes.select(*by, F.col(text).alias("x")).where("x is not null").distinct()
+    return c.join(c.withColumnRenamed("x", "y"), by).where((F.col("x") < F.col("y")) & one_edit("x", "y"))
+
+
+def expanded(pairs: DataFrame, rows: DataFrame, by: list[str], item: str, cls: str) -> DataFrame:
+    """Pairs of classes (by, x, y, and more) as pairs of their items (a, b, and more), the smaller item first; the work is that of writing them out."""
+    r = rows.where(F.col(item).isNotNull())
+    one, two = r.select(*by, F.col(cls).alias("x"), F.col(item).alias("_i")), r.select(*by, F.col(cls).alias("y"), F.col(item).alias("_j"))
+    more = [c for c in pairs.columns if c not in {*by, "x", "y"}]
+    return pairs.join(one, [*by, "x"]).join(two, [*by, "y"]).where("_i <> _j").select(F.least("_i", "_j").alias("a"), F.greatest("_i", "_j").alias("b"), *more)
+
+
+def edit_pairs(rows: DataFrame, item: str, by: list[str], text: str) -> DataFrame:
+    """FN20 as a join: items (a, b), a < b, of one block whose texts are one edit apart."""
+    return expanded(edit_classes(rows, by, text), rows, by, item, text)
+
+
+def typo_pairs(rows: DataFrame, item: str, by: list[str], key: str) -> DataFrame:
+    """IDN06 as a join: items (a, b, kind), a < b, of one block whose keys differ by a slip of one digit of the page or by a year.
+
+    Different keys meet, not items: those of one year by their pages, those of one page by neighbouring years.
+    """
+    part = lambda i: blank(key_part(key, i))
+    keys = rows.where(F.col(key).isNotNull()).select(*by, key).distinct()
+    k = keys.select(*by, F.col(key).alias("k"), part(2).alias("_abbr"), part(3).alias("_series"), part(0).alias("_year"), part(4).alias("_page"))
+    at = [*by, "_abbr", "_series"]
+    x = k.select(*at, "_year", F.col("_page").alias("x"), F.col("k").alias("_kx"))
+    y = k.select(*at, "_year", F.col("_page").alias("y"), F.col("k").alias("_ky"))
+    pages = edit_classes(k, at, "_page").join(x, [*at, "x"]).join(y, [*at, "_year", "y"]).select(*by, "_kx", "_ky")
+    a = k.select(*at, "_page", number("_year").alias("_n"), F.col("k").alias("_kx"))
+    b = k.select(*at, "_page", (number("_year") - 1).alias("_n"), F.col("k").alias("_ky"))
+    years = a.join(b, [*at, "_page", "_n"]).select(*by, "_kx", "_ky")
+    kind = variant_kind(F.col("_kx"), F.col("_ky"), F.lit(1), F.lit(2), F.lit(""), F.lit(""), F.lit(False), F.lit(False))
+    found = pages.unionByName(years).select(*by, F.col("_kx").alias("x"), F.col("_ky").alias("y"), kind.alias("kind")).where("kind is not null")
+    return expanded(found, rows, by, item, key)
+
+
 def cocitation_classes(bridge: DataFrame, item: str, source: str, bar: float = BAR, least_overlap: int = 1) -> tuple[DataFrame, DataFrame]:
     """IDN10: (item, rep) of items with equal source sets, and pairs (a, b, overlap, smaller) of such classes that share enough.
 

@@ -1,5 +1,6 @@
 """Ordered decisions by rounds, against going through the order one by one."""
 
+import itertools
 import random
 from collections import defaultdict
 
@@ -220,3 +221,34 @@ def test_history_parts_equal_the_order(spark):
         members, sides, bridge = members + mine, sides + s, bridge + b
     got = ordered.history_parts(spark.createDataFrame(members, "group_id int, row_key string, merge_key string, court string"), spark.createDataFrame(sides, "instance string, side string, merge_key string"), spark.createDataFrame(bridge, "row_key string, source_id string"))
     assert {r.row_key: r.part for r in got.collect()} == want
+
+
+def plain_edit(a, b):
+    """Whether two texts are one insertion, deletion or substitution apart."""
+    short, long_ = sorted((a, b), key=len)
+    if len(short) == len(long_):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return any(long_[:i] + long_[i + 1 :] == short for i in range(len(long_))) and len(long_) - len(short) == 1
+
+
+def test_pairs_of_classes_are_all_pairs(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["p", "q", None]), str(rng.randint(1, 60)), str(1990 + rng.randint(0, 4))) for i in range(150)]
+    rows += [(3, "p", "7", "1990"), (None, "p", "7", "1990"), (900, "p", None, "1990"), (901, "p", "", "1990")]
+    df = spark.createDataFrame(rows, "id long, block string, page string, year string").withColumn("k", F.concat_ws("|", "year", F.lit(""), F.lit("sc"), F.lit(""), F.coalesce("page", F.lit("0"))))
+    pairs = [(a, b) for a, b in itertools.product(rows, rows) if a[0] is not None and b[0] is not None and a[0] < b[0] and a[1] == b[1] and a[1] is not None]
+    want = sorted((a[0], b[0]) for a, b in pairs if a[2] is not None and b[2] is not None and plain_edit(a[2], b[2]))
+    assert sorted(map(tuple, identity.edit_pairs(df, "id", ["block"], "page").collect())) == want and len(want) > 100
+
+    def kind(a, b):
+        (p, x), (q, y) = (("0" if r[2] is None else r[2], int(r[3])) for r in (a, b))
+        return "typo_number" if x == y and plain_edit(p, q) else "typo_year" if p == q and abs(x - y) == 1 else None
+
+    want = sorted((a[0], b[0], k) for a, b in pairs if (k := kind(a, b)))
+    assert sorted(map(tuple, identity.typo_pairs(df, "id", ["block"], "k").select("a", "b", "kind").collect())) == want and {w[2] for w in want} == {"typo_number", "typo_year"}
+
+
+def test_equal_texts_meet_once(spark):
+    df = spark.range(30_000).select("id", F.lit("x").alias("block"), F.when(F.col("id") == 7, "12").otherwise("1").alias("page"))
+    assert identity.edit_classes(df, ["block"], "page").count() == 1
+    assert identity.edit_pairs(df, "id", ["block"], "page").count() == 29_999

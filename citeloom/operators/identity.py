@@ -342,13 +342,19 @@ def court_partition(rows: DataFrame, bridge: DataFrame, bar: float = BAR) -> Dat
 def uncertain_rulings(groups: DataFrame, runs: DataFrame) -> DataFrame:
     """IDN18: unanchored groups of one name in neighbouring years, one of which no printed run connects with them.
 
-    Counts, not pairs: a group is uncertain when it has more neighbours than runs to neighbours.
+    ``runs`` has (run, group_id): the groups that a run connects with one another. Counts, not pairs: a group is uncertain
+    when it has more neighbours than runs to neighbours. Groups of one name and year in the same runs are one class,
+    and only classes meet.
     """
     g = groups.where((blank("name") != "") & F.col("year").isNotNull() & ~F.col("anchored")).select("group_id", "name", "year")
     peers = near_year_peers(g)
-    end = lambda c: g.select(F.col("group_id").alias(c), F.col("name").alias(f"_n{c}"), F.col("year").alias(f"_y{c}"))
-    run = runs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct().join(end("a"), "a").join(end("b"), "b").where("_na = _nb and abs(_ya - _yb) <= 1")
-    linked = run.select(F.explode(F.array("a", "b")).alias("group_id")).groupBy("group_id").agg(F.count(F.lit(1)).alias("_linked"))
+    inside = g.join(runs.where("run is not null").select("run", "group_id"), "group_id").groupBy("group_id", "name", "year").agg(F.sort_array(F.collect_set("run")).alias("_runs"))
+    cls = staged(inside.groupBy("name", "year", "_runs").agg(F.count(F.lit(1)).alias("_n"), F.min("group_id").alias("_cls")), "ruling-classes")
+    at = cls.select("name", F.explode("_runs").alias("run"), "year", "_n", "_cls")
+    other = at.select("name", "run", F.col("year").alias("_y"), F.col("_n").alias("_m"), F.col("_cls").alias("_other"))
+    met = at.join(other, ["name", "run"]).where("abs(year - _y) <= 1").select("_cls", "_other", "_m").distinct()
+    count = cls.select("name", "year", "_runs", "_cls").join(met.groupBy("_cls").agg((F.sum("_m") - 1).alias("_linked")), "_cls").drop("_cls")
+    linked = inside.join(count, ["name", "year", "_runs"]).select("group_id", "_linked")
     return peers.join(linked, "group_id", "left").where(F.col("peer_count") > F.coalesce("_linked", F.lit(0))).select("group_id")
 
 

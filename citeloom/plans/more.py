@@ -393,10 +393,7 @@ def _(v):
   SELECT DISTINCT group_id FROM pr WHERE NOT (abs(group_id - o) % 2 = 0)""")
 def _(v):
     g = v.groups().select("group_id", "name", "year", (F.col("group_id") % 4 == 0).alias("anchored"))
-    near = g.where("not anchored").select("group_id", "name", "year")
-    other = near.select(F.col("group_id").alias("b"), "name", F.col("year").alias("y2"))
-    runs = near.join(other, "name").where("group_id < b and abs(year - y2) <= 1 and (b - group_id) % 2 = 0").select(F.col("group_id").alias("a"), "b")
-    return identity.uncertain_rulings(g, runs)
+    return identity.uncertain_rulings(g, g.select((F.col("group_id") % 2).alias("run"), "group_id"))
 
 
 @query("held_rows", "SELECT CAST(p_partkey AS VARCHAR) AS row_key, CASE WHEN p_size > 30 THEN CAST(p_partkey AS VARCHAR) ELSE p_brand END AS group_id FROM part")

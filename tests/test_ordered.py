@@ -252,3 +252,21 @@ def test_equal_texts_meet_once(spark):
     df = spark.range(30_000).select("id", F.lit("x").alias("block"), F.when(F.col("id") == 7, "12").otherwise("1").alias("page"))
     assert identity.edit_classes(df, ["block"], "page").count() == 1
     assert identity.edit_pairs(df, "id", ["block"], "page").count() == 29_999
+
+
+def test_uncertain_rulings_count_classes(spark):
+    rng = random.Random(5)
+    groups = [(i, rng.choice(["x", "y", "", None]), rng.choice([1990, 1991, 1993, None]), rng.random() < 0.2) for i in range(120)] + [(i, "z", 1990 + i % 2, False) for i in range(200, 210)]
+    runs = [(r, rng.randrange(125)) for r in range(12) for _ in range(rng.choice([1, 2, 90]))] + [(None, 3)] + [(99, i) for i in range(200, 210)]
+    got = identity.uncertain_rulings(spark.createDataFrame(groups, "group_id long, name string, year int, anchored boolean"), spark.createDataFrame(runs + runs[:5], "run long, group_id long"))
+    said = {g: {r for r, h in runs if h == g and r is not None} for g in range(210)}
+    free = [g for g in groups if g[1] and g[2] and not g[3]]
+    want = [(a[0],) for a in free if any(a[0] != b[0] and a[1] == b[1] and abs(a[2] - b[2]) <= 1 and not said[a[0]] & said[b[0]] for b in free)]
+    assert sorted(map(tuple, got.collect())) == want and 0 < len(want) < len(free)
+
+
+def test_one_run_of_many_groups_makes_no_pairs(spark):
+    groups = spark.range(60_000).select(F.col("id").alias("group_id"), F.concat(F.lit("x"), (F.col("id") % 1).cast("string")).alias("name"), (F.col("id") % 1 + 1990).cast("int").alias("year"), (F.col("id") < 0).alias("anchored"))
+    runs = groups.where("group_id > 0").select(F.lit(1).alias("run"), "group_id")
+    assert identity.uncertain_rulings(groups, runs).count() == 60_000  # 1.8 billion pairs
+    assert identity.uncertain_rulings(groups, groups.select(F.lit(1).alias("run"), "group_id")).isEmpty()

@@ -1,6 +1,7 @@
 """Extraction, arbitration, classification and identity on small texts."""
 
 import itertools
+from collections import Counter
 
 import duckdb
 import pytest
@@ -383,3 +384,19 @@ def test_printed_forms_of_large_part_numbers(spark, tmp_path):
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
     assert sorted(got) == sorted(tuple(map(str, r)) for r in duck.execute(entry.oracle_sql()["printed_forms"]).fetchall())
+
+
+def test_coverage_equals_plain_counts(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(rng.choice(["s", "t", "u", None]), rng.choice([1, 2, None]), rng.choice(["A", "R", None]), rng.choice(["x", "y", None])) for _ in range(60)]
+    df = spark.createDataFrame(rows, "source_id string, position int, flag string, kind string")
+    want = Counter()
+    for level, mine in ((0, lambda r: (r[2], r[3])), (1, lambda r: (r[2], None)), (3, lambda r: (None, None))):
+        for k in {mine(r) for r in rows}:
+            at = [r for r in rows if mine(r) == k]
+            want[*k, len(at), len({r[:2] for r in at}), len({r[0] for r in at} - {None}), level] += 1
+    out = an.coverage(df, ["flag", "kind"], ["source_id", "position"])
+    assert Counter(map(tuple, out.collect())) == want and an.coverage(df.limit(0), ["flag", "kind"], ["source_id", "position"]).isEmpty()
+    assert "Expand" not in out._jdf.queryExecution().toString()  # rows are not multiplied before an exchange

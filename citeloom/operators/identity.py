@@ -102,12 +102,17 @@ def typo_pairs(rows: DataFrame, item: str, by: list[str], key: str) -> DataFrame
     return expanded(found, rows, by, item, key)
 
 
+#: Items of a source whose pairs are counted at once, not looked up one by one.
+LIGHT = 64
+
+
 def cocitation_classes(bridge: DataFrame, item: str, source: str, bar: float = BAR, least_overlap: int = 1) -> tuple[DataFrame, DataFrame]:
     """IDN10: (item, rep) of items with equal source sets, and pairs (a, b, overlap, smaller) of such classes that share enough.
 
     Two sides share at least ``bar`` of the smaller one's n sources, so one of its n - ceil(bar * n) + 1 rarest
-    sources is on the other side: only these meet the full lists of sides that are not smaller. A source that very
-    many items have is met only by those that have hardly any other, and items of the same sources are one
+    sources is on the other side: only these, and all of at most ``LIGHT`` items, meet the full lists of sides that
+    are not smaller, and are counted as they meet. Pairs that its other sources could still bring to the bar look for
+    those. A source that very many items have is met only by those that have hardly any other, and items of the same sources are one
     class, so such a source costs a row for each class. Items of fewer sources than ``least_overlap`` have no partner.
     """
     b = staged(bridge.select(F.col(item).alias("item"), F.col(source).alias("s")).where("item is not null and s is not null").distinct(), "cocitation")
@@ -117,15 +122,20 @@ def cocitation_classes(bridge: DataFrame, item: str, source: str, bar: float = B
     of = staged(mark.join(rep, ["n", "_h", "_x"]).select("item", "rep", "n"), "cocitation-classes")
     lists = b.join(of.where("item = rep").select("item", "n"), "item")
     often = lists.groupBy("s").agg(F.count(F.lit(1)).alias("_f"))
-    lists = staged(lists.join(often, "s"), "cocitation-lists")
-    rank = F.row_number().over(Window.partitionBy("item").orderBy("_f", "s"))
+    mine = Window.partitionBy("item")
     need = F.greatest(F.ceil(F.lit(float(bar)) * F.col("n") - F.lit(1e-9)), F.lit(least_overlap), F.lit(1))
-    few = lists.withColumn("_r", rank).where(F.col("_r") <= F.col("n") - need + 1).select(F.col("item").alias("x"), F.col("n").alias("nx"), "s")
+    lists = lists.join(often, "s").withColumns({"_r": F.row_number().over(mine.orderBy("_f", "s")), "_light": F.count_if(F.col("_f") <= LIGHT).over(mine), "need": need})
+    met = F.greatest(F.col("n") - F.col("need") + 1, F.col("_light"))
+    lists = staged(lists.select("item", "n", "s", "need", (F.col("n") - met).alias("left"), (F.col("_r") > met).alias("later")), "cocitation-lists")
+    few = lists.where("not later").select(F.col("item").alias("x"), F.col("n").alias("nx"), "s", "need", "left")
     full = lists.select(F.col("item").alias("y"), F.col("n").alias("ny"), "s")
     larger = (F.col("ny") > F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") > F.col("x")))
-    tried = staged(few.join(full, "s").where(larger).select("x", "nx", "y").distinct(), "cocitation-tried")
-    met = tried.join(lists.select(F.col("item").alias("x"), "s"), "x").join(full.select("y", "s"), ["y", "s"])
-    pairs = met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("overlap"), F.min("nx").alias("smaller"))
+    tried = few.join(full, "s").where(larger).groupBy("x", "y").agg(F.count(F.lit(1)).alias("overlap"), F.first("nx").alias("smaller"), F.first("need").alias("need"), F.first("left").alias("left"))
+    tried = staged(tried.where("overlap + left >= need"), "cocitation-tried")
+    pairs, open_ = tried, tried.where("left > 0").select("x", "y")
+    if not open_.isEmpty():
+        late = open_.join(lists.where("later").select(F.col("item").alias("x"), "s"), "x").join(full.select("y", "s"), ["y", "s"])
+        pairs = tried.join(late.groupBy("x", "y").agg(F.count(F.lit(1)).alias("_late")), ["x", "y"], "left").withColumn("overlap", F.col("overlap") + F.coalesce("_late", F.lit(0)))
     pairs = pairs.where((F.col("overlap") >= bar * F.col("smaller")) & (F.col("overlap") >= least_overlap))
     return of.select("item", "rep", "n"), pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "overlap", "smaller")
 

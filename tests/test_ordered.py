@@ -6,6 +6,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from citeloom import staging
 from citeloom.operators import identity, ordered
 
 RULES = identity.RULES
@@ -270,3 +271,23 @@ def test_one_run_of_many_groups_makes_no_pairs(spark):
     runs = groups.where("group_id > 0").select(F.lit(1).alias("run"), "group_id")
     assert identity.uncertain_rulings(groups, runs).count() == 60_000  # 1.8 billion pairs
     assert identity.uncertain_rulings(groups, groups.select(F.lit(1).alias("run"), "group_id")).isEmpty()
+
+
+def test_cocitation_of_light_sources_keeps_only_its_pairs(spark, monkeypatch):
+    kept = {}
+
+    def watched(df, name="table", *more, **options):
+        kept[name] = staging.staged(df, name, *more, **options)
+        return kept[name]
+
+    monkeypatch.setattr(identity, "staged", watched)
+    rng = random.Random(9)
+    rows = sorted({(rng.randrange(200), s) for s in range(900) for _ in range(5)})
+    df = spark.createDataFrame(rows, "item long, s long")
+    pairs = identity.cocitation(df, "item", "s", 0.1, 2)
+    want = plain_overlap(rows, 0.1, 2)
+    assert {tuple(r) for r in pairs.collect()} == want and 0 < kept["cocitation-tried"].count() == len(want)
+    for light in (0, 3, 5):  # the rest of the sources are looked up
+        monkeypatch.setattr(identity, "LIGHT", light)
+        for bar, least in ((0.1, 2), (0.3, 1), (0.1, 4)):
+            assert {tuple(r) for r in identity.cocitation(df, "item", "s", bar, least).collect()} == plain_overlap(rows, bar, least)

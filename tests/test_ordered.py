@@ -291,3 +291,34 @@ def test_cocitation_of_light_sources_keeps_only_its_pairs(spark, monkeypatch):
         monkeypatch.setattr(identity, "LIGHT", light)
         for bar, least in ((0.1, 2), (0.3, 1), (0.1, 4)):
             assert {tuple(r) for r in identity.cocitation(df, "item", "s", bar, least).collect()} == plain_overlap(rows, bar, least)
+
+
+def test_a_component_reads_each_row_once():
+    reads = [0]
+
+    class Row(dict):
+        def get(self, *k):
+            reads[0] += 1
+            return super().get(*k)
+
+    rows = [Row(row_key=f"{i:05}", merge_key=f"m{i}", name="n", year=1990 + i % 2, court="" if i % 3 else "ABC"[i % 2], history_sides=[("h", "before")] if i % 5 else []) for i in range(3_000)]
+    of, trace = identity.solve_block(rows, [{"a": r["row_key"], "b": "00000", "rule": "name_year"} for r in rows[1:]])
+    assert reads[0] < 30 * len(rows) and len(trace) == len(rows) - 1
+    lone = {r["row_key"] for r in rows if r["court"] == "B"}
+    assert of == {r["row_key"]: r["row_key"] if r["row_key"] in lone else "00000" for r in rows}
+    assert {t[3] for t in trace if t[0] in lone} == {"positive_court_conflict"} and {t[3] for t in trace if t[0] not in lone} == {"accepted"}
+
+
+def test_classes_know_what_all_their_rows_say():
+    row = lambda k, **more: {"row_key": k, "merge_key": k} | more
+    cases = [
+        ([row("a", decision_id="1"), row("b"), row("c", decision_id="2")], "different_document_claims"), ([row("a", decision_id="1"), row("b"), row("c", holdout_id="1")], "explicit_document_holdout"),
+        ([row("a", scope="x|y"), row("b", scope="y|z"), row("c", scope="x|z")], "incompatible_reporter_identity_scope"), ([row("a", registered_id="1;2"), row("b"), row("c", decision_id="3")], "registered_other_document"),
+        ([row("a", name="n", year=1990), row("b", year=1980), row("c", name="n", year=1992)], "year_span"), ([row("a", kind="neutral"), row("b"), row("c", kind="neutral")], "different_neutral_numbers"),
+        ([row("a", history_sides=[("i", "x")]), row("b", history_sides=[("j", "x")]), row("c", history_sides=[("j", "y")])], "opposite_history_sides"),
+        ([row("||s||1", kind="identifier"), row("b"), row("||s||2", kind="identifier")], "different_identifier_numbers"),
+    ]
+    for rows, why in cases:
+        one, two, three = (r["row_key"] for r in rows)
+        of, trace = identity.solve_block(rows, [{"a": two, "b": one, "rule": "document_alias"}, {"a": three, "b": two, "rule": "name_year"}])
+        assert [t[3] for t in trace] == ["accepted", why] and of == {one: min(one, two), two: min(one, two), three: three}

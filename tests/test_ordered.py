@@ -322,3 +322,19 @@ def test_classes_know_what_all_their_rows_say():
         one, two, three = (r["row_key"] for r in rows)
         of, trace = identity.solve_block(rows, [{"a": two, "b": one, "rule": "document_alias"}, {"a": three, "b": two, "rule": "name_year"}])
         assert [t[3] for t in trace] == ["accepted", why] and of == {one: min(one, two), two: min(one, two), three: three}
+
+
+def test_small_components_share_a_group(spark, monkeypatch):
+    plans = []
+    real = identity.staged
+    monkeypatch.setattr(identity, "staged", lambda df, name="t": (plans.append(df._jdf.queryExecution().optimizedPlan().toString()) if name == "identity" else None, real(df, name))[1])
+    n = 400
+    row = lambda i, j: (f"r{i:04d}{j}", f"1990|{j}|x||{i}", "n", 1990, "AB"[i % 2] if j == 2 else None)
+    rows = spark.createDataFrame([row(i, j) for i in range(n) for j in range(3)], "row_key string, merge_key string, name string, year int, court string")
+    rows = rows.withColumn("court", F.when(F.substring("row_key", 6, 1) == "1", "C").otherwise(F.col("court")))
+    links = spark.createDataFrame([(f"r{i:04d}{j}", f"r{i:04d}0", "name_year") for i in range(n) for j in (1, 2)], "a string, b string, rule string")
+    monkeypatch.setattr(identity, "BIN_ROWS", 50)  # 2,000 rows and links: 40 groups for 400 components
+    groups, told = identity.solve(rows, links)
+    assert {r.row_key: r.group_id for r in groups.collect()} == {f"r{i:04d}{j}": f"r{i:04d}{j if j == 2 else 0}" for i in range(n) for j in range(3)}
+    assert told.groupBy("outcome").count().orderBy("outcome").collect() == [("accepted", n), ("positive_court_conflict", n)]
+    assert len(plans) == 1 and "), 40) AS _bin" in plans[0]

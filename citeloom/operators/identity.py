@@ -376,13 +376,24 @@ def identity_basis(groups: DataFrame, trace: DataFrame, group: str = "group_id")
 
 
 def court_partition(rows: DataFrame, bridge: DataFrame, bar: float = BAR) -> DataFrame:
-    """IDN04: rows of a block without a court join the only court whose sources overlap theirs enough; others stay unassigned."""
-    known = rows.where(blank("court") != "").select("block", "court", "row_key").join(bridge, "row_key")
-    side = known.select("block", "court", "source_id").distinct()
-    csize = side.groupBy("block", "court").agg(F.count(F.lit(1)).alias("_cn"))
-    open_ = rows.where(blank("court") == "").select("block", "row_key").join(bridge, "row_key").distinct()
-    osize = open_.groupBy("row_key").agg(F.count(F.lit(1)).alias("_on"))
-    hit = open_.join(side, ["block", "source_id"]).groupBy("block", "row_key", "court").agg(F.count(F.lit(1)).alias("_o")).join(csize, ["block", "court"]).join(osize, "row_key")
+    """IDN04: rows of a block without a court join the only court whose sources overlap theirs enough; others stay unassigned.
+
+    Sources do not meet block by block. Rows that have a court in the same blocks are one class, sources of the same classes one
+    kind, and each row without a court counts its sources by kind; only kinds are written out by block and court.
+    """
+    known = rows.where((blank("court") != "") & F.col("row_key").isNotNull()).groupBy("row_key").agg(F.sort_array(F.collect_set(F.struct("block", "court"))).alias("_at"))
+    cls = known.groupBy("_at").agg(F.min("row_key").alias("_cls"))
+    of = bridge.join(known, "row_key").join(cls, "_at").select("source_id", "_cls")
+    kind = staged(of.groupBy("source_id").agg(F.sort_array(F.collect_set("_cls")).alias("_kind")), "court-kinds")
+    size = staged(kind.groupBy("_kind").agg(F.count(F.lit(1)).alias("_n")), "court-kind-sizes")
+    told = size.select("_kind", F.explode("_kind").alias("_cls")).join(cls, "_cls").select("_kind", F.explode("_at").alias("_x")).select("_kind", "_x.block", "_x.court").distinct()
+    told = staged(told, "court-kind-blocks")
+    csize = told.join(size, "_kind").groupBy("block", "court").agg(F.sum("_n").alias("_cn"))
+    blocks = rows.where((blank("court") == "") & F.col("row_key").isNotNull()).select("block", "row_key").distinct()
+    mine = bridge.select("row_key", "source_id").distinct().join(blocks.select("row_key").distinct(), "row_key").join(kind, "source_id", "left")
+    mine = staged(mine.groupBy("row_key", "_kind").agg(F.count(F.lit(1)).alias("_m")), "court-sources")
+    osize = mine.groupBy("row_key").agg(F.sum("_m").alias("_s")).join(blocks.groupBy("row_key").agg(F.count(F.lit(1)).alias("_b")), "row_key").select("row_key", (F.col("_s") * F.col("_b")).alias("_on"))
+    hit = mine.join(told, "_kind").join(blocks, ["block", "row_key"]).groupBy("block", "row_key", "court").agg(F.sum("_m").alias("_o")).join(csize, ["block", "court"]).join(osize, "row_key")
     ok = hit.where(F.col("_o") >= bar * F.least("_cn", "_on")).groupBy("row_key").agg(F.count(F.lit(1)).alias("_k"), F.min("court").alias("_c")).where("_k = 1")
     return rows.join(ok, "row_key", "left").select("block", "row_key", F.when(blank("court") != "", F.col("court")).otherwise(F.coalesce("_c", F.lit("unassigned"))).alias("court"))
 

@@ -338,3 +338,32 @@ def test_small_components_share_a_group(spark, monkeypatch):
     assert {r.row_key: r.group_id for r in groups.collect()} == {f"r{i:04d}{j}": f"r{i:04d}{j if j == 2 else 0}" for i in range(n) for j in range(3)}
     assert told.groupBy("outcome").count().orderBy("outcome").collect() == [("accepted", n), ("positive_court_conflict", n)]
     assert len(plans) == 1 and "), 40) AS _bin" in plans[0]
+
+
+def test_courts_by_kinds_of_sources(spark, monkeypatch):
+    made = {}
+    real = identity.staged
+    monkeypatch.setattr(identity, "staged", lambda df, name="t": made.setdefault(name, real(df, name)))
+    # sources do not meet block by block: 20 rows in 300 blocks with 200 sources each leave a row for each row and kind
+    rows = spark.range(20).select(F.col("id").alias("row_key"), F.when(F.col("id") % 2 == 0, "A").otherwise("").alias("court")).crossJoin(spark.range(300).select(F.col("id").alias("block")))
+    bridge = spark.range(20).select(F.col("id").alias("row_key")).crossJoin(spark.range(200).select(F.col("id").alias("source_id")))
+    assert identity.court_partition(rows, bridge).where("court = 'A'").count() == 3000  # more than one block has a hit, so none decides
+    assert made["court-sources"].count() == 10 and made["court-kinds"].count() == 200
+    made.clear()
+    rng = random.Random(5)
+    pick = lambda *x: rng.choice(x)
+    rows = [(pick("x", "y", "z", None), pick("", "", "A", "B", None), pick(*range(12), None)) for _ in range(60)]
+    bridge = [(pick(*range(12)), pick(*range(15), None)) for _ in range(90)]
+    side = {(b, c, s) for b, c, k in rows if c for r, s in bridge if r == k}
+    op = {(b, k, s) for b, c, k in rows if not c for r, s in bridge if r == k}
+    hits = defaultdict(int)
+    for b, k, s in op:
+        for b2, c, s2 in side:
+            hits[b, k, c] += b == b2 is not None and s == s2 is not None
+    found = defaultdict(list)
+    for (b, k, c), n in hits.items():
+        if n and n >= 0.4 * min(sum((b, c) == x[:2] for x in side), sum(k == x[1] for x in op)):
+            found[k].append(c)
+    want = [(b, k, c or (found[k][0] if len(found[k]) == 1 else "unassigned")) for b, c, k in rows]
+    got = identity.court_partition(spark.createDataFrame(rows, "block string, court string, row_key int"), spark.createDataFrame(bridge, "row_key int, source_id int"), 0.4)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want)) and any(len(x) == 1 for x in found.values())

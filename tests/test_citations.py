@@ -400,3 +400,26 @@ def test_coverage_equals_plain_counts(spark):
     out = an.coverage(df, ["flag", "kind"], ["source_id", "position"])
     assert Counter(map(tuple, out.collect())) == want and an.coverage(df.limit(0), ["flag", "kind"], ["source_id", "position"]).isEmpty()
     assert "Expand" not in out._jdf.queryExecution().toString()  # rows are not multiplied before an exchange
+
+
+def test_copies_of_a_text_are_read_once(spark, tmp_path):
+    """A form that notes each text it searches: of 200 copies every task reads one."""
+    from citeloom.operators import extract
+    from citeloom.operators.shapes import ShapeSet
+
+    class Noting(ShapeSet):
+        def __init__(self, at):
+            super().__init__()
+            self.at, form = at, self.forms[0]
+            object.__setattr__(form, "needs", type("Seen", (), {"search": staticmethod(lambda text, at=at: open(f"{at}/{len(text)}-{__import__('uuid').uuid4().hex}", "w").close())}))
+
+        def __reduce__(self):
+            return Noting, (self.at,)
+
+    texts = ["see 2019 ONCA 7, there.", "see (1999), 2005 SCC 12 there."]
+    docs = spark.createDataFrame([("SCC", i, f"d{i}", 1990 + i % 3, texts[i // 200]) for i in range(210)], "court string, corpus_row_index long, citation string, year int, text string")
+    seen = extract.extract(docs, Noting(str(tmp_path))).collect()
+    assert sum(f.name.startswith(f"{len(texts[0])}-") for f in tmp_path.iterdir()) <= extract.COPY_TASKS
+    shapes = ShapeSet()
+    want = [c["candidate_id"] + "|" + str(c["source_decision_year"]) + c["source_decision_citation"] + c["conflict_note"] + c["conflict_with_candidate"] for i in range(210) for c in extract.candidates(texts[i // 200], "SCC", i, f"SCC_d{i}", 1990 + i % 3, shapes)]
+    assert sorted(r.candidate_id + "|" + str(r.source_decision_year) + r.source_decision_citation + r.conflict_note + r.conflict_with_candidate for r in seen) == sorted(want)

@@ -367,3 +367,20 @@ def test_courts_by_kinds_of_sources(spark, monkeypatch):
     want = [(b, k, c or (found[k][0] if len(found[k]) == 1 else "unassigned")) for b, c, k in rows]
     got = identity.court_partition(spark.createDataFrame(rows, "block string, court string, row_key int"), spark.createDataFrame(bridge, "row_key int, source_id int"), 0.4)
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want)) and any(len(x) == 1 for x in found.values())
+
+
+def test_rounds_send_no_table_through_the_driver(spark, monkeypatch):
+    plans = []
+
+    def seen(df, name="table", *more, **options):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return staging.staged(df, name, *more, **options)
+
+    from citeloom.operators import components
+
+    for module in (identity, ordered, components):
+        monkeypatch.setattr(module, "staged", seen)
+    rows = spark.createDataFrame([(f"r{i}", "n", 1990 + i % 3) for i in range(30)], "row_key string, name string, year int")
+    links = spark.createDataFrame([(f"r{i}", "r0", RULES[0]) for i in range(1, 30)], "a string, b string, rule string")
+    identity.solve(rows, links, group_rows=0)[0].collect()
+    assert len(plans) > 10 and not [name for name, plan in plans if "Broadcast" in plan]

@@ -17,11 +17,16 @@ def hash_order(seed: str, key: Column) -> Column:
 
 def stratified_sample(rows: DataFrame, cells: list[str], key: str, seed: str, per_cell: int = 2, folds: int = 2) -> DataFrame:
     """QLT01: the lowest hashes of each cell, with inclusion probability and fold."""
+    # a cell may hold most rows: they are counted by the first digits of their hash, and only the digits that hold the lowest are sorted
     w = Window.partitionBy(*cells)
-    r = rows.withColumn("_h", hash_order(seed, F.col(key)))
-    r = r.withColumn("sample_rank", F.row_number().over(w.orderBy("_h", key)))
-    size = rows.groupBy(*cells).agg(F.count(F.lit(1)).alias("cell_size"))
-    r = r.where(F.col("sample_rank") <= per_cell).join(size, cells)
+    r = staged(rows, "sample-rows").withColumn("_h", hash_order(seed, F.col(key)))  # hashes are long and do not compress: they are made twice
+    r = r.withColumn("_p", F.substring("_h", 1, 3))
+    counted = staged(r.groupBy(*cells, "_p").agg(F.count(F.lit(1)).alias("_n")), "sample-counts")
+    before = F.sum("_n").over(w.orderBy("_p")) - F.col("_n")
+    size = counted.withColumn("_b", before).groupBy(*cells).agg(F.sum("_n").alias("cell_size"), F.max(F.when(F.col("_b") < per_cell, F.col("_p"))).alias("_cut"))
+    r = r.join(staged(size, "sample-cells"), cells).where(F.col("_p") <= F.col("_cut")).drop("_p", "_cut")
+    r = r.withColumn("sample_rank", F.row_number().over(w.orderBy("_h", key))).where(F.col("sample_rank") <= per_cell)
+    r = r.select(*cells, *[c for c in rows.columns if c not in cells], "_h", "sample_rank", "cell_size")
     fold = F.pmod(F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(seed + ":fold"), F.col(key).cast("string")), 256), 1, 8), 16, 10).cast("long"), F.lit(folds))
     return r.withColumn("inclusion_probability", F.round(F.least(F.lit(per_cell), F.col("cell_size")) / F.col("cell_size"), 6)).withColumn("fold", fold).drop("_h")
 

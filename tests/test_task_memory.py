@@ -23,3 +23,10 @@ def test_a_large_cell_is_not_sorted_whole(spark, monkeypatch):
     order = lambda c: sorted((hashlib.sha256(f"s1|{k}".encode()).hexdigest(), k) for x, k in rows if x == c)
     assert sorted((r.cell, r.sample_rank, r.k, r.cell_size) for r in got.collect()) == sorted((c, i + 1, k, len(order(c))) for c in ("big", "small", "one") for i, (_, k) in enumerate(order(c)[:3]))
     assert {r.cell: r._cut for r in made["sample-cells"].collect()}["big"] < "010"
+
+
+def test_grams_are_grouped_where_their_texts_are_dealt(spark):
+    d = spark.createDataFrame([(1, "Abcabc"), (1, "xabc"), (2, None), (None, "abc")], "id long, t string")
+    got = an.inverted_index(d, "id", "t")
+    assert "Aggregate" not in below(got, "Exchange")
+    assert sorted(map(tuple, got.where("gram = 'abc'").collect()), key=str) == [("abc", 1, 3, 4), ("abc", None, 1, 1)]

@@ -30,3 +30,11 @@ def test_grams_are_grouped_where_their_texts_are_dealt(spark):
     got = an.inverted_index(d, "id", "t")
     assert "Aggregate" not in below(got, "Exchange")
     assert sorted(map(tuple, got.where("gram = 'abc'").collect()), key=str) == [("abc", 1, 3, 4), ("abc", None, 1, 1)]
+
+
+def test_edges_are_dealt_before_they_are_grouped(spark):
+    assert "Aggregate" not in (under := below(Views(spark, SF).edges(), "REPARTITION_BY_NUM")) and "no " not in under[:3]
+
+
+def test_groups_are_dealt_before_they_are_grouped(spark):
+    assert "Aggregate" not in (under := below(Views(spark, SF).groups(), "REPARTITION_BY_NUM")) and "no " not in under[:3]

@@ -38,3 +38,17 @@ def test_edges_are_dealt_before_they_are_grouped(spark):
 
 def test_groups_are_dealt_before_they_are_grouped(spark):
     assert "Aggregate" not in (under := below(Views(spark, SF).groups(), "REPARTITION_BY_NUM")) and "no " not in under[:3]
+
+
+def test_import_checks_reads_the_edges_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for x in batches:
+            read.add(x.num_rows)
+            yield x
+
+    e = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), (None, 1), ("a", 3), ("a", None)], "source_id string, group_id int").coalesce(1)
+    g = spark.createDataFrame([(1, 2), (2, 0), (4, 1)], "group_id int, dd long")
+    assert tuple(an.import_checks(e.mapInArrow(count, e.schema), g).first()) == (1, 2, 1)
+    assert read.value == 6

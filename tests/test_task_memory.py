@@ -52,3 +52,10 @@ def test_import_checks_reads_the_edges_once(spark):
     g = spark.createDataFrame([(1, 2), (2, 0), (4, 1)], "group_id int, dd long")
     assert tuple(an.import_checks(e.mapInArrow(count, e.schema), g).first()) == (1, 2, 1)
     assert read.value == 6
+
+
+def test_ranking_deals_pairs_before_it_tells_sources_apart(spark):
+    b = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), (None, 1), ("a", 2)], "source_id string, group_id int")
+    got = an.ranking(b, 2, 3)
+    assert [tuple(r) for r in got.select("group_id", "filtered_dd").collect()] == [(1, 2), (2, 1)]
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()

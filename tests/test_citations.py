@@ -386,6 +386,18 @@ def test_printed_forms_of_large_part_numbers(spark, tmp_path):
     assert sorted(got) == sorted(tuple(map(str, r)) for r in duck.execute(entry.oracle_sql()["printed_forms"]).fetchall())
 
 
+def test_printed_forms_of_part_numbers_of_seven_digits(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rows = [(1, 1, 1200000 + i, 3) for i in range(11)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = [tuple(map(str, r)) for r in entry.queries()["printed_forms"](spark, str(tmp_path)).collect()]
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    assert sorted(got) == sorted(tuple(map(str, r)) for r in duck.execute(entry.oracle_sql()["printed_forms"]).fetchall())
+    assert [f.overlapping("2005TCC1234567")[0] for f in ShapeSet(codes=["TCC"]).forms if f.name == "shape_neutral_glued"] == [[]]  # six digits where nothing else is said
+
+
 def test_coverage_equals_plain_counts(spark):
     import random
 

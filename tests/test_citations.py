@@ -398,6 +398,22 @@ def test_printed_forms_of_part_numbers_of_seven_digits(spark, tmp_path):
     assert [f.overlapping("2005TCC1234567")[0] for f in ShapeSet(codes=["TCC"]).forms if f.name == "shape_neutral_glued"] == [[]]  # six digits where nothing else is said
 
 
+def test_language_of_absent_and_blank_fields(spark, tmp_path):
+    """Rows whose text, language or source is absent or blank."""
+    import __spark_entry__ as entry
+
+    told = [None, "", " ", "\u00a0", "fr", "en"]
+    rows = [(i, text, lang, source) for i, (text, lang, source) in enumerate((t, x, s) for t in (*told, ".", "-x") for x in told for s in (*told, "-"))]
+    rows += [(i + 1001, *r[1:]) for i, r in enumerate(rows)] + [(None, "a", "fr", "s"), (None, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = entry.queries()["scan_project_language"](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = duck.execute(entry.oracle_sql()["scan_project_language"])
+    assert got.columns == [c[0] for c in want.description]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.fetchall()))
+
+
 def test_coverage_equals_plain_counts(spark):
     import random
 

@@ -414,6 +414,56 @@ def test_language_of_absent_and_blank_fields(spark, tmp_path):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.fetchall()))
 
 
+def test_pairs_settle_as_documents_do():
+    """Two candidates alone are settled as beside a third one far away, which takes the general way."""
+    import random
+
+    rng = random.Random(11)
+    far = {"candidate_id": "z", "shape_name": "shape_bracket", "match_start_offset": 90, "match_end_offset": 95, "merge_key": "z", "grade": 1}
+    seen = set()
+    for _ in range(20_000):
+        two = [
+            {"candidate_id": f"c{i}", "shape_name": rng.choice(["shape_bracket", "shape_vol_abbr_page", "shape_vol_abbr_page_transposed_series"]), "match_start_offset": (a := rng.randint(0, 4)), "match_end_offset": a + rng.randint(0, 4), "merge_key": rng.choice("ab"), "grade": rng.randint(0, 2)}
+            | {"rejected_reason": rng.choice(["", "", None, "x"]), "self_citation": rng.choice([None, False, False, True]), "page": rng.choice(["", "2", "3"]), "abbr": rng.choice(["", "O.R.", "or"])}
+            for i in range(2)
+        ]
+        got = arbitrate.arbitrate_document(two)
+        assert got | {"z": ("counted", "")} == arbitrate.arbitrate_document([*two, far])
+        seen |= {state for state, _ in got.values()}
+    assert len(seen) > 7
+
+
+def test_documents_longer_than_a_batch_settle_as_whole(spark):
+    """Documents that go over the edges of Arrow batches, with equal places and marks, as each alone."""
+    import random
+
+    rng = random.Random(12)
+    rows = [(f"d{d}" if d else None, f"{d}:{i}", "shape_bracket", a, a + rng.randint(1, 3), rng.choice("abc"), rng.randint(0, 2), rng.choice(["", "x", None]) if i % 9 == 0 else "", f"{d}:{rng.randrange(40)}" if d == 3 and i % 7 == 0 else "") for d in range(6) for i in range(40) for a in [rng.randint(0, 60)]]
+    names = "doc candidate_id shape_name match_start_offset match_end_offset merge_key grade rejected_reason conflict_with_candidate".split()
+    df = spark.createDataFrame(rows, "doc string, candidate_id string, shape_name string, match_start_offset int, match_end_offset int, merge_key string, grade int, rejected_reason string, conflict_with_candidate string")
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = {r.candidate_id: (r.arbitration_status, r.superseded_by_candidate) for r in arbitrate.arbitrate(df, ["doc"], ("candidate_id",)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    want = {}
+    for d in {r[0] for r in rows}:
+        want |= arbitrate.arbitrate_document([dict(zip(names, r, strict=True)) for r in rows if r[0] == d])
+    assert got == want
+
+
+def test_only_read_columns_are_extracted(spark):
+    docs = spark.createDataFrame([("SCC", 1, "2020 SCC 1", 2020, "see [1999] 2 S.C.R. 2005 SCC 7 (C.A.) there."), ("SCC", 2, "2020 SCC 2", 2020, "see [1999] 2 S.C.R. 2005 SCC 7 (C.A.) there.")], "court string, corpus_row_index long, citation string, year int, text string")
+    every = extract.extract(docs)
+    some = ("candidate_id", "conflict_with_candidate", "conflict_note", "vol_span")
+    few = extract.extract(docs, columns=some)
+    assert set(few.columns) == set(some)
+    assert sorted(map(str, few.collect())) == sorted(map(str, every.select(few.columns).collect()))
+    marked = [r for r in few.collect() if r.conflict_with_candidate]
+    assert marked and all(r.conflict_with_candidate.split(":")[:2] == r.candidate_id.split(":")[:2] for r in marked)  # copies name candidates of their own document
+
+
 def test_coverage_equals_plain_counts(spark):
     import random
 
